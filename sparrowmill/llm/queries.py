@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import licenses, mixing, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_licenses": licenses.query,
+    "op10_quality_rules": weak_rules.query,
 }
 ORACLE = {
     "op1_mixing": mixing.SQL,
+    "op2_licenses": licenses.SQL,
 }
