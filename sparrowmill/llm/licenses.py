@@ -223,13 +223,13 @@ WITH d AS (
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents),
-p AS (SELECT string_split(column0, ' ') AS p, column1 AS label FROM (VALUES {phrases})),
-at AS (SELECT r, i, w[i + 1:i + 8] AS here FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM d)),
+p AS (SELECT string_split(col0, ' ') AS p, col1 AS label FROM (VALUES {phrases})),
+pos AS (SELECT r, i, w[i + 1:i + 8] AS here FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM d)),
 b AS (
   SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, list(label) AS labels
-  FROM at JOIN p ON here[1:len(p)] = p GROUP BY r),
+  FROM pos JOIN p ON here[1:len(p)] = p GROUP BY r),
 t AS (
-  SELECT column1 AS label, list_distinct(string_split(column2, ' ')) AS words FROM (VALUES {templates})),
+  SELECT col1 AS label, list_distinct(string_split(col2, ' ')) AS words FROM (VALUES {templates})),
 blocks AS (SELECT r, list_distinct(w[s + 1:s + {BLOCK}]) AS words FROM (SELECT r, w, unnest(range(0, len(w), {BLOCK // 2})) AS s FROM d)),
 m AS (
   SELECT r, list(label) AS labels, max(len(list_intersect(b.words, t.words)) / len(t.words)) AS best

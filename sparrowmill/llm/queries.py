@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, weak_rules
+from . import chat, licenses, mixing, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_licenses": licenses.query,
+    "op4_chat": chat.query,
     "op10_quality_rules": weak_rules.query,
 }
 ORACLE = {
     "op1_mixing": mixing.SQL,
     "op2_licenses": licenses.SQL,
+    "op4_chat": chat.SQL,
 }
