@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, mixing, weak_rules
+from . import chat, licenses, minhash, mixing, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_licenses": licenses.query,
     "op4_chat": chat.query,
+    "op7_minhash": minhash.query,
     "op10_quality_rules": weak_rules.query,
 }
 ORACLE = {
