@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, minhash, mixing, pairwise, weak_rules
+from . import chat, licenses, minhash, mixing, pairwise, sharding, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_licenses": licenses.query,
     "op4_chat": chat.query,
     "op7_minhash": minhash.query,
+    "op8_sharding": sharding.query,
     "op9_classifier": pairwise.query,
     "op10_quality_rules": weak_rules.query,
 }
