@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, minhash, mixing, pairwise, sharding, weak_rules
+from . import bpe, chat, licenses, minhash, mixing, pairwise, sharding, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_licenses": licenses.query,
     "op4_chat": chat.query,
+    "op5_bpe": bpe.query,
     "op7_minhash": minhash.query,
     "op8_sharding": sharding.query,
     "op9_classifier": pairwise.query,
