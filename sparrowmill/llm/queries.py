@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, licenses, minhash, mixing, pairwise, sharding, weak_rules
+from . import bpe, chat, kneser_ney, licenses, minhash, mixing, pairwise, sharding, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_licenses": licenses.query,
+    "op3_kneser_ney": kneser_ney.query,
     "op4_chat": chat.query,
     "op5_bpe": bpe.query,
     "op7_minhash": minhash.query,
