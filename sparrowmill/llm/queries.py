@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, kneser_ney, licenses, minhash, mixing, pairwise, sharding, weak_rules
+from . import bpe, chat, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_kneser_ney": kneser_ney.query,
     "op4_chat": chat.query,
     "op5_bpe": bpe.query,
+    "op6_jpeg": jpeg.query,
     "op7_minhash": minhash.query,
     "op8_sharding": sharding.query,
     "op9_classifier": pairwise.query,
