@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, table
+from .common import bounded, fresh, table
 
 REMEMBERED, BLOCK = 300_000, 1 << 21
 
@@ -170,6 +170,7 @@ def tokenize(
 ) -> DataFrame:
     """All documents with n_tokens, tokens (packed ids) and, if asked for, decoded (bytes); named afresh on a clash."""
     names = fresh(docs, "n_tokens", "tokens", "decoded")[: 3 if decoded else 2]
+    every = [*names, *docs.columns]
     shipped = docs.sparkSession.sparkContext.broadcast((ranks, pattern))  # one entry for each id of the vocabulary
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     added = ", ".join(f"`{n}` {t}" for n, t in zip(names, ("long", "binary", "binary"), strict=False))
@@ -185,10 +186,10 @@ def tokenize(
                     cols.append(pa.array([encoder.decode(x) for x in ids], pa.binary()))
                 rest = batch.slice(at, len(block)).columns[1:]
                 at += len(block)
-                yield pa.record_batch([*cols, *rest], names=[*names, *docs.columns])
+                yield pa.record_batch([*cols, *rest], names=every)
 
     rows = docs.select(F.col(text_col), *[F.col(c) for c in docs.columns])
-    return rows.mapInArrow(run, f"{added}, {fields}").select(*docs.columns, *names)
+    return bounded(rows).mapInArrow(run, f"{added}, {fields}").select(*docs.columns, *names)
 
 
 def public_ranks() -> tuple[dict[bytes, int], str]:

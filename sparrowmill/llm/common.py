@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Rows of an Arrow batch.
+BATCH = 1024
 #: Words are maximal runs of anything but space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -87,5 +89,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """The frame, with Arrow batches of at most BATCH rows where the session leaves Spark's own 10,000: texts are long."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    return df
+
+
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, table
+from .common import bounded, fresh, table
 
 #: MCUs in a restart interval, and payload bytes of a batch.
 INTERVAL, CHUNK = 4, 1 << 21
@@ -684,6 +684,7 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, int, list]]:
 def store(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """All documents with n_bytes and media, the file that holds the text (named afresh on a clash)."""
     names = fresh(docs, "n_bytes", "media")
+    every = [*names, *docs.columns]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -691,15 +692,16 @@ def store(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
             for i, j, raw in _batches(batch.column(0).cast(pa.large_binary())):
                 files = write([padded(r) for r in raw])
                 cols = [pa.array([len(r) for r in raw], pa.int64()), pa.array(files, pa.binary())]
-                yield pa.record_batch([*cols, *batch.slice(i, j - i).columns[1:]], names=[*names, *docs.columns])
+                yield pa.record_batch([*cols, *batch.slice(i, j - i).columns[1:]], names=every)
 
     rows = docs.select(F.col(text_col), *[F.col(c) for c in docs.columns])
-    return rows.mapInArrow(run, f"`{names[0]}` long, `{names[1]}` binary, {fields}").select(*docs.columns, *names)
+    return bounded(rows).mapInArrow(run, f"`{names[0]}` long, `{names[1]}` binary, {fields}").select(*docs.columns, *names)
 
 
 def load(files: DataFrame, *, media_col: str = "media", tensors: bool = True) -> DataFrame:
     """All files with payload, feature and, if asked for, width, height and rgb (bytes, rows of pixels)."""
     wanted = fresh(files, "payload", "feature", "width", "height", "rgb")[: 5 if tensors else 2]
+    every = [*wanted, *files.columns]
     kinds = ("binary", "string", "int", "int", "binary")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
     added = ", ".join(f"`{n}` {t}" for n, t in zip(wanted, kinds, strict=False))
@@ -717,10 +719,10 @@ def load(files: DataFrame, *, media_col: str = "media", tensors: bool = True) ->
                         held.append(v)
                 types = [pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
                 cols = [pa.array(v, t) for v, t in zip(out, types, strict=False)]
-                yield pa.record_batch([*cols, *batch.slice(i, j - i).columns[1:]], names=[*wanted, *files.columns])
+                yield pa.record_batch([*cols, *batch.slice(i, j - i).columns[1:]], names=every)
 
     rows = files.select(F.col(media_col), *[F.col(c) for c in files.columns])
-    return rows.mapInArrow(run, f"{added}, {fields}").select(*files.columns, *wanted)
+    return bounded(rows).mapInArrow(run, f"{added}, {fields}").select(*files.columns, *wanted)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

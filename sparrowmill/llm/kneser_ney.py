@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, shared_path, table
+from .common import bounded, fresh, shared_path, table
 from .textbatch import U, Texts, join, slices
 
 FOLDS, HELD_OUT = 7, 2
@@ -287,9 +287,9 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Settings:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     side = max(4, math.isqrt(partitions))
     ranges = max(4, partitions // 2)
-    blocks = docs.select(F.col(text_col).alias("text")).mapInArrow(_count(side), "shard int, blob binary")
+    blocks = bounded(docs.select(F.col(text_col).alias("text"))).mapInArrow(_count(side), "shard int, blob binary")
     dealt = blocks.repartition(side * side, "shard")
-    facts = dealt.mapInArrow(_bigrams(folder, side, ranges), "shard int, blob binary, t1 long, t2 long, t3 long, t4 long")
+    facts = bounded(dealt).mapInArrow(_bigrams(folder, side, ranges), "shard int, blob binary, t1 long, t2 long, t3 long, t4 long")
     sums = facts.repartition(ranges, "shard").mapInArrow(
         _words(folder), "kind string, n long, t1 long, t2 long, t3 long, t4 long, tokens long, distinct long"
     )
@@ -404,7 +404,7 @@ def score(docs: DataFrame, settings: Settings, *, text_col: str = "text") -> Dat
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     rows = docs.select(F.col(text_col), *[F.col(c) for c in docs.columns])
     added = f"`{n}` long, `{known}` long, `{base}` double, `{full}` double"
-    out = rows.mapInArrow(_score(settings, [n, known, base, full, *docs.columns]), f"{added}, {fields}")
+    out = bounded(rows).mapInArrow(_score(settings, [n, known, base, full, *docs.columns]), f"{added}, {fields}")
     return out.withColumn(total, F.lit(settings.tokens).cast("long")).withColumn(
         perplexity, F.pow(F.lit(10.0), -F.col(full) / F.col(n))
     ).select(*docs.columns, n, known, total, base, full, perplexity)

@@ -18,7 +18,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of text worked on at a time; a longer text is worked on alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
