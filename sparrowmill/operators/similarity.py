@@ -8,6 +8,7 @@ import tempfile
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def jaccard_pairs(sets: DataFrame, ident: str, items: str, least: float) -> Data
     return checked.where(F.col("both") >= least * F.col("either") - 1e-9).select("a", "b", "both", (F.col("both") / F.col("either")).alias("jaccard"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two texts; the order of the arguments matters."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])

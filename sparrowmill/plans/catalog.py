@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import rows
+from . import relational, rows
 
 FLAGSHIP = "keyword_search"
-MODULES = (rows,)
+MODULES = (rows, relational)
 
 
 def queries() -> dict[str, Callable]:
