@@ -71,23 +71,21 @@ def jumps(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         if level.isEmpty():
             break
         levels.append(level.select("conv", "msg", "up"))
-        # What the message 2^k above has gathered on its own stretch is added; then the jump doubles.
+        # What the message 2^k above has gathered on its own stretch is added; then the jump doubles. Messages whose
+        # stretch has come to the root only serve as such; they are not joined again.
         above = state.select(
             F.col("conv").alias("ac"), F.col("msg").alias("am"), F.col("up").alias("aup"),
             F.col("depth").alias("adepth"), F.col("total").alias("atotal"),
         )
-        joined = state.join(above, state["conv"].eqNullSafe(above["ac"]) & (state["up"] == above["am"]), "left")
-        state = cut(
-            joined.select(
-                "conv",
-                "msg",
-                F.col("aup").alias("up"),
-                (F.col("depth") + F.coalesce("adepth", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("atotal", F.lit(0.0))).alias("total"),
-            )
+        joined = level.join(above, level["conv"].eqNullSafe(above["ac"]) & (level["up"] == above["am"]))
+        longer = joined.select(
+            "conv",
+            "msg",
+            F.col("aup").alias("up"),
+            (F.col("depth") + F.col("adepth")).alias("depth"),
+            (F.col("total") + F.col("atotal")).alias("total"),
         )
-        if len(levels) == MAX_DOUBLINGS:
-            state = state.where(F.col("up").isNull())
+        state = cut(state.where(F.col("up").isNull()).unionByName(longer))
     return state.where(F.col("up").isNull()).select("conv", "msg", "depth", "total"), levels
 
 
