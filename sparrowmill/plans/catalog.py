@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import relational, rows
+from . import models, relational, rows
 
 FLAGSHIP = "keyword_search"
-MODULES = (rows, relational)
+MODULES = (rows, relational, models)
 
 
 def queries() -> dict[str, Callable]:
