@@ -60,7 +60,7 @@ def tags(text: Column, lexicon: dict[str, list[str]], negation: str, around: int
 def section(text: Column, header: str) -> Column:
     """The body under a level-two heading, up to the next one, a rule or the end."""
     body = F.regexp_extract(text, rf"(?s)(?:^|\n)## {header}\n(.*?)(?=\n## |\n---|$)", 1)
-    return F.nullif(F.trim(body), F.lit(""))
+    return F.nullif(F.regexp_replace(body, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def compact(text: Column) -> Column:

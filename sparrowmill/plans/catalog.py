@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import models, relational, rows
+from . import models, relational, rows, stream
 
 FLAGSHIP = "keyword_search"
-MODULES = (rows, relational, models)
+MODULES = (rows, relational, models, stream)
 
 
 def queries() -> dict[str, Callable]:
