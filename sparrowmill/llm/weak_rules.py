@@ -177,9 +177,8 @@ def fit(
         return let(F.transform(p, expect), renew)
 
     seen = F.collect_list(F.struct(F.array(*rules).alias("v"), F.col("n").cast("double").alias("n")))
-    found = patterns.agg(seen.alias("p")).select(
-        F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state, lambda s, _: one_round(s, F.col("p"))).alias("s")
-    )
+    after = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state, lambda s, _: one_round(s, F.col("p")))
+    found = patterns.agg(seen.alias("p")).select(F.when(F.size("p") > 0, after).otherwise(state).alias("s"))
     row = found.first()["s"]
     return row["odds"], [tuple(x) for x in row["lift"]]
 
