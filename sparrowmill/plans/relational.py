@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import aggregates, matching, relations, similarity
+from ..operators import aggregates, matching, relations, requests, similarity
 from ..session import table
 
 QUERIES, SQL = {}, {}
@@ -425,3 +425,43 @@ def _search_sql() -> str:
 
 
 SQL["keyword_search"] = _search_sql()
+
+
+REQUEST_PROFILE = requests.Profile(
+    goals={"motion": ["tion", "ing "], "things": ["blest", "onth"], "people": ["ther"]},
+    stages={"early": ["Then ", "First"], "late": ["sion", "ded "]},
+    regions=requests.Aliases((("thand", "Thand", "north"), ("eaes", "Eaes", "south"), ("thandor", "Thandor", "north"), ("ouan", "Ouan", "west"))),
+    nation_wide=("every", "onter"),
+    only_there=("onoran", "hain"),
+    routes=((r"[?]", "question"), (r"\d", "amount"), (r"^Th", "more")),
+)
+
+
+@query
+def request_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of the benchmark and of documents as requests in plain words."""
+    rows = table(spark, d, "documents").select("doc_id", "text")
+    out = requests.parse(rows, "text", REQUEST_PROFILE)
+    note = requests.explain(F.col("goal"), F.col("stage"), F.col("region"), F.col("mode"))
+    return out.select("doc_id", "goal", F.array_join("goals", ",").alias("goals"), "stage", "region", "region_group", "mode", "route", note.alias("note"))
+
+
+def _parse_sql() -> str:
+    p = REQUEST_PROFILE
+    has = lambda ws: "(" + " OR ".join(f"contains(text, '{w}')" for w in ws) + ")"
+    first = lambda g: "CASE " + " ".join(f"WHEN {has(ws)} THEN '{n}'" for n, ws in g.items()) + " END"
+    place = lambda k: "CASE " + " ".join(f"WHEN contains(text, '{r[0]}') THEN '{r[k]}'" for r in p.regions.longest_first()) + " END"
+    goals = ", ".join(f"CASE WHEN {has(ws)} THEN '{n}' END" for n, ws in sorted(p.goals.items()))
+    routes = " ".join(f"WHEN regexp_matches(text, '{x}') THEN '{n}'" for x, n in p.routes)
+    return f"""
+WITH x AS (SELECT doc_id, {first(p.goals)} AS goal, concat_ws(',', {goals}) AS goals, {first(p.stages)} AS stage,
+                  {place(1)} AS region, {place(2)} AS region_group, {has(p.nation_wide)} AS wide, {has(p.only_there)} AS there,
+                  CASE {routes} ELSE 'summary' END AS route FROM documents),
+m AS (SELECT *, CASE WHEN wide AND region IS NULL THEN 'national_only' WHEN region IS NULL THEN 'none' WHEN there THEN 'strict'
+                ELSE 'region_first' END AS mode FROM x)
+SELECT doc_id, goal, goals, stage, region, region_group, mode, route,
+       concat_ws(', ', 'for ' || goal, 'at stage ' || stage, 'in ' || region, 'mode ' || mode) AS note FROM m
+"""
+
+
+SQL["request_parse"] = _parse_sql()
