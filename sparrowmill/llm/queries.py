@@ -20,4 +20,5 @@ ORACLE = {
     "op1_mixing": mixing.SQL,
     "op2_licenses": licenses.SQL,
     "op4_chat": chat.SQL,
+    "op10_quality_rules": weak_rules.SQL,
 }

@@ -222,5 +222,69 @@ def judge(
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents"))
     return judged.select(
-        "doc_id", *[F.col("facts")[x].alias(x) for x in FACTS[:5]], "base_failed", "kept", "quality_posterior"
+        "doc_id", *[F.col("facts")[x].alias(x) for x in FACTS[:5]], "base_failed", "kept",
+        F.round("quality_posterior", 6).alias("quality_posterior"),
     )
+
+
+def _sql(rounds: int = ROUNDS, prior: float = 0.85, alarm=(0.002, 0.4), praise=(0.9, 0.6), belief=(4.0, 0.25)) -> str:
+    """The same facts, votes and maximisation for DuckDB: a recursive step over the table of patterns is one round."""
+    ks = range(len(RULES))
+    real = lambda x: f"{x!r}::DOUBLE"
+    start = [real(math.log(g / b)) for g, b in (alarm, praise)]
+    total = "odds + " + " + ".join(f"CASE v{k} WHEN -1 THEN lb{k} WHEN 1 THEN lg{k} ELSE 0 END" for k in ks)
+    mass = ", ".join(
+        f"sum(CASE WHEN v{k} = {v} THEN n * {side} ELSE 0 END) AS {name}{k}"
+        for k in ks
+        for v, side, name in ((-1, "p", "gb"), (-1, "(1 - p)", "bb"), (1, "p", "gg"), (1, "(1 - p)", "bg"))
+    )
+
+    def lift(k: int, which: str, rates: tuple[float, float]) -> str:
+        g = f"(g{which}{k} + n * {real(belief[0] * rates[0])}) / (good + n * {real(belief[0])})"
+        b = f"(b{which}{k} + n * {real(belief[1] * rates[1])}) / (bad + n * {real(belief[1])})"
+        return f"ln({g}) - ln({b})"
+
+    lifts = ", ".join(f"{lift(k, 'b', alarm)} AS lb{k}, {lift(k, 'g', praise)} AS lg{k}" for k in ks)
+    share = lambda a, b: f"CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0 END"
+    votes = [
+        f"CASE WHEN n_words >= {MIN_WORDS} THEN 1 ELSE 0 END",
+        *[
+            f"CASE WHEN {share(a, b)} > {most} THEN -1 ELSE 0 END"
+            for a, b, most in (("n_symbols", "word_chars", 0.05), ("n_repeat_words", "n_words", 0.3), ("n_dup_lines", "n_lines", 0.3), ("n_upper", "n_letters", 0.4))
+        ],
+        "CASE WHEN n_words > 0 AND word_chars >= 3 * n_words AND word_chars <= 12 * n_words THEN 1 WHEN n_words > 0 THEN -1 ELSE 0 END",
+    ]
+    columns = ", ".join(f"{v} AS v{k}" for k, v in enumerate(votes))
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+g AS (SELECT r, i, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM (SELECT r, w, unnest(range(0, greatest(len(w) - 2, 0))) AS i FROM t)),
+h AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM g),
+c AS (SELECT r, count(DISTINCT i + k) AS n FROM h, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r),
+f AS (
+  SELECT t.r, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         len(lines) AS n_lines, length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) AS n_upper,
+         length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS n_letters
+  FROM t LEFT JOIN c USING (r)),
+v AS (SELECT f.*, {columns} FROM f),
+p AS (SELECT {", ".join(f"v{k}" for k in ks)}, count(*)::DOUBLE AS n FROM v GROUP BY ALL),
+s AS (
+  SELECT 0 AS k, {real(math.log(prior / (1 - prior)))} AS odds, {", ".join(f"{start[0]} AS lb{k}, {start[1]} AS lg{k}" for k in ks)}
+  UNION ALL
+  SELECT k + 1, ln((good + n * {real(belief[0] * prior)}) / (bad + n * {real(belief[0] * (1 - prior))})) AS odds, {lifts}
+  FROM (SELECT k, sum(n * p) AS good, sum(n * (1 - p)) AS bad, sum(n) AS n, {mass}
+        FROM (SELECT s.k, p.*, 1 / (1 + exp(-({total}))) AS p FROM s, p WHERE s.k < {rounds}) GROUP BY k)),
+e AS (SELECT v.*, 1 / (1 + exp(-({total}))) AS q FROM v, (SELECT * FROM s WHERE k = {rounds}))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND q >= 0.5 AS kept, round(q, 6) AS quality_posterior
+FROM e
+"""
+
+
+SQL = _sql()
