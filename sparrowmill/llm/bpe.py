@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +41,11 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.vocabulary = {r: b for b, r in ranks.items()}
-        self.bytes_rank = [ranks[bytes([b])] for b in range(256)]
         self.width = max(self.vocabulary) + 1
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.tokens = [self.vocabulary.get(r) for r in range(self.width)]
+        self.byte_symbols = np.array([ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
+        self.known: dict[str, bytes] = {}
         self.pairs: dict[int, int] = {}
 
     def merged(self, a: int, b: int) -> int:
@@ -58,94 +59,114 @@ class Encoder:
             self.pairs[key] = found
         return found
 
-    def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of distinct words, by replaying all merges over them in rank order."""
-        first, symbol, word = [], [], []
-        out: list[tuple[int, ...] | None] = [None] * len(words)
-        for w, raw in enumerate(words):
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                out[w] = (whole,)
-                first.append(-1)
-                continue
-            first.append(len(symbol))
-            symbol += [self.bytes_rank[b] for b in raw]
-            word += [w] * len(raw)
-        n = len(symbol)
-        after = [i + 1 if i + 1 < n and word[i + 1] == word[i] else -1 for i in range(n)]
-        before = [i - 1 if i and word[i - 1] == word[i] else -1 for i in range(n)]
-        index: dict[int, list[int]] = {}
-        merged, get = self.merged, self.pairs.get
-        for i in range(n):
-            j = after[i]
-            if j >= 0:
-                r = merged(symbol[i], symbol[j])
-                if r >= 0:
-                    index.setdefault(r, []).append(i)
-        heap = list(index)
-        heapq.heapify(heap)
-        width = self.width
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words, by replaying all merges over them in rank order."""
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words])
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        n = len(raw)
+        where = np.repeat(np.arange(len(words)), sizes)
+        ends = np.cumsum(sizes)
+        following = np.arange(1, n + 1)
+        following[ends[sizes > 0] - 1] = -1
+        preceding = np.arange(-1, n - 1)
+        preceding[(ends - sizes)[sizes > 0]] = -1
+        # The index: for each rank, the positions whose pair it joins. At first all symbols are bytes.
+        rank = np.full(n, -1)
+        inner = np.flatnonzero(following >= 0)
+        rank[inner] = self.byte_pairs[raw[inner], raw[inner + 1]]
+        paired = np.flatnonzero(rank >= 0)
+        paired = paired[np.argsort(rank[paired], kind="stable")]
+        kinds, starts = np.unique(rank[paired], return_index=True)
+        edges = [*starts.tolist(), len(paired)]
+        paired = paired.tolist()
+        heap = kinds.tolist()
+        index = {r: paired[a:b] for r, a, b in zip(heap, edges[:-1], edges[1:], strict=True)}
+        symbol, after, before, word = self.byte_symbols[raw].tolist(), following.tolist(), preceding.tolist(), where.tolist()
+        merged, get, width = self.merged, self.pairs.get, self.width
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            r = heapq.heappop(heap)
+            r = pop(heap)
             at = index.pop(r, None)
             if at is None:
                 continue
             at.sort()
             waiting = -1
+            base = r * width
             for i in at:
-                if word[i] == waiting:
-                    index.setdefault(r, []).append(i)
+                a = symbol[i]
+                j = after[i]
+                if a < 0 or j < 0:
                     continue
-                j = after[i] if symbol[i] >= 0 else -1
-                if j < 0 or merged(symbol[i], symbol[j]) != r:
+                q = get(a * width + symbol[j])
+                if q is None:
+                    q = merged(a, symbol[j])
+                if q != r:
+                    continue
+                w = word[i]
+                if w == waiting:
+                    index.setdefault(r, []).append(i)
                     continue
                 symbol[i] = r
                 symbol[j] = -1
                 k = after[i] = after[j]
-                fresh_pairs = []
                 if k >= 0:
                     before[k] = i
-                    q = get(r * width + symbol[k])
-                    fresh_pairs.append((i, merged(r, symbol[k]) if q is None else q))
+                    q = get(base + symbol[k])
+                    if q is None:
+                        q = merged(r, symbol[k])
+                    if q >= 0:
+                        if q in index:
+                            index[q].append(i)
+                        else:
+                            index[q] = [i]
+                            push(heap, q)
+                        if q < r:
+                            waiting = w
                 h = before[i]
                 if h >= 0:
                     q = get(symbol[h] * width + r)
-                    fresh_pairs.append((h, merged(symbol[h], r) if q is None else q))
-                for p, q in fresh_pairs:
+                    if q is None:
+                        q = merged(symbol[h], r)
                     if q >= 0:
                         if q in index:
-                            index[q].append(p)
+                            index[q].append(h)
                         else:
-                            index[q] = [p]
-                            heapq.heappush(heap, q)
+                            index[q] = [h]
+                            push(heap, q)
                         if q < r:
-                            waiting = word[i]
+                            waiting = w
             if r in index:
-                heapq.heappush(heap, r)
-        for w, i in enumerate(first):
-            if i >= 0:
-                ids = []
-                while i >= 0:
-                    ids.append(symbol[i])
-                    i = after[i]
-                out[w] = tuple(ids)
-            elif out[w] is None:
-                out[w] = ()
-        return out
+                push(heap, r)
+        left = np.array(symbol)
+        alive = left >= 0
+        packed = left[alive].astype("<u4").tobytes()
+        edges = [0, *np.cumsum(4 * np.bincount(where[alive], minlength=len(words))).tolist()]
+        return [packed[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
         cut = [self.pattern.findall(t) for t in texts]
-        new = list({w for words in cut for w in words if w not in self.known})
+        seen = set().union(*cut)
+        new = list(seen.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = list({w for words in cut for w in words})
-        self.known.update(zip(new, self.replay([w.encode() for w in new]), strict=True))
+            new = list(seen)
+        whole = self.ranks.get
+        rest = []
+        for w in new:
+            one = whole(w.encode())
+            if one is None:
+                rest.append(w)
+            else:
+                self.known[w] = one.to_bytes(4, "little")
+        self.known.update(zip(rest, self.replay([w.encode() for w in rest]), strict=True))
         look = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(look, words)), "<u4") for words in cut]
+        return [np.frombuffer(b"".join(map(look, words)), "<u4") for words in cut]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 def _blocks(texts: list[str]) -> Iterator[list[str]]:
