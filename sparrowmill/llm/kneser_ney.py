@@ -12,7 +12,7 @@ as sorted arrays too. Only a few sums reach the driver. Files appear by renaming
 Scoring: workers map the arrays into memory and look up the sorted hashes of a batch. Everything counted is in the
 arrays, so they grow with the corpus; workers hold only the pages they touch.
 
-The order is two: with three, the distinct trigrams alone exceed four times the input on disk.
+The order is two; three was estimated at over four times the input on disk (README).
 
 Defined cases: a null or blank text is its end alone; a corpus without training texts gives every token probability 1;
 unknown words share the mass of one more word; repeated rows count and score alike; texts of any length are whole; an
@@ -39,6 +39,8 @@ from .textbatch import U, Texts, join, slices
 FOLDS, HELD_OUT = 7, 2
 #: Bigrams that a task gathers before it packs them.
 GATHER = 4_000_000
+#: Stored input for each shard, where the session does not ask for more of them.
+SHARD_BYTES = 16 << 20
 END, START = U(0x6A09E667F3BCC909), U(0xBB67AE8584CAA73B)
 
 
@@ -284,7 +286,10 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Settings:
     """Counts all texts and writes the model to the shared folder."""
     spark = docs.sparkSession
     folder = shared_path(spark, "lm")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A shard is merged in one task's memory, so shards grow with the input where the session's partitions do not.
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0  # frames that cannot tell claim more than there is
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), known // SHARD_BYTES)
     side = max(4, math.isqrt(partitions))
     ranges = max(4, partitions // 2)
     blocks = bounded(docs.select(F.col(text_col).alias("text"))).mapInArrow(_count(side), "shard int, blob binary")
