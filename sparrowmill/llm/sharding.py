@@ -21,19 +21,20 @@ from __future__ import annotations
 import bisect
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, fresh, table
 
 SHARDS, FIRST, FANOUT, SALTS = 16, 4096, 256, 16
-SPAN = 1 << 64
 
 
 @dataclass
 class Segment:
-    """Groups whose key k has lo <= k < hi; atomic if it is one group."""
+    """The groups of one bucket of a level, from key lo to key hi; atomic if it is one group."""
 
+    level: int
+    bucket: int
     lo: int
     hi: int
     mass: int
@@ -98,60 +99,50 @@ def to_refine(segments: list[Segment], shards: int) -> list[int]:
     return sorted(out)
 
 
-def as_unsigned(x: int) -> int:
-    return x + (1 << 63)
-
-
-def as_signed(x: int) -> int:
-    return x - (1 << 63)
-
-
-def aggregate(groups: DataFrame, bucket: Column) -> list:
-    return (
-        groups.groupBy(bucket.alias("b"))
+def at_level(groups: DataFrame, shift: int, level: int) -> list[Segment]:
+    """Sums by the leading bits of the key, in the order of keys."""
+    rows = (
+        groups.groupBy(F.shiftright("k", shift).alias("b"))
         .agg(F.sum("mass").alias("mass"), F.min("k").alias("lo"), F.max("k").alias("hi"))
         .collect()
     )
-
-
-def refine(groups: DataFrame, segments: list[Segment], which: list[int], fanout: int) -> list[Segment]:
-    """Splits the named segments by one aggregate over the groups inside them."""
-    chosen = [segments[k] for k in which]
-    inside = F.lit(False)
-    for s in chosen:
-        inside = inside | F.col("k").between(as_signed(s.lo), as_signed(s.hi - 1))
-    step = F.lit(None).cast("long")
-    for i, s in enumerate(chosen):
-        width = max(-(-(s.hi - s.lo) // fanout), 1)
-        # Differences within a segment fit a long, as a segment is a small part of the hash range.
-        part = F.floor((F.col("k") - F.lit(as_signed(s.lo))) / F.lit(width)).cast("long")
-        step = F.when(F.col("k").between(as_signed(s.lo), as_signed(s.hi - 1)), F.lit(i * 2 * fanout) + part).otherwise(step)
-    found: dict[int, list[Segment]] = {}
-    for r in aggregate(groups.where(inside), step):
-        one = Segment(as_unsigned(r["lo"]), as_unsigned(r["hi"]) + 1, r["mass"], r["lo"] == r["hi"])
-        found.setdefault(r["b"] // (2 * fanout), []).append(one)
-    out, wanted = [], {k: i for i, k in enumerate(which)}
+    found = [Segment(level, r["b"], r["lo"], r["hi"], r["mass"], r["lo"] == r["hi"]) for r in rows]
+    return sorted(found, key=lambda s: s.lo)
+
+
+def refine(groups: DataFrame, segments: list[Segment], which: list[int], shifts: list[int]) -> list[Segment]:
+    """Splits the named segments: one aggregate for each of their levels, over the groups inside them."""
+    children: dict[tuple[int, int], list[Segment]] = {}
+    for level in sorted({segments[k].level for k in which}):
+        inside = [segments[k].bucket for k in which if segments[k].level == level]
+        own = groups.where(F.shiftright("k", shifts[level]).isin(inside))
+        for s in at_level(own, shifts[level + 1], level + 1):
+            children.setdefault((level, s.bucket >> (shifts[level] - shifts[level + 1])), []).append(s)
+    chosen, out = set(which), []
     for k, s in enumerate(segments):
-        out += sorted(found.get(wanted[k], []), key=lambda x: x.lo) if k in wanted else [s]
+        out += children[s.level, s.bucket] if k in chosen else [s]
     return out
 
 
 def partition(groups: DataFrame, shards: int = SHARDS, first: int = FIRST, fanout: int = FANOUT) -> tuple[int, list[int]]:
-    """Groups (k, mass) with distinct long keys -> the least capacity, and the largest key of each shard but the last."""
-    width = SPAN // first
-    rows = aggregate(groups, F.floor(F.col("k") / F.lit(width)))
-    if not rows:
+    """Groups (k, mass) with distinct long keys -> the least capacity, and the largest key of each shard but the last.
+
+    first and fanout are powers of two.
+    """
+    shifts = [64 - (first.bit_length() - 1)]
+    while shifts[-1]:
+        shifts.append(max(shifts[-1] - (fanout.bit_length() - 1), 0))
+    segments = at_level(groups, shifts[0], 0)
+    if not segments:
         return 0, []
-    segments = [Segment(as_unsigned(r["lo"]), as_unsigned(r["hi"]) + 1, r["mass"], r["lo"] == r["hi"]) for r in rows]
-    segments.sort(key=lambda s: s.lo)
     while which := to_refine(segments, shards):
-        segments = refine(groups, segments, which, fanout)
+        segments = refine(groups, segments, which, shifts)
     ends = sums(segments)
     capacity = least_capacity(ends, segments, shards, whole=True)
     keys = []
     for end in fill(ends, segments, shards, capacity, True)[:-1]:
         k = bisect.bisect_right(ends, end) - 1
-        keys.append(as_signed(segments[k].hi - 1) if k >= 0 else as_signed(0))
+        keys.append(segments[k].hi if k >= 0 else -(1 << 63))
     return capacity, keys
 
 
@@ -172,10 +163,9 @@ def shard(
     at = F.lit(0)
     for i, k in enumerate(keys):
         at = F.when(F.col(key) > F.lit(k), F.lit(i + 1)).otherwise(at)
-    width = SPAN // FIRST
     placed = (
         sized.withColumn(shard_col, at.cast("int"))
-        .withColumn(piece, F.floor(F.col(key) / F.lit(width)).cast("long"))
+        .withColumn(piece, F.shiftright(key, 64 - (FIRST.bit_length() - 1)))
         .withColumn(salt, F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int"))
     )
     # A slot is the count of rows in earlier pieces of the shard and the place in the own one. Pieces are bounded in
