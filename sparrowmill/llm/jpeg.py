@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import bounded, fresh, table
 
 #: MCUs in a restart interval, and payload bytes of a batch.
-INTERVAL, CHUNK = 4, 1 << 21
+INTERVAL, CHUNK = 4, 1 << 20
 U64 = np.uint64
 
 
