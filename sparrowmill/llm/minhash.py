@@ -8,9 +8,12 @@ and nodes that share one meet in a bucket: at similarity 0.85 the chance that no
 
 In a bucket one node is the centre, the one whose buckets are fullest (an original meets each of its copies more often
 than they meet each other), and every other member is a candidate of the centre: a bucket of n members gives n - 1
-pairs. Candidates are confirmed on their full sets. Rounds follow: a bucket whose members are not all in one component
-gets a new centre among those outside, which meets all members of other components. They end when a round confirms
-nothing, or no bucket is open. Components come from alternating large-star and small-star steps.
+pairs. Candidates are confirmed on their full sets. Rounds follow: a centre has met its bucket and leaves it, and a bucket
+whose other members are not all in one component gets a new centre, from the component with the fewest of them, which
+meets all members of other components. After ROUNDS of these, or one that confirms less than a pair in PAYING, the nodes
+of all buckets still open go to an exact join: pairs of different components that share a shingle in their prefixes, rarest first. So no
+pair of a bucket is left untested unless sizes, prefixes or components settle it. Components come from alternating
+large-star and small-star steps.
 
 Nodes with too few shingles to be alike without being equal take no part in the bands, as they would only be dealt bins
 of one another.
@@ -34,6 +37,10 @@ from .textbatch import U, join, mix, slices
 BANDS, ROWS = 44, 8
 BINS = BANDS * ROWS
 ROUNDS = 6
+#: Slots in which the exact join counts shingles by hash.
+SLOTS = 1 << 22
+#: Stars go on while one pair in so many is confirmed; then the exact join costs less.
+PAYING = 10
 
 
 def _plan(bins: int, tries: int = 64) -> np.ndarray:
@@ -199,24 +206,30 @@ def components(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+def open_buckets(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Members (key, node, n, fame) of the buckets that hold several components, with the component's root."""
-    named = roots.select(F.col("node").alias("rn"), "root")
-    rooted = members.join(named, members["node"] == named["rn"], "left").select(
-        "key", "node", "n", "fame", F.coalesce("root", "node").alias("root")
-    )
+    if roots is None:
+        rooted = members.withColumn("root", F.col("node"))
+    else:
+        named = roots.select(F.col("node").alias("rn"), "root")
+        rooted = members.join(named, members["node"] == named["rn"], "left").select(
+            "key", "node", "n", "fame", F.coalesce("root", "node").alias("root")
+        )
     mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     return rooted.join(mixed.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
 
 
-def stars(members: DataFrame, used: DataFrame | None, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(centre by bucket, candidate pairs) of open buckets; a node that was a bucket's centre isn't chosen again.
+def stars(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(centre by bucket, candidate pairs) of open buckets; the centre is of the component with the fewest members there.
 
     Sets whose sizes alone rule the similarity out are no candidates.
     """
-    free = members if used is None else members.join(used, ["key", "node"], "left_anti")
     order = F.struct("fame", F.xxhash64("node").alias("h"))
-    centre = free.groupBy("key").agg(F.max_by(F.struct("node", "root", "n"), order).alias("c"))
+    best = members.groupBy("key", "root").agg(
+        F.count("*").alias("many"), F.max_by(F.struct("node", "n"), order).alias("c"), F.max(order).alias("o")
+    )
+    first = F.struct((-F.col("many")).alias("few"), "o.fame", "o.h")
+    centre = best.groupBy("key").agg(F.max_by(F.struct("c.node", "root", "c.n"), first).alias("c"))
     centre = centre.select(
         F.col("key").alias("ck"), F.col("c.node").alias("cx"), F.col("c.root").alias("xr"), F.col("c.n").alias("xn")
     )
@@ -230,6 +243,89 @@ def stars(members: DataFrame, used: DataFrame | None, similarity: float) -> tupl
     return centre.select(F.col("ck").alias("key"), F.col("cx").alias("node")), pairs
 
 
+def _slot(s: np.ndarray) -> np.ndarray:
+    return (mix(s) % U(SLOTS)).astype(np.int64)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for x in batch.column("shingles"):
+            np.add.at(n, _slot(np.frombuffer(x.as_buffer(), U)), 1)
+    at = np.flatnonzero(n)
+    yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["slot", "n"])
+
+
+def prefix(s: np.ndarray, often: np.ndarray, hundredths: int) -> tuple[np.ndarray, int, int]:
+    """(prefix, m, left): the rarest shingles of a set; a set as alike has one of them in its own prefix, and if this is not the
+    longer of the two one of the first m. Of all its shingles, ``left`` may be in an overlap.
+
+    ``often`` counts slots. A slot counted once is of a shingle that no other set has; it can't be in an overlap.
+    """
+    n, count = len(s), often[_slot(s)]
+    some = np.flatnonzero(count > 1)
+    some = some[np.lexsort((s[some], count[some]))]
+    # Least overlaps: with any set, and with one that isn't shorter.
+    as_long, as_short = -(-hundredths * n // 100), -(-2 * hundredths * n // (100 + hundredths))
+    return s[some[: max(len(some) - as_long + 1, 0)]], max(len(some) - as_short + 1, 0), len(some)
+
+
+def _prefixes(shipped, similarity: float):
+    hundredths = round(similarity * 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, row, short, left, whole = [], [], [], [], []
+            for k, x in enumerate(batch.column("shingles")):
+                p, m, some = prefix(np.frombuffer(x.as_buffer(), U), shipped.value, hundredths)
+                tokens.append(p)
+                left.append(some - np.arange(len(p)))
+                whole.append(p.view(np.int64))
+                row.append(np.full(len(p), k))
+                short.append(np.arange(len(p)) < m)
+            if not tokens:
+                continue
+            at = pa.array(np.concatenate(row))
+            cols = [batch.column(c).take(at) for c in ("node", "n", "root")]
+            first = [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(short), pa.bool_())]
+            rest = pa.array(np.concatenate(left), pa.int64())
+            wholes = pa.array(whole, pa.list_(pa.int64())).take(at)
+            names = ["token", "short", "left", "prefix", "node", "n", "root"]
+            yield pa.record_batch([*first, rest, wholes, *cols], names=names)
+
+    return run
+
+
+def remaining(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (x, y) of different components among all nodes of open buckets: an exact prefix-filter join.
+
+    Any order of shingles is exact, so they are counted in slots, a table of a fixed size. The shorter set of a pair
+    needs a shorter prefix than the longer one. A pair comes up once, at the first shingle that both prefixes hold, if as
+    many are left from there on as the overlap takes.
+    """
+    spark = live.sparkSession
+    nodes = live.select(F.col("node").alias("on"), "n", "root").distinct()
+    own = written(sets.join(nodes, sets["node"] == nodes["on"]).select("node", "n", "root", "shingles"), "open")
+    counts = bounded(own.select("shingles")).mapInArrow(_slot_counts, "slot long, n long")
+    counts = counts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    shipped = spark.sparkContext.broadcast(often)
+    hundredths = round(similarity * 100)
+    schema = "token long, short boolean, left long, prefix array<long>, node binary, n long, root binary"
+    rows = written(bounded(own).mapInArrow(_prefixes(shipped, similarity), schema), "prefixes")
+    mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    rows = rows.join(mixed.select(F.col("token").alias("t")), F.col("token") == F.col("t"), "left_semi")
+    side = lambda k: [F.col(c).alias(k + c) for c in ("token", "left", "prefix", "node", "n", "root")]
+    x, y = rows.where("short").select(*side("x")), rows.select(*side("y"))
+    longer = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("xnode") < F.col("ynode")))
+    enough = (100 + hundredths) * F.least("xleft", "yleft") >= hundredths * (F.col("xn") + F.col("yn"))
+    alike = 100 * F.col("xn") >= hundredths * F.col("yn")
+    once = F.get(F.array_intersect("xprefix", "yprefix"), F.lit(0)) == F.col("xtoken")
+    pairs = x.join(y, (F.col("xtoken") == F.col("ytoken")) & (F.col("xroot") != F.col("yroot")) & longer & alike & enough & once)
+    return pairs.select(F.least("xnode", "ynode").alias("x"), F.greatest("xnode", "ynode").alias("y"))
+
+
 class Clusters:
     """What dedup knows: rows (id, node, n_shingles) and, by node, the component's least id and the node that has it."""
 
@@ -267,24 +363,31 @@ def cluster(
     text = slim.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "node")
     sets = written(bounded(text).mapInArrow(_sets(width), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
-    links, roots, used, tried = None, None, None, None
+    links, roots, tried = None, None, None
     live = cut(members.withColumn("root", F.col("node")))
-    for _ in range(rounds):
-        centre, pairs = stars(live, used, similarity)
-        centre = cut(centre)
+
+    def test(pairs: DataFrame) -> bool:
+        """Confirms what has not been tried yet; whether that paid."""
+        nonlocal links, roots, tried
         pairs = cut(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
-        if pairs.isEmpty():
-            break
         found = cut(confirm(pairs, sets, similarity))
-        links = found if links is None else links.union(found)
-        used = centre if used is None else used.union(centre)
         tried = pairs if tried is None else tried.union(pairs)
-        if found.isEmpty():
-            break
-        roots = cut(components(links))
-        live = cut(open_buckets(live.drop("root"), roots))
-        if live.isEmpty():
+        n_found = found.count()
+        if n_found:
+            links = found if links is None else links.union(found)
+            roots = cut(components(links))
+        return n_found * PAYING > pairs.count()
+
+    for _ in range(rounds):
+        centre, pairs = stars(live, similarity)
+        centre = cut(centre)
+        paid = test(pairs)
+        live = live.join(centre, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
+        live = cut(open_buckets(live, roots))
+        if not paid or live.isEmpty():
             break
+    if not live.isEmpty():
+        test(remaining(live, sets, similarity))
 
     if roots is None:
         return Clusters(rows, nodes.select("node", F.col("row.id").alias("comp"), F.col("node").alias("rep")))

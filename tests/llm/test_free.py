@@ -105,6 +105,40 @@ def test_near_duplicates_by_brute_force(spark):
     assert all(r.kept == (r.id is not None and r.id == r.component_id) for r in got)
 
 
+def near_threshold(family, planted):
+    """Documents pairwise at 0.835 by single words (91 of 109), of which ``planted`` pairs share two more (93 of 107)."""
+    base = [f"base{k}" for k in range(91)]
+    rows = [(i, " ".join([*base, *[f"own{i}x{k}" for k in range(9)]])) for i in range(family)]
+    for j in range(planted):
+        for i in (0, 1):
+            own = [f"pair{j}x{k}" for k in range(2)] + [f"pair{j}y{i}x{k}" for k in range(7)]
+            rows.append((1000 + 2 * j + i, " ".join([*base, *own])))
+    return rows
+
+
+def test_links_of_a_family_just_under_the_threshold(spark):
+    rows = near_threshold(150, 40)
+    got = minhash.report(minhash.cluster(docs(spark, rows), width=1, similarity=0.85)).collect()
+    want = {k: v[1] for k, v in brute_components(rows, 1, 85).items()}
+    assert sum(i != c for (i, _), c in zip(rows, want.values(), strict=True)) == 40
+    assert {r.id: r.component_id for r in got} == {rows[k][0]: c for k, c in want.items()}
+
+
+def test_prefixes_of_alike_sets_meet():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = rng.choice(200, rng.integers(10, 60), replace=False).astype(np.uint64)
+        b = np.union1d(rng.permutation(a)[rng.integers(0, 9) :], rng.integers(200, 230, rng.integers(0, 9)).astype(np.uint64))
+        a, b = sorted((np.sort(a), b), key=len)
+        both = len(np.intersect1d(a, b))
+        often = np.zeros(minhash.SLOTS, np.int64)
+        for s in (a, b, np.arange(0, 230, 3).astype(np.uint64)):
+            np.add.at(often, minhash._slot(s), 1)
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            (p, m, _), (q, _, _) = minhash.prefix(a, often, 80), minhash.prefix(b, often, 80)
+            assert len(np.intersect1d(p[:m], q))
+
+
 def test_keep_one(spark):
     df = docs(spark, ODD).withColumn("node", F.lit("mine"))
     kept = minhash.keep_one(df)
