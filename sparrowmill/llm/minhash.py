@@ -4,7 +4,8 @@ A document's set is its distinct shingles of ``width`` words (``[^\x20\x09-\x0D]
 the whole sequence is its one shingle; without words the set is empty and linked with nothing. Documents of equal sets
 are one node. One hash deals the shingles into bins and the least of each bin is kept; an empty bin takes the value of
 a full one, which it finds through its own sequence of bins, the same for all documents. ``ROWS`` bins make a band key,
-and nodes that share one meet in a bucket: at similarity 0.85 the chance that none of the bands meets is under 1e-6.
+and nodes that share one meet in a bucket; there are as many bands as keep the chance that none meets, at the similarity
+asked for, under MISSED.
 
 In a bucket one node is the centre, the one whose buckets are fullest (an original meets each of its copies more often
 than they meet each other), and every other member is a candidate of the centre: a bucket of n members gives n - 1
@@ -24,6 +25,7 @@ null ids only has a null id, and its rows are not kept; an empty table gives no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,17 @@ from pyspark.sql import functions as F
 from .common import bounded, cut, fresh, table, written
 from .textbatch import U, join, mix, slices
 
-BANDS, ROWS = 44, 8
+ROWS, MISSED = 8, 1e-6
+
+
+def bands_for(similarity: float) -> int:
+    """The least number of bands of which, at this similarity, none meets with a chance under MISSED."""
+    meets = similarity**ROWS
+    return 1 if meets >= 1 else math.floor(math.log(MISSED) / math.log1p(-meets)) + 1
+
+
+#: Those of similarity 0.85.
+BANDS = bands_for(0.85)
 BINS = BANDS * ROWS
 ROUNDS = 6
 #: Slots in which the exact join counts shingles by hash.
@@ -65,21 +77,21 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
                 yield h[:0]
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One-permutation minima of ascending sets, densified: a row of BINS values for each set."""
-    sig = np.zeros((len(sets), BINS), U)
-    full = np.zeros((len(sets), BINS), bool)
+def signatures(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
+    """One-permutation minima of ascending sets, densified: a row of ``bins`` values for each set."""
+    sig = np.zeros((len(sets), bins), U)
+    full = np.zeros((len(sets), bins), bool)
     for d, s in enumerate(sets):
         # High bits choose the bin, so bins come in order and the first of each is its least.
-        b = ((s >> U(32)) * U(BINS) >> U(32)).astype(np.int64)
+        b = ((s >> U(32)) * U(bins) >> U(32)).astype(np.int64)
         first = np.flatnonzero(np.diff(b, prepend=-1))
         sig[d, b[first]] = s[first]
         full[d, b[first]] = True
     d, i = np.nonzero(~full)
-    attempt, ask = 0, _plan(BINS)
+    attempt, ask = 0, _plan(bins)
     while len(d):
         if attempt and attempt % len(ask) == 0:
-            ask = (mix(ask.astype(U) + U(attempt) * U(BINS)) % U(BINS)).astype(np.int64)
+            ask = (mix(ask.astype(U) + U(attempt) * U(bins)) % U(bins)).astype(np.int64)
         j = ask[attempt % len(ask), i]
         hit = full[d, j]
         sig[d[hit], i[hit]] = sig[d[hit], j[hit]]
@@ -89,8 +101,8 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    rows = sig.reshape(len(sig), BANDS, ROWS)
-    key = np.broadcast_to(np.arange(BANDS, dtype=U), rows.shape[:2]).copy()
+    rows = sig.reshape(len(sig), sig.shape[1] // ROWS, ROWS)
+    key = np.broadcast_to(np.arange(rows.shape[1], dtype=U), rows.shape[:2]).copy()
     for r in range(ROWS):
         key = mix(key * U(0x9E3779B97F4A7C15) + rows[:, :, r])
     return key
@@ -114,7 +126,7 @@ def least_size(similarity: float) -> int:
 
 
 def _nodes(width: int, similarity: float, keep: list[str]):
-    small = least_size(similarity)
+    small, bins = least_size(similarity), bands_for(similarity) * ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +134,7 @@ def _nodes(width: int, similarity: float, keep: list[str]):
             for lo in range(0, len(texts), 512):
                 sets = list(shingle_sets(texts[lo : lo + 512], width))
                 wide = [k for k, s in enumerate(sets) if len(s) >= small]
-                keys = band_keys(signatures([sets[k] for k in wide])).view(np.int64) if wide else None
+                keys = band_keys(signatures([sets[k] for k in wide], bins)).view(np.int64) if wide else None
                 bands: list = [None] * len(sets)
                 for row, k in enumerate(wide):
                     bands[k] = keys[row]

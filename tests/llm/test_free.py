@@ -139,6 +139,18 @@ def test_prefixes_of_alike_sets_meet():
             assert len(np.intersect1d(p[:m], q))
 
 
+@pytest.mark.parametrize("similarity, bands", [(0.8, 76), (0.81, 68), (0.85, 44)])
+def test_bands_follow_the_similarity(similarity, bands):
+    assert minhash.bands_for(similarity) == bands
+    assert (1 - similarity**minhash.ROWS) ** bands < 1e-6
+    run = minhash._nodes(5, similarity, ["id", "th"])
+    import pyarrow as pa
+
+    text = " ".join(f"w{k}" for k in range(40))
+    (out,) = run([pa.record_batch([[text], [1], [1]], names=["text", "id", "th"])])
+    assert len(out.column("bands")[0]) == bands
+
+
 def test_keep_one(spark):
     df = docs(spark, ODD).withColumn("node", F.lit("mine"))
     kept = minhash.keep_one(df)
