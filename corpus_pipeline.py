@@ -1,7 +1,8 @@
 """From raw documents to training tokens: five stages, each an operator of sparrowmill.llm.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return the
-columns of documents; the last adds n_tokens and tokens (ids, four bytes each, little endian). Stages keep the defined
+columns of documents; the last adds n_tokens, tokens (ids, four bytes each, little endian) and the digest of what they
+decode to. Stages keep the defined
 cases of their operators: an empty table goes through as an empty table, null texts leave at the quality rules.
 """
 
@@ -39,8 +40,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their tokens."""
-    return bpe.tokenize(docs, *bpe.public_ranks(), decoded=False)
+    """Documents with their tokens, and the SHA-256 of the bytes these decode to."""
+    out = bpe.tokenize(docs, *bpe.public_ranks())
+    (digest,) = fresh(out, "decoded_sha256")
+    return out.withColumn(digest, F.sha2(out.columns[-1], 256)).drop(out.columns[-1])
 
 
 STAGES = [

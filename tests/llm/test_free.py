@@ -407,6 +407,16 @@ def test_pipeline_by_its_stages(spark):
         assert np.frombuffer(bytes(r.tokens), "<u4").tolist() == library.encode_ordinary(r.text)
 
 
+def test_pipeline_decodes(spark):
+    import hashlib
+
+    import corpus_pipeline
+
+    rows = corpus_pipeline.tokenize(spark, docs(spark, ODD).withColumn("decoded", F.lit("mine")), "").collect()
+    assert len(rows) == len(ODD)
+    assert all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() and r.decoded == "mine" for r in rows)
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     import corpus_pipeline
 
