@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their tokens, and the SHA-256 of the bytes these decode to."""
-    out = bpe.tokenize(docs, *bpe.public_ranks())
+    out = bpe.tokenize(docs, bpe.public_merges())
     (digest,) = fresh(out, "decoded_sha256")
     return out.withColumn(digest, F.sha2(out.columns[-1], 256)).drop(out.columns[-1])
 

@@ -234,33 +234,85 @@ def test_large_counts(spark):
 
 
 def encoders():
+    import public_tokenizers
+
     tiktoken = pytest.importorskip("tiktoken")
-    ranks, pattern = bpe.public_ranks()
-    return bpe.Encoder(ranks, pattern), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert bpe.PATTERN == public_tokenizers.PATTERN
+    return bpe.Merges(ranks), tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_tokens_as_the_library(monkeypatch):
+@pytest.mark.parametrize("few", [0, 60, 1 << 30])
+def test_tokens_as_the_library(monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
     own, library = encoders()
     rnd = random.Random(5)
     texts = [t or "" for _, t in ODD] + [
         "a" * 3000, "".join(rnd.choice("abcdeth \n") for _ in range(4000)), "".join(rnd.choice("inthe") for _ in range(3000)),
-        "日本語 🎉🎉  x", "it's we'll <|endoftext|>", " 　 mixed\r\n", "".join(chr(rnd.randint(33, 0x2FFF)) for _ in range(2000)),
+        "日本語 🎉🎉  x", "it's we'll <|endoftext|>", " 　 mixed\r\n", "".join(chr(rnd.randint(33, 0x2FFF)) for _ in range(2000)),
+        *["".join(rnd.choice("inthegaos ") for _ in range(rnd.randint(0, 60))) for _ in range(300)],
     ]
     for block in (texts, texts[::-1], [texts[-1]]):
         for t, ids in zip(block, own.encode(block), strict=True):
             assert ids.tolist() == library.encode_ordinary(t)
-            assert own.decode(ids).decode() == t
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    assert [x.tolist() for x in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+            assert own.decode(ids).tobytes().decode() == t
 
 
-def test_tokenize(spark):
-    df = docs(spark, ODD).withColumn("tokens", F.lit(1))
-    out = bpe.tokenize(df, *bpe.public_ranks())
+def test_vocabulary_replays_to_itself():
+    own, library = encoders()
+    ranks = library._mergeable_ranks
+    ids, n = own.replay(np.frombuffer(b"".join(ranks), np.uint8), np.cumsum([0, *map(len, ranks)]))
+    assert (n == 1).all() and ids.tolist() == list(ranks.values())
+
+
+def test_pieces_as_the_pattern():
+    import regex
+
+    rnd = random.Random(1)
+    pool = "  \n\t\r'''stmdrevl ll re abc 12 ½ 日本 é ß — ! .\x1c\x85\u2028\u200b\u3000 🎉 ٣ ʼ"
+    for _ in range(1500):
+        texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 30))) for _ in range(rnd.randint(1, 4))]
+        raw = [t.encode() for t in texts]
+        offsets = np.cumsum([0, *map(len, raw)])
+        want = [regex.findall(bpe.PATTERN, t) for t in texts]
+        for pattern in (bpe.PATTERN, f"(?:{bpe.PATTERN})"):
+            buf, edges, bounds = bpe.cut_pieces(np.frombuffer(b"".join(raw), np.uint8), offsets, pattern)
+            got = [buf[a:b].tobytes().decode() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            assert [got[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want
+
+
+@pytest.mark.parametrize("block", [1, 60, 1 << 22])
+def test_tokenize(spark, monkeypatch, block):
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    _, library = encoders()
+    df = docs(spark, ODD).withColumn("tokens", F.lit(1)).withColumn("block", F.lit("mine")).withColumn("at", F.lit(None).cast("string"))
+    out = bpe.tokenize(df, bpe.public_merges())
     assert out.columns == [*df.columns, "n_tokens", "_tokens", "decoded"]
-    for r in out.collect():
-        assert len(r["_tokens"]) == 4 * r.n_tokens and bytes(r.decoded).decode() == (r.text or "")
-    assert bpe.tokenize(docs(spark, []), *bpe.public_ranks()).count() == 0
+    rows = out.collect()
+    assert collections.Counter((r.doc_id, r.text) for r in rows) == collections.Counter(ODD)
+    for r in rows:
+        ids = np.frombuffer(bytes(r["_tokens"]), "<u4").tolist()
+        assert ids == library.encode_ordinary(r.text or "") and r.n_tokens == len(ids)
+        assert bytes(r.decoded).decode() == (r.text or "") and (r.tokens, r.block, r.at, r.lang) == (1, "mine", None, "en")
+    assert bpe.tokenize(docs(spark, []), bpe.public_merges()).count() == 0
+    assert bpe._rereads(df) and not bpe._rereads(df.distinct())
+    assert bpe.tokenize(df.repartition(3, "lang"), bpe.public_merges()).select("n_tokens").agg(F.sum("n_tokens")).first()[0] == sum(r.n_tokens for r in rows)
+    few = bpe.tokenize(df, bpe.public_merges(), keep=["doc_id"], decoded=False)
+    assert few.columns == ["doc_id", "n_tokens", "_tokens"] and few.count() == len(ODD)
+
+
+def test_query_as_the_library(spark):
+    import hashlib
+
+    _, library = encoders()
+    d = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in bpe.query(spark, d).collect()}
+    rows = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for i, t in rows:
+        ids = np.array(library.encode_ordinary(t or ""), "<u4").tobytes()
+        want = len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()
+        assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == want
 
 
 # Media
