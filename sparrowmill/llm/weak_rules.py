@@ -1,30 +1,60 @@
 r"""Quality rules as weak supervision.
 
 Each rule votes that a document is good (1) or bad (-1), or abstains (0). Expectation-maximisation over the table of
-vote patterns estimates how often each rule is right on good and on bad documents, with no labels; a document is kept
-if its posterior probability of being good reaches the threshold. There are at most 3 ** rules patterns, however many
-documents: the table is counted once, and each round of the maximisation is one aggregate over it.
+vote patterns estimates, with no labels, how often each rule that votes is right on good and on bad documents; a document
+is kept if its posterior probability of being good reaches the threshold. So a rule that the others contradict loses its
+say, and a single alarm can be outvoted. There are at most 3 ** rules patterns, however many documents: the table is
+counted once. The rules look at symbols, capitals and repeats in several ways each, since what tells a reliable rule from
+noise is that others agree with it. Facts are computed once and written without what is not to be returned.
+
+To start from, a rule is taken to clear ``CLEARS`` of good and catch ``CATCHES`` of bad documents; these and the share of
+good documents weigh ``WEIGHT`` votes in all, however many documents there are. A rule can't be worse than chance: where
+the estimate says so its votes count for nothing, which also keeps good and bad from changing places.
 
 Base facts (words are runs of ``[^\x20\x09-\x0D]``): n_words, word_chars (code points in words), n_symbols (characters
 of ``[#*$%&|<>]``), n_dup_lines (\n-split lines with a word that equal an earlier line), n_repeat_words (words inside a
 three-word window found twice or more in the text, the first included). A document fails the base rules with fewer
 than 50 words or more than half of its words repeated.
 
-Defined cases: a null or blank text has no words, fails the base and is not kept; equal texts get equal verdicts; an
-empty table gives no rows; a text of any length is counted whole. Other columns pass through untouched.
+Defined cases: a null or blank text has no words, fails the base and is not kept; equal texts and repeated rows get equal
+verdicts; an empty table gives no rows; a text of any length is counted whole. Other columns pass through untouched.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, fresh, let, sigmoid, table, words
-
-MIN_WORDS, MAX_REPEATED, ROUNDS = 50, 0.5, 25
-FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
+from .common import WORD, fresh, let, sigmoid, table, words, written
+
+MIN_WORDS, ROUNDS = 50, 25
+#: What EM starts from: the share of good documents; how many of them a rule clears; of bad ones how many it catches.
+PRIOR, CLEARS, CATCHES, WEIGHT = 0.85, 0.97, 0.5, 1.0
+FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_shouts", "n_distinct")
+#: Rules over facts, as SQL: whether they can tell, what speaks for a document, what against it.
+RULES = {
+    "symbols": ("n_words > 0", "100 * n_symbols < word_chars", "100 * n_symbols > 5 * word_chars"),
+    "symbols_by_word": ("n_words > 0", "100 * n_symbols < 5 * n_words", "100 * n_symbols > 30 * n_words"),
+    "letters": ("n_words > 0", "10 * n_letters > 9 * word_chars", "10 * n_letters < 8 * word_chars"),
+    "capitals": ("n_letters > 0", "10 * n_upper < n_letters", "10 * n_upper > 3 * n_letters"),
+    "capitals_by_word": ("n_words > 0", "2 * n_upper < n_words", "2 * n_upper > 3 * n_words"),
+    "shouts": ("n_words > 0", "100 * n_shouts < 2 * n_words", "100 * n_shouts > 20 * n_words"),
+    "repeats": ("n_words > 0", "10 * n_repeat_words < n_words", "10 * n_repeat_words > 3 * n_words"),
+    "variety": ("n_words > 0", "n_distinct * n_distinct > 16 * n_words", "n_distinct * n_distinct < 4 * n_words"),
+    "lines": ("n_lines > 1", "10 * n_dup_lines < n_lines", "10 * n_dup_lines > 3 * n_lines"),
+    "length": ("n_words > 0", f"n_words >= {MIN_WORDS}", f"n_words < {MIN_WORDS}"),
+    "word_length": ("n_words > 0", "word_chars BETWEEN 3 * n_words AND 12 * n_words", "word_chars NOT BETWEEN 3 * n_words AND 12 * n_words"),
+}
+BASE_FAILED = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words)"
+
+
+def vote(rule: tuple[str, str, str]) -> str:
+    """The SQL of a rule's vote over columns of facts."""
+    known, good, bad = rule
+    return f"CASE WHEN NOT ({known}) THEN 0 WHEN {good} THEN 1 WHEN {bad} THEN -1 ELSE 0 END"
 
 
 def repeat_words(tokens: Column) -> Column:
@@ -94,6 +124,8 @@ def facts(text: Column) -> Column:
                     ln["n"].cast("long").alias("n_lines"),
                     count(t, r"[^\p{Lu}]+").cast("long").alias("n_upper"),
                     count(t, r"[^\p{L}]+").cast("long").alias("n_letters"),
+                    (F.char_length(t) - F.char_length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
+                    F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
                 ),
             ),
         )
@@ -107,44 +139,32 @@ def facts(text: Column) -> Column:
     return let(text, of)
 
 
-def votes(f: Column) -> dict[str, Column]:
-    """The rules: 1 for good, -1 for bad, 0 to abstain. A rule abstains where its fact decides little."""
-    n, chars = f["n_words"], f["word_chars"]
-
-    def above(value: Column, most: float) -> Column:
-        return F.when(value > most, F.lit(-1)).otherwise(F.lit(0))
+class Votes:
+    """What EM found: the log odds of good, what a rule's vote for bad and for good adds to them, and its two accuracies."""
 
-    share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    return {
-        "length": F.when(n >= MIN_WORDS, F.lit(1)).otherwise(F.lit(0)),
-        "symbols": above(share(f["n_symbols"], chars), 0.05),
-        "repeats": above(share(f["n_repeat_words"], n), 0.3),
-        "lines": above(share(f["n_dup_lines"], f["n_lines"]), 0.3),
-        "capitals": above(share(f["n_upper"], f["n_letters"]), 0.4),
-        "word_length": F.when((n > 0) & (chars >= 3 * n) & (chars <= 12 * n), F.lit(1)).when(n > 0, F.lit(-1)).otherwise(F.lit(0)),
-    }
+    def __init__(self, odds: float, lift: list, rates: list) -> None:
+        self.odds, self.lift, self.rates = odds, lift, rates
 
-
-RULES = ("length", "symbols", "repeats", "lines", "capitals", "word_length")
+    def posterior(self, votes: list[Column]) -> Column:
+        """Probability that a document with these votes is good."""
+        total = F.lit(self.odds)
+        for v, (bad, good) in zip(votes, self.lift, strict=True):
+            total = total + F.when(v == 1, good).when(v == -1, bad).otherwise(0.0)
+        return sigmoid(total)
 
 
 def fit(
-    patterns: DataFrame, rules: tuple[str, ...], rounds: int, prior: float, alarm: tuple[float, float], praise: tuple[float, float], belief: tuple[float, float] = (4.0, 0.25)
-) -> tuple[float, list]:
-    """EM on (votes..., n): log odds of good, and by rule what a vote for bad and one for good add to them.
-
-    alarm and praise: how often a rule votes bad, or good, on a good and on a bad document, to start from; an
-    abstention says nothing. These rates also stay in the estimate as priors, worth ``belief`` votes for each document: much for false
-    alarms, as thresholds are set so that good documents rarely trip them and a rule that fires alone would else be
-    taken for noise; little for what a rule finds, which the data tell. The patterns (at most 3 ** rules) fit one array, so all
-    rounds are one expression and one job.
-    """
-    start = [math.log(on_good / on_bad) for on_good, on_bad in (alarm, praise)]
+    patterns: DataFrame, rules: list[str], *, rounds: int = ROUNDS, prior: float = PRIOR, clears: float = CLEARS, catches: float = CATCHES, weight: float = WEIGHT
+) -> Votes:
+    """EM on (a column of votes for each rule, n). The patterns (at most 3 ** rules) fit one array, so all rounds are one
+    expression and one job. Abstentions say nothing."""
+    which = F.sequence(F.lit(0), F.lit(len(rules) - 1))
+    pair = lambda x, y: F.array(F.lit(x), F.lit(y))
     state = F.struct(
         F.lit(math.log(prior / (1 - prior))).alias("odds"),
-        F.array(*[F.array(F.lit(start[0]), F.lit(start[1])) for _ in rules]).alias("lift"),
+        F.array(*[pair(math.log((1 - clears) / catches), math.log(clears / (1 - catches))) for _ in rules]).alias("lift"),
+        F.array(*[pair(clears, catches) for _ in rules]).alias("rates"),
     )
-    which = F.sequence(F.lit(0), F.lit(len(rules) - 1))
 
     def total(xs: Column, of) -> Column:
         return F.aggregate(xs, F.lit(0.0), lambda a, x: a + of(x))
@@ -157,104 +177,118 @@ def fit(
             return F.struct(x["v"].alias("v"), x["n"].alias("n"), sigmoid(s["odds"] + total(which, add)).alias("p"))
 
         def renew(q: Column) -> Column:
-            good, bad = total(q, lambda x: x["n"] * x["p"]), total(q, lambda x: x["n"] * (1 - x["p"]))
-
             def of_rule(r: Column) -> Column:
-                def mass(vote: int, side) -> Column:
-                    return total(q, lambda x: F.when(F.get(x["v"], r) == vote, x["n"] * side(x)).otherwise(0.0))
+                def mass(value: int, side) -> Column:
+                    return total(q, lambda x: F.when(F.get(x["v"], r) == value, x["n"] * side(x)).otherwise(0.0))
+
+                right = lambda x: x["p"]
+                wrong = lambda x: 1 - x["p"]
+                masses = F.struct(
+                    mass(1, right).alias("gp"), mass(-1, right).alias("gm"), mass(1, wrong).alias("bp"), mass(-1, wrong).alias("bm")
+                )
+                shares = lambda m: F.struct(
+                    ((m["gp"] + weight * clears) / (m["gp"] + m["gm"] + weight)).alias("a"),
+                    ((m["gm"] + weight * (1 - clears)) / (m["gp"] + m["gm"] + weight)).alias("na"),
+                    ((m["bm"] + weight * catches) / (m["bp"] + m["bm"] + weight)).alias("b"),
+                    ((m["bp"] + weight * (1 - catches)) / (m["bp"] + m["bm"] + weight)).alias("nb"),
+                )
+
+                def settled(c: Column) -> Column:
+                    level = (c["a"] + c["nb"]) / 2
+                    return F.when(
+                        c["a"] < c["nb"],
+                        F.struct(pair(0.0, 0.0).alias("lift"), F.array(level, 1 - level).alias("rates")),
+                    ).otherwise(
+                        F.struct(
+                            F.array(F.log(c["na"]) - F.log(c["b"]), F.log(c["a"]) - F.log(c["nb"])).alias("lift"),
+                            F.array(c["a"], c["b"]).alias("rates"),
+                        )
+                    )
+
+                return let(let(masses, shares), settled)
 
-                n, out = good + bad, []
-                for vote, (on_good, on_bad) in ((-1, alarm), (1, praise)):
-                    g = (mass(vote, lambda x: x["p"]) + n * (belief[0] * on_good)) / (good + n * belief[0])
-                    b = (mass(vote, lambda x: 1 - x["p"]) + n * (belief[1] * on_bad)) / (bad + n * belief[1])
-                    out.append(F.log(g) - F.log(b))
-                return F.array(*out)
-
-            n = (good + bad) * belief[0]
-            odds = F.log((good + n * prior) / (bad + n * (1 - prior)))
-            return F.struct(odds.alias("odds"), F.transform(which, of_rule).alias("lift"))
+            good, bad = total(q, lambda x: x["n"] * x["p"]), total(q, lambda x: x["n"] * (1 - x["p"]))
+            odds = F.log((good + weight * prior) / (bad + weight * (1 - prior)))
+            return let(
+                F.transform(which, of_rule),
+                lambda t: F.struct(
+                    odds.alias("odds"), F.transform(t, lambda x: x["lift"]).alias("lift"), F.transform(t, lambda x: x["rates"]).alias("rates")
+                ),
+            )
 
         return let(F.transform(p, expect), renew)
 
     seen = F.collect_list(F.struct(F.array(*rules).alias("v"), F.col("n").cast("double").alias("n")))
-    after = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state, lambda s, _: one_round(s, F.col("p")))
+    after = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state, lambda s, _: one_round(s, F.col("p"))) if rounds else state
     found = patterns.agg(seen.alias("p")).select(F.when(F.size("p") > 0, after).otherwise(state).alias("s"))
     row = found.first()["s"]
-    return row["odds"], [tuple(x) for x in row["lift"]]
-
-
-def posterior(vote: dict[str, Column], odds: float, lift: list) -> Column:
-    """Probability that a document with these votes is good."""
-    total = F.lit(odds)
-    for v, (bad, good) in zip(vote.values(), lift, strict=True):
-        total = total + F.when(v == 1, good).when(v == -1, bad).otherwise(0.0)
-    return sigmoid(total)
+    return Votes(row["odds"], [tuple(x) for x in row["lift"]], [tuple(x) for x in row["rates"]])
 
 
 def judge(
     docs: DataFrame,
     *,
     text_col: str = "text",
+    keep: list[str] | None = None,
     threshold: float = 0.5,
     rounds: int = ROUNDS,
-    prior: float = 0.85,
-    alarm: tuple[float, float] = (0.002, 0.4),
-    praise: tuple[float, float] = (0.9, 0.6),
 ) -> DataFrame:
-    """All documents with a struct of facts, base_failed, the posterior and kept (named afresh on a clash)."""
+    """All documents with a struct of facts, base_failed, quality_posterior and kept (named afresh on a clash).
+
+    Of their columns those in ``keep`` are returned, by default all.
+    """
+    passed = docs.columns if keep is None else keep
     f, failed, quality, kept = fresh(docs, "facts", "base_failed", "quality_posterior", "kept")
-    voted = docs.withColumn(f, facts(F.col(text_col)))
-    patterns = cut(
-        docs.select(facts(F.col(text_col)).alias("f"))
-        .select(*[v.alias(r) for r, v in votes(F.col("f")).items()])
-        .groupBy(*RULES)
-        .agg(F.count("*").alias("n"))
-    )
-    odds, lift = fit(patterns, RULES, rounds, prior, alarm, praise)
-    n = F.col(f)["n_words"]
+    known = written(docs.select(*passed, facts(F.col(text_col)).alias(f)), "facts")
+    # Rules name facts; columns of the documents may have such names too, so votes are taken of the facts alone.
+    def of(sql: str) -> Column:
+        return F.expr(re.sub(r"\b(n_\w+|word_chars)\b", rf"`{f}`.\1", sql))
+
+    votes = [of(vote(rule)) for rule in RULES.values()]
+    names = list(RULES)
+    patterns = known.select(*[v.alias(r) for v, r in zip(votes, names, strict=True)]).groupBy(*names).agg(F.count("*").alias("n"))
+    found = fit(patterns, names, rounds=rounds)
     return (
-        voted.withColumn(failed, (n < MIN_WORDS) | (100 * F.col(f)["n_repeat_words"] > 50 * n))
-        .withColumn(quality, posterior(votes(F.col(f)), odds, lift))
+        known.withColumn(failed, of(BASE_FAILED))
+        .withColumn(quality, found.posterior(votes))
         .withColumn(kept, ~F.col(failed) & (F.col(quality) >= threshold))
     )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge(table(spark, sf_dir, "documents"))
+    judged = judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select(
         "doc_id", *[F.col("facts")[x].alias(x) for x in FACTS[:5]], "base_failed", "kept",
         F.round("quality_posterior", 6).alias("quality_posterior"),
     )
 
 
-def _sql(rounds: int = ROUNDS, prior: float = 0.85, alarm=(0.002, 0.4), praise=(0.9, 0.6), belief=(4.0, 0.25)) -> str:
+def _sql() -> str:
     """The same facts, votes and maximisation for DuckDB: a recursive step over the table of patterns is one round."""
     ks = range(len(RULES))
     real = lambda x: f"{x!r}::DOUBLE"
-    start = [real(math.log(g / b)) for g, b in (alarm, praise)]
     total = "odds + " + " + ".join(f"CASE v{k} WHEN -1 THEN lb{k} WHEN 1 THEN lg{k} ELSE 0 END" for k in ks)
     mass = ", ".join(
         f"sum(CASE WHEN v{k} = {v} THEN n * {side} ELSE 0 END) AS {name}{k}"
         for k in ks
-        for v, side, name in ((-1, "p", "gb"), (-1, "(1 - p)", "bb"), (1, "p", "gg"), (1, "(1 - p)", "bg"))
+        for v, side, name in ((1, "p", "gp"), (-1, "p", "gm"), (1, "(1 - p)", "bp"), (-1, "(1 - p)", "bm"))
     )
 
-    def lift(k: int, which: str, rates: tuple[float, float]) -> str:
-        g = f"(g{which}{k} + n * {real(belief[0] * rates[0])}) / (good + n * {real(belief[0])})"
-        b = f"(b{which}{k} + n * {real(belief[1] * rates[1])}) / (bad + n * {real(belief[1])})"
-        return f"ln({g}) - ln({b})"
-
-    lifts = ", ".join(f"{lift(k, 'b', alarm)} AS lb{k}, {lift(k, 'g', praise)} AS lg{k}" for k in ks)
-    share = lambda a, b: f"CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0 END"
-    votes = [
-        f"CASE WHEN n_words >= {MIN_WORDS} THEN 1 ELSE 0 END",
-        *[
-            f"CASE WHEN {share(a, b)} > {most} THEN -1 ELSE 0 END"
-            for a, b, most in (("n_symbols", "word_chars", 0.05), ("n_repeat_words", "n_words", 0.3), ("n_dup_lines", "n_lines", 0.3), ("n_upper", "n_letters", 0.4))
-        ],
-        "CASE WHEN n_words > 0 AND word_chars >= 3 * n_words AND word_chars <= 12 * n_words THEN 1 WHEN n_words > 0 THEN -1 ELSE 0 END",
-    ]
-    columns = ", ".join(f"{v} AS v{k}" for k, v in enumerate(votes))
+    def share(top: str, one: str, other: str, k: int, start: float) -> str:
+        return f"({top}{k} + {real(WEIGHT * start)}) / ({one}{k} + {other}{k} + {real(WEIGHT)})"
+
+    shares = ", ".join(
+        f"{share('gp', 'gp', 'gm', k, CLEARS)} AS a{k}, {share('gm', 'gp', 'gm', k, 1 - CLEARS)} AS na{k}, "
+        f"{share('bm', 'bp', 'bm', k, CATCHES)} AS b{k}, {share('bp', 'bp', 'bm', k, 1 - CATCHES)} AS nb{k}"
+        for k in ks
+    )
+    lifts = ", ".join(
+        f"CASE WHEN a{k} < nb{k} THEN 0 ELSE ln(na{k}) - ln(b{k}) END AS lb{k}, CASE WHEN a{k} < nb{k} THEN 0 ELSE ln(a{k}) - ln(nb{k}) END AS lg{k}"
+        for k in ks
+    )
+    start = ", ".join(f"{real(math.log((1 - CLEARS) / CATCHES))} AS lb{k}, {real(math.log(CLEARS / (1 - CATCHES)))} AS lg{k}" for k in ks)
+    columns = ", ".join(f"{vote(rule)} AS v{k}" for k, rule in enumerate(RULES.values()))
+    odds = f"ln((good + {real(WEIGHT * PRIOR)}) / (bad + {real(WEIGHT * (1 - PRIOR))}))"
     return rf"""
 WITH RECURSIVE t AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
@@ -268,21 +302,22 @@ f AS (
   SELECT t.r, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-         len(lines) AS n_lines, length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) AS n_upper,
-         length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS n_letters
+         len(lines)::BIGINT AS n_lines, length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g'))::BIGINT AS n_upper,
+         length(regexp_replace(text, '[^\p{{L}}]+', '', 'g'))::BIGINT AS n_letters,
+         length(regexp_replace(text, '[^!]+', '', 'g'))::BIGINT AS n_shouts, len(list_distinct(w))::BIGINT AS n_distinct
   FROM t LEFT JOIN c USING (r)),
 v AS (SELECT f.*, {columns} FROM f),
 p AS (SELECT {", ".join(f"v{k}" for k in ks)}, count(*)::DOUBLE AS n FROM v GROUP BY ALL),
 s AS (
-  SELECT 0 AS k, {real(math.log(prior / (1 - prior)))} AS odds, {", ".join(f"{start[0]} AS lb{k}, {start[1]} AS lg{k}" for k in ks)}
+  SELECT 0 AS k, {real(math.log(PRIOR / (1 - PRIOR)))} AS odds, {start}
   UNION ALL
-  SELECT k + 1, ln((good + n * {real(belief[0] * prior)}) / (bad + n * {real(belief[0] * (1 - prior))})) AS odds, {lifts}
-  FROM (SELECT k, sum(n * p) AS good, sum(n * (1 - p)) AS bad, sum(n) AS n, {mass}
-        FROM (SELECT s.k, p.*, 1 / (1 + exp(-({total}))) AS p FROM s, p WHERE s.k < {rounds}) GROUP BY k)),
-e AS (SELECT v.*, 1 / (1 + exp(-({total}))) AS q FROM v, (SELECT * FROM s WHERE k = {rounds}))
+  SELECT k + 1, {odds} AS odds, {lifts}
+  FROM (SELECT *, {shares}
+        FROM (SELECT k, sum(n * p) AS good, sum(n * (1 - p)) AS bad, {mass}
+              FROM (SELECT s.k, p.*, 1 / (1 + exp(-({total}))) AS p FROM s, p WHERE s.k < {ROUNDS}) GROUP BY k))),
+e AS (SELECT v.*, 1 / (1 + exp(-({total}))) AS q FROM v, (SELECT * FROM s WHERE k = {ROUNDS}))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND q >= 0.5 AS kept, round(q, 6) AS quality_posterior
+       {BASE_FAILED} AS base_failed, NOT {BASE_FAILED} AND q >= 0.5 AS kept, round(q, 6) AS quality_posterior
 FROM e
 """
 

@@ -120,8 +120,63 @@ def test_rules_keep_clean_and_drop_marked(spark):
     rnd = random.Random(4)
     clean = lambda: " ".join("".join(rnd.choice("aeinrst") for _ in range(rnd.randint(2, 9))) for _ in range(120))
     rows = [(i, clean(), "s") for i in range(100)] + [(100 + i, clean().replace(" ", "*** "), "s") for i in range(12)]
-    kept = {r.doc_id for r in weak_rules.judge(docs(spark, rows)).where("kept").collect()}
-    assert kept == set(range(100))
+    df = docs(spark, [*rows, *rows[:3], rows[-1]]).withColumn("n_words", F.lit("mine"))
+    judged = weak_rules.judge(df)
+    assert judged.columns[:6] == df.columns and judged.count() == df.count()
+    kept = judged.where("kept").groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in kept} == {i: 1 + (i < 3) for i in range(100)}
+    assert weak_rules.judge(df, keep=["doc_id"]).columns == ["doc_id", "facts", "base_failed", "quality_posterior", "kept"]
+
+
+def planted_votes(rnd, n, rates, share, votes=0.9):
+    """Patterns of votes with their counts: rules of planted accuracy on good and on bad documents."""
+    seen = collections.Counter()
+    for _ in range(n):
+        good = rnd.random() < share
+        seen[tuple(0 if rnd.random() > votes else (1 if good else -1) * (1 if rnd.random() < (a if good else b) else -1) for a, b in rates)] += 1
+    return seen
+
+
+def test_accuracies_come_from_the_votes(spark):
+    import random
+
+    rates = [(0.97, 0.8), (0.95, 0.7), (0.98, 0.6), (0.9, 0.75), (0.85, 0.9), (0.6, 0.42)]
+    seen = planted_votes(random.Random(2), 30_000, rates, 0.8)
+    names = [f"r{k}" for k in range(len(rates))]
+    patterns = spark.createDataFrame([(*k, n) for k, n in seen.items()], ", ".join(f"{c} int" for c in names) + ", n long")
+    start, found = (weak_rules.fit(patterns, names, rounds=r) for r in (0, 60))
+    for got, want in zip(found.rates, rates, strict=True):
+        assert abs(got[0] - want[0]) < 0.02 and abs(got[1] - want[1]) < 0.05
+    assert abs(1 / (1 + math.exp(-found.odds)) - 0.8) < 0.02
+    odds = lambda v, f: f.odds + sum(lift[x > 0] for x, lift in zip(v, f.lift, strict=True) if x)
+    changed = sum(n for v, n in seen.items() if (odds(v, start) >= 0) != (odds(v, found) >= 0))
+    assert changed > 300
+    # One alarm is outvoted, and that of the rule that is little better than chance weighs next to nothing.
+    alarm = lambda k: tuple(-1 if j == k else 1 for j in range(len(rates)))
+    assert all(odds(alarm(k), found) > 0 for k in range(len(rates)))
+    assert min(range(len(rates)), key=lambda k: -found.lift[k][0]) == 5 and odds(alarm(5), found) > odds(alarm(2), found) + 1
+
+
+def test_rules_no_better_than_chance_have_no_say(spark):
+    import random
+
+    seen = planted_votes(random.Random(3), 8000, [(0.95, 0.8), (0.95, 0.8), (0.95, 0.8), (0.3, 0.3)], 0.8, votes=1)
+    patterns = spark.createDataFrame([(*k, n) for k, n in seen.items()], "a int, b int, c int, d int, n long")
+    found = weak_rules.fit(patterns, list("abcd"))
+    assert found.lift[3] == (0.0, 0.0) and all(bad < -1 and good > 0.5 for bad, good in found.lift[:3])
+
+
+def test_verdicts_on_the_driver_tables(spark):
+    """The verdict is neither the start's nor that all rules must pass."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    after, before = (weak_rules.judge(d, keep=["doc_id"], rounds=r) for r in (weak_rules.ROUNDS, 0))
+    both = after.select("doc_id", "kept").join(before.select("doc_id", F.col("kept").alias("first")), "doc_id")
+    assert both.where("kept <> first").count() > 20
+    votes = [F.expr(re.sub(r"\b(n_\w+|word_chars)\b", r"facts.\1", weak_rules.vote(r))) for r in weak_rules.RULES.values()]
+    passes = F.least(*votes) >= 0
+    assert after.where("kept").where(~passes).count() > 0
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 0")
+    assert after.where("kept").join(labels, "doc_id").count() == 0
 
 
 MSG = "conv long, msg long, parent long, role string, text string, score double"
