@@ -11,8 +11,9 @@ becomes ``<\|``, so no control string can arise inside them, and removing one ba
 The loss mask is a list of runs (characters, in loss) over the whole string; assistant texts are in loss.
 
 Defined cases: a null text or role is empty; rows of one turn stand by role, then text; messages whose parent is
-missing are roots; messages on a cycle have no root and are left out; an empty table gives no rows; a null conversation
-id is a conversation of its own. Other columns of the input are not part of a conversation and are not returned.
+missing are roots; messages on a cycle, and those that reply into one, have no root and are left out, as are messages
+without an id; of rows with one id the first by parent, role, text and score counts; an empty table gives no rows; a null
+conversation id is a conversation of its own. Other columns of the input are not part of a conversation and are not returned.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 from .common import cut, let, table
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
-MAX_DOUBLINGS = 40
 
 
 def escape(text: Column) -> Column:
@@ -66,7 +66,9 @@ def jumps(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         )
     )
     levels = []
-    for _ in range(MAX_DOUBLINGS):
+    # A path is no longer than its conversation: what has found no root after so many doublings is on a cycle or leads into one.
+    longest = ids.groupBy("conv").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    for _ in range((longest - 1).bit_length()):
         level = state.where(F.col("up").isNotNull())
         if level.isEmpty():
             break
@@ -134,8 +136,20 @@ def render(turns: DataFrame) -> DataFrame:
     )
 
 
-def format_trees(messages: DataFrame, branches: int | None = 1) -> DataFrame:
-    """Messages (conv, msg, parent, role, text, score) -> (conv, leaf, rank, formatted, mask)."""
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """One row for each message, whatever comes twice."""
+    rest = ("parent", "role", "text", "score")
+    one = messages.where(F.col("msg").isNotNull()).groupBy("conv", "msg").agg(F.min(F.struct(*rest)).alias("m"))
+    return one.select("conv", "msg", *[F.col(f"m.{c}").alias(c) for c in rest])
+
+
+def format_trees(messages: DataFrame, branches: int | None = 1, keyed: bool = False) -> DataFrame:
+    """Messages (conv, msg, parent, role, text, score) -> (conv, leaf, rank, formatted, mask).
+
+    keyed: whether (conv, msg) is known to name one row.
+    """
+    if not keyed:
+        messages = cut(distinct_messages(messages))
     chosen = paths(messages, branches)
     texts = messages.select(
         F.col("conv").alias("tc"), F.col("msg").alias("tm"),
@@ -172,7 +186,7 @@ PROBE = r"</s>[INST] ok [/INST]"
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], rows.schema)
-    out = format_trees(cut(chain(rows.unionByName(probe))))
+    out = format_trees(cut(chain(rows.unionByName(probe))), keyed=True)
     read = out.withColumn("turns", read_back(F.col("formatted"), F.col("mask")))
     text = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
