@@ -16,12 +16,13 @@ The order is two; three was estimated at over four times the input on disk (READ
 
 Defined cases: a null or blank text is its end alone; a corpus without training texts gives every token probability 1;
 unknown words share the mass of one more word; repeated rows count and score alike; texts of any length are whole; an
-empty table gives no rows. Other columns pass through.
+empty table gives no rows; an array that was written and is gone fails the scoring. Other columns pass through.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import math
 import os
 import tempfile
@@ -173,12 +174,17 @@ def _count(side: int):
     return run
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> dict[int, list[bytes]]:
-    held: dict[int, list[bytes]] = {}
-    for batch in batches:
-        for s, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held.setdefault(s, []).append(blob)
-    return held
+def _by_shard(rows: Iterator[tuple]) -> Iterator[tuple[int, list[bytes]]]:
+    """Blocks of one shard after the other; rows (shard, blob) come in the order of shards."""
+    at, held = None, []
+    for s, blob in rows:
+        if s != at and held:
+            yield at, held
+            held = []
+        at = s
+        held.append(blob)
+    if held:
+        yield at, held
 
 
 def _times(counts: np.ndarray) -> list[int]:
@@ -186,6 +192,18 @@ def _times(counts: np.ndarray) -> list[int]:
 
 
 SUMS = ("n", "t1", "t2", "t3", "t4", "tokens", "distinct")
+#: Of a bitmap that Spark gathers.
+BITS = 32768
+
+
+def present(rows: list, size: int) -> np.ndarray:
+    """Which numbers below ``size`` the bitmaps (part, bits) of a kind of array hold; those have a file."""
+    out = np.zeros(size + BITS, bool)
+    for r in rows:
+        bits = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
+        first = (r["part"] - 1) * BITS
+        out[first : first + len(bits)] |= bits[: len(out) - first].astype(bool)
+    return out[:size]
 
 
 def _out(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
@@ -196,7 +214,8 @@ def _bigrams(folder: str, side: int, ranges: int):
     """Merges the blocks of a shard, writes its array, and passes on blocks about single words by hash range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, blobs in _by_shard(batches).items():
+        rows = (r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+        for s, blobs in _by_shard(rows):
             parts = [unpack(b) for b in blobs]
             context, word, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
             del parts
@@ -227,25 +246,28 @@ def _bigrams(folder: str, side: int, ranges: int):
                         ["shard", "blob", "t1", "t2", "t3", "t4"],
                         [pa.int32(), pa.binary(), *[pa.int64()] * 4],
                     )
-            yield _out([(-1, b"", *times)], ["shard", "blob", "t1", "t2", "t3", "t4"], [pa.int32(), pa.binary(), *[pa.int64()] * 4])
+            yield _out([(-1 - s, b"", *times)], ["shard", "blob", "t1", "t2", "t3", "t4"], [pa.int32(), pa.binary(), *[pa.int64()] * 4])
 
     return run
 
 
 def _words(folder: str):
     """Merges what is known of the words of a hash range and writes it."""
-    names = ["kind", "n", "t1", "t2", "t3", "t4", "tokens", "distinct"]
-    types = [pa.string(), *[pa.int64()] * 7]
+    names = ["kind", "shard", "n", "t1", "t2", "t3", "t4", "tokens", "distinct"]
+    types = [pa.string(), *[pa.int64()] * 8]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for s, blob, *times in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if s < 0:
-                    yield _out([("bigram", 0, *times, 0, 0)], names, types)
-                else:
-                    held.setdefault(s, []).append(blob)
-        for s, blobs in held.items():
+        rows = (r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+        blocks, firsts = [], []
+        # Rows of bigram shards are numbered below 0, so they come first.
+        for s, blob, *times in rows:
+            if s >= 0:
+                firsts.append((s, blob))
+                break
+            blocks.append(("bigram", -1 - s, 0, *times, 0, 0))
+        if blocks:
+            yield _out(blocks, names, types)
+        for s, blobs in _by_shard(itertools.chain(firsts, ((r[0], r[1]) for r in rows))):
             parts = [unpack(b) for b in blobs]
             h, *facts = (np.concatenate([p[k] for p in parts]) for k in range(7))
             del parts
@@ -254,7 +276,7 @@ def _words(folder: str):
             put_array(folder, f"word-{s}", h)
             put_array(folder, f"facts-{s}", table_.astype(np.uint32 if table_.size == 0 or table_.max() < 1 << 32 else U))
             raw, before = facts[0], facts[1]
-            yield _out([("word", int(before.sum()), *_times(before), int(raw.sum()), int((raw > 0).sum()))], names, types)
+            yield _out([("word", s, int(before.sum()), *_times(before), int(raw.sum()), int((raw > 0).sum()))], names, types)
 
     return run
 
@@ -272,10 +294,12 @@ def discounts(t: list[int]) -> np.ndarray:
 class Settings:
     """Where the arrays are and the sums over all of them; this is all that tasks are sent."""
 
-    def __init__(self, folder: str, side: int, ranges: int, sums: dict[str, dict[str, int]]) -> None:
-        none = dict.fromkeys(SUMS, 0)
-        word, bigram = sums.get("word", none), sums.get("bigram", none)
+    def __init__(self, folder: str, side: int, ranges: int, rows: list) -> None:
+        of = {kind: [r for r in rows if r["kind"] == kind] for kind in ("word", "bigram")}
+        word, bigram = ({c: sum(r[c] for r in of[kind]) for c in SUMS} for kind in ("word", "bigram"))
         self.folder, self.side, self.ranges = folder, side, ranges
+        # The manifest: which shards and ranges have arrays. One of these that is missing is an error, not an empty one.
+        self.present = {"word": present(of["word"], ranges), "bigram": present(of["bigram"], side * side)}
         self.tokens, self.distinct, self.continuations = word["tokens"], word["distinct"], word["n"]
         self.word_times = [word[f"t{k}"] for k in (1, 2, 3, 4)]
         self.high = discounts([bigram[f"t{k}"] for k in (1, 2, 3, 4)])
@@ -293,14 +317,17 @@ def train(docs: DataFrame, *, text_col: str = "text") -> Settings:
     side = max(4, math.isqrt(partitions))
     ranges = max(4, partitions // 2)
     blocks = bounded(docs.select(F.col(text_col).alias("text"))).mapInArrow(_count(side), "shard int, blob binary")
-    dealt = blocks.repartition(side * side, "shard")
+    dealt = blocks.repartition(side * side, "shard").sortWithinPartitions("shard")
     facts = bounded(dealt).mapInArrow(_bigrams(folder, side, ranges), "shard int, blob binary, t1 long, t2 long, t3 long, t4 long")
-    sums = facts.repartition(ranges, "shard").mapInArrow(
-        _words(folder), "kind string, n long, t1 long, t2 long, t3 long, t4 long, tokens long, distinct long"
+    sums = facts.repartition(ranges, "shard").sortWithinPartitions("shard").mapInArrow(
+        _words(folder), "kind string, shard long, n long, t1 long, t2 long, t3 long, t4 long, tokens long, distinct long"
+    )
+    # A few sums, and a bit for each range and shard.
+    number = F.col("shard") + 1
+    rows = sums.groupBy("kind", F.bitmap_bucket_number(number).alias("part")).agg(
+        *[F.sum(c).alias(c) for c in SUMS], F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
     )
-    # A few numbers of each range and shard.
-    rows = sums.groupBy("kind").agg(*[F.sum(c).alias(c) for c in SUMS]).collect()
-    return Settings(folder, side, ranges, {r["kind"]: {c: r[c] for c in SUMS} for r in rows})
+    return Settings(folder, side, ranges, rows.collect())
 
 
 # Scoring ----------------------------------------------------------------------------------------------------------
@@ -320,10 +347,7 @@ class Model:
 
     def array(self, name: str) -> np.ndarray:
         if name not in self.open:
-            try:
-                self.open[name] = map_array(self.s.folder, name)
-            except FileNotFoundError:  # nothing fell into this range
-                self.open[name] = np.zeros((6, 0) if name.startswith("facts") else 0, U)
+            self.open[name] = map_array(self.s.folder, name)
         return self.open[name]
 
     def words(self, h: np.ndarray) -> np.ndarray:
@@ -332,7 +356,8 @@ class Model:
         edge = np.searchsorted(bands(h, self.s.ranges), np.arange(self.s.ranges + 1))
         for r in range(self.s.ranges):
             a, b = edge[r], edge[r + 1]
-            if b > a and len(known := self.array(f"word-{r}")):
+            if b > a and self.s.present["word"][r]:
+                known = self.array(f"word-{r}")
                 at = np.minimum(np.searchsorted(known, h[a:b]), len(known) - 1)
                 hit = np.flatnonzero(known[at] == h[a:b])
                 out[:, a + hit] = self.array(f"facts-{r}")[:, at[hit]]
@@ -349,8 +374,9 @@ class Model:
         out = np.zeros(len(key), np.int64)
         for s in range(side * side):
             own = order[edge[s] : edge[s + 1]]
-            if not len(own) or not len(known := self.array(f"bigram-{s}")):
+            if not len(own) or not self.s.present["bigram"][s]:
                 continue
+            known = self.array(f"bigram-{s}")
             at = np.searchsorted(known, key[own])
             found = known[np.minimum(at, len(known) - 1)]
             hit = (found & ~U(255)) == key[own]
