@@ -671,9 +671,9 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, int, list]]:
     """(first, last + 1, values) of slices of about CHUNK bytes."""
     first, size, held = 0, 0, []
     for i, v in enumerate(column):
-        raw = v.as_buffer().to_pybytes() if v.is_valid else b""
+        raw = v.as_buffer().to_pybytes() if v.is_valid else None
         held.append(raw)
-        size += len(raw) + 256
+        size += len(raw or b"") + 256
         if size >= CHUNK:
             yield first, i + 1, held
             first, size, held = i + 1, 0, []
@@ -690,34 +690,49 @@ def store(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, raw in _batches(batch.column(0).cast(pa.large_binary())):
-                files = write([padded(r) for r in raw])
-                cols = [pa.array([len(r) for r in raw], pa.int64()), pa.array(files, pa.binary())]
+                files = write([padded(r or b"") for r in raw])
+                cols = [pa.array([len(r or b"") for r in raw], pa.int64()), pa.array(files, pa.binary())]
                 yield pa.record_batch([*cols, *batch.slice(i, j - i).columns[1:]], names=every)
 
     rows = docs.select(F.col(text_col), *[F.col(c) for c in docs.columns])
     return bounded(rows).mapInArrow(run, f"`{names[0]}` long, `{names[1]}` binary, {fields}").select(*docs.columns, *names)
 
 
+def decode(image: Image, c: np.ndarray, tensors: bool) -> list:
+    rgb = image.rgb(c)
+    row = [payload_of(image, c) if image.payload_bytes is not None else None, feature_of(rgb)]
+    return row + ([image.wide, image.tall, rgb.tobytes()] if tensors else [])
+
+
+def decode_all(raw: list[bytes | None], tensors: bool) -> list[list]:
+    """(error, payload, feature and the rest) of each file; where one of a batch is damaged, each is read by itself."""
+    nothing = [None] * (5 if tensors else 2)
+    some = [r for r in raw if r is not None]
+    try:
+        got = iter([[None, *decode(image, c, tensors)] for image, c in zip(*read(some), strict=True)] if some else [])
+        return [["no file", *nothing] if r is None else next(got) for r in raw]
+    except Exception as e:  # whatever a damaged file leads to is said of that file
+        if len(raw) == 1:
+            return [[f"{type(e).__name__}: {e}"[:200], *nothing]]
+        return [row for r in raw for row in decode_all([r], tensors)]
+
+
 def load(files: DataFrame, *, media_col: str = "media", tensors: bool = True) -> DataFrame:
-    """All files with payload, feature and, if asked for, width, height and rgb (bytes, rows of pixels)."""
-    wanted = fresh(files, "payload", "feature", "width", "height", "rgb")[: 5 if tensors else 2]
+    """All files with error, payload, feature and, if asked for, width, height and rgb (bytes, rows of pixels).
+
+    A null or damaged file has an error and nulls else; a file without a payload of ours a null payload.
+    """
+    wanted = fresh(files, "error", "payload", "feature", "width", "height", "rgb")[: 6 if tensors else 3]
     every = [*wanted, *files.columns]
-    kinds = ("binary", "string", "int", "int", "binary")
+    kinds = ("string", "binary", "string", "int", "int", "binary")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
     added = ", ".join(f"`{n}` {t}" for n, t in zip(wanted, kinds, strict=False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, raw in _batches(batch.column(0).cast(pa.large_binary())):
-                out: list[list] = [[] for _ in wanted]
-                for image, c in zip(*read(raw), strict=True):
-                    rgb = image.rgb(c)
-                    row = [payload_of(image, c) if image.payload_bytes is not None else None, feature_of(rgb)]
-                    if tensors:
-                        row += [image.wide, image.tall, rgb.tobytes()]
-                    for held, v in zip(out, row, strict=True):
-                        held.append(v)
-                types = [pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+                types = [pa.string(), pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+                out = zip(*decode_all(raw, tensors), strict=True)
                 cols = [pa.array(v, t) for v, t in zip(out, types, strict=False)]
                 yield pa.record_batch([*cols, *batch.slice(i, j - i).columns[1:]], names=every)
 
