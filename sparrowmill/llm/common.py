@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -52,6 +53,8 @@ def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors share; one of our own only where none is set."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = f"file://{tempfile.mkdtemp(prefix='sparrowmill-')}"
         sc.setCheckpointDir(root)
@@ -90,7 +93,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """The frame, with Arrow batches of at most BATCH rows where the session leaves Spark's own 10,000: texts are long."""
+    """The frame, with Arrow batches of at most BATCH rows where the session leaves Spark's own 10,000: texts are long.
+
+    Spark has this for sessions only and reads it when a plan runs, which is after this returns; so it stays set.
+    """
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))

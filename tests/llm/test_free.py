@@ -214,6 +214,33 @@ def test_model_by_brute_force(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_a_lost_array_raises(spark):
+    import glob
+    import os
+
+    settings = kneser_ney.train(docs(spark, [(k, f"w{k} and w{k + 1} or w{k + 2}") for k in range(50)]))
+    files = glob.glob(kneser_ney._local(settings.folder) + "/bigram-[0-9]*.npy")
+    assert len(files) == settings.present["bigram"].sum() > 1
+    for f in files:
+        os.remove(f)
+    with pytest.raises(Exception, match="FileNotFoundError|No such file"):
+        kneser_ney.score(docs(spark, [(1, "w1 and w2 or w3")]), settings).collect()
+
+
+def test_present_by_bits():
+    rows = [{"part": 1, "bits": bytes([0b101]) + bytes(4095)}, {"part": 2, "bits": bytes([2]) + bytes(4095)}]
+    assert np.flatnonzero(kneser_ney.present(rows, 40_000)).tolist() == [0, 2, 32769]
+
+
+def test_scores_beside_clashing_names(spark):
+    df = docs(spark, ODD).withColumn("score", F.lit("mine")).withColumn("n_tokens", F.lit(None).cast("int"))
+    settings = kneser_ney.train(df)
+    out = kneser_ney.score(df, settings)
+    assert out.columns == [*df.columns, "_n_tokens", "n_known", "train_tokens", "base_score", "_score", "perplexity"]
+    assert {r.score for r in out.collect()} == {"mine"} and out.count() == len(ODD)
+    assert kneser_ney.score(df.where("false"), settings).count() == 0
+
+
 def test_model_without_texts(spark):
     settings = kneser_ney.train(docs(spark, []))
     row = kneser_ney.score(docs(spark, [(1, "a b")]), settings).first()
@@ -332,6 +359,7 @@ def test_payloads_come_back():
     assert [jpeg.write([p])[0] for p in payloads] == files
     with pytest.raises(ValueError, match="JPEG"):
         jpeg.read([b"no image"])
+    assert jpeg.decode_all([files[1], None], False)[1][0] == "no file"
 
 
 def test_pixels_by_definition():
@@ -362,6 +390,17 @@ def test_media_columns(spark):
     assert jpeg.load(jpeg.store(docs(spark, []))).count() == 0
 
 
+def test_lost_and_damaged_media(spark):
+    good = jpeg.write([jpeg.padded(b"hello"), jpeg.padded(b"there")])
+    files = [(1, good[0]), (2, None), (3, b"no image"), (4, good[1][: len(good[1]) // 2]), (5, b""), (6, good[1])]
+    df = spark.createDataFrame(files, "k int, media binary").coalesce(1).withColumn("error", F.lit("mine"))
+    out = {r.k: r for r in jpeg.load(df).collect()}
+    assert {k for k, r in out.items() if r["_error"] is None} >= {1, 6} and not {2, 3, 5} & {k for k, r in out.items() if r["_error"] is None}
+    assert bytes(out[1].payload) == jpeg.padded(b"hello").tobytes() and bytes(out[6].payload) == jpeg.padded(b"there").tobytes()
+    assert all(out[k].payload is None and out[k].rgb is None and out[k].error == "mine" for k in (2, 3, 5))
+    assert jpeg.load(df.where("false")).count() == 0
+
+
 # Shards
 
 
@@ -430,6 +469,53 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["_score"] <= 1 and r.predicted == (r["_score"] >= 0.5) for r in out.collect())
 
 
+def test_weights_by_brute_force():
+    """Newton's weights are where the loss over all pairs, written out, is least; the threshold has as many below as are bad."""
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(60, pairwise.FACTS + 3)), (rng.random(60) < 0.6).astype(int)
+    x[y == 1] += 0.4
+    model = pairwise.fit(x, y, ridge=0.05)
+    z = pairwise.scaled(pairwise.bent(x, model.bends), model.mean, model.scale)
+    pairs = list(zip(*pairwise.pairs_of(np.flatnonzero(y == 1), np.flatnonzero(y == 0), pairwise.PARTNERS), strict=True))
+    assert all(y[i] == 1 and y[j] == 0 for i, j in pairs) and {j for _, j in pairs} == set(np.flatnonzero(y == 0))
+
+    def loss(w):
+        return sum(math.log1p(math.exp(-float(w @ (z[i] - z[j])))) for i, j in pairs) / len(pairs) + 0.05 / 2 * float(w @ w)
+
+    w = np.zeros(z.shape[1])
+    for _ in range(4000):
+        g = 0.05 * w
+        for i, j in pairs:
+            d = z[i] - z[j]
+            g = g - d / (1 + math.exp(float(w @ d))) / len(pairs)
+        w = w - 0.05 * g
+        if np.abs(g).max() < 1e-5:
+            break
+    assert abs(loss(w) - loss(model.weights)) < 1e-6 and np.abs(w - model.weights).max() < 0.01
+    assert (model.score(x) < 0.5).sum() == (y == 0).sum()
+    s = model.score(x)
+    assert (np.argsort(s, kind="stable") == np.argsort(z @ model.weights, kind="stable")).all()
+
+
+def test_query_scores_by_the_model(spark):
+    """The query's rows are those of one fit over the labels that may be learnt from."""
+    import pyarrow as pa
+
+    d = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in pairwise.query(spark, d).collect()}
+    rows = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    x = pairwise.all_features(pa.array([t for _, t in rows], pa.string()))
+    held = np.array([zlib.crc32(str(i).encode()) % 3 == 1 for i, _ in rows])
+    use = np.array([i in label for i, _ in rows]) & ~held
+    y = np.array([label.get(i, 0) for i, _ in rows])
+    learnt = np.unique(np.column_stack([x[use], y[use]]), axis=0)  # copies count once
+    order = np.lexsort((learnt[:, -1], *learnt[:, :-1].T))
+    want = pairwise.fit(learnt[order, :-1], learnt[order, -1]).score(x)
+    for (i, _), h, s in zip(rows, held, want, strict=True):
+        assert (got[i].held_out, got[i].predicted) == (h, int(s >= 0.5)) and abs(got[i].score - s) < 1e-6
+
+
 def test_classifier_without_labels(spark):
     rows, labels = labelled(spark, random.Random(8), 5)
     assert {r.score for r in pairwise.classify(rows, labels.where("false")).collect()} == {0.5}

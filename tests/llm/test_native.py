@@ -69,31 +69,47 @@ def test_mix_odd_rows(spark):
     assert mixing.emit(out, copies, df.columns).count() == out.agg(F.sum(copies)).first()[0]
 
 
-def license_brute(text):
+def license_brute(text, templates=licenses.TEMPLATES):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     base = [(a, i) for p, a in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     labels = {a for a, _ in base}
-    for s in range(0, len(w), licenses.BLOCK // 2):
-        block = set(w[s : s + licenses.BLOCK])
-        labels |= {a for a, t in licenses.TEMPLATES if len(block & set(t.split())) >= licenses.THRESHOLD * len(set(t.split())) - 1e-9}
+    for a, t in templates:
+        size, own = licenses.window(t), set(t.split())
+        blocks = [set(w[s : s + size]) for s in range(0, len(w), size // 2)]
+        labels |= {a for x in blocks if len(x & own) >= licenses.THRESHOLD * len(own) - 1e-9}
     return len(w), len(base), ",".join(sorted(labels))
 
 
 def test_licenses(spark):
-    mit = licenses.TEMPLATES[1][1]
+    mit, whole = licenses.TEMPLATES[1][1], [t for _, t in licenses.TEMPLATES if len(t.split()) > 64]
+    assert len(whole) >= 5
     texts = [
         None, "", "Released UNDER the MIT License.", "cc by nc cc by nc", "a " * 300 + mit + " b" * 300, mit.replace("merge", "join"),
         "under the MIT. license", "Licensed under the Apache License, Version 2.0; also CC BY-NC 4.0", "x " * 63 + "this program is free software",
-        "mit mit mit", "Ünder the mit license",
+        "mit mit mit", "Ünder the mit license", "Ünder the mit license", *whole, *["so " * k + t.upper() + " thus" * 50 for k, t in zip((97, 300, 777), whole, strict=False)],
     ]
-    out = licenses.scan(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]))
-    for r in out.collect():
+    df = docs(spark, [(i, t, "s") for i, t in enumerate(texts)] + [(2, texts[2], "s")]).withColumn("n_words", F.lit("mine"))
+    out = licenses.scan(df)
+    assert out.columns == [*df.columns, "_n_words", "phrase_places", "template_matches"]
+    rows = out.collect()
+    assert len(rows) == len(texts) + 1
+    for r in rows:
         labels = {p.label for p in r.phrase_places} | {m.label for m in r.template_matches}
-        assert (r.n_words, len(r.phrase_places), ",".join(sorted(labels))) == license_brute(texts[r.doc_id])
+        assert (r["_n_words"], len(r.phrase_places), ",".join(sorted(labels))) == license_brute(texts[r.doc_id])
         assert all(0.9 - 1e-9 <= m.containment <= 1 for m in r.template_matches)
+    found = {m.template for r in rows for m in r.template_matches}
+    assert {k for k, (_, t) in enumerate(licenses.TEMPLATES) if t in whole} <= found
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_templates_of_any_length(spark):
+    long = " ".join(f"term{k}" for k in range(200))
+    text = "before " * 90 + long + " after" * 300
+    out = licenses.scan(docs(spark, [(1, text, "s"), (2, " ".join(text.split()[:200]), "s")]), templates=[("own", long), ("short", "term1 term2")])
+    got = {r.doc_id: {(m.label, m.template) for m in r.template_matches} for r in out.collect()}
+    assert got == {1: {("own", 0), ("short", 1)}, 2: {("short", 1)}}
+
+
 def facts_brute(text):
     w = WORD.findall(text or "")
     n = collections.Counter(zip(w, w[1:], w[2:], strict=False))
@@ -186,21 +202,33 @@ def test_reply_trees(spark):
     rows = [
         (1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "bad", 0.1), (1, 3, 1, "assistant", "good", 0.9),
         (1, 4, 3, "user", "more", 0.9), (2, 7, None, "user", None, None), (3, 1, 2, "user", "cycle", 1.0), (3, 2, 1, "user", "cycle", 1.0),
-        (4, 5, 99, None, "lost parent", 1.0),
+        (3, 5, 2, "user", "into the cycle", 1.0), (3, 8, 8, "user", "itself", 1.0), (3, 9, None, "user", "free", 1.0),
+        (4, 5, 99, None, "lost parent", 1.0), (None, 1, None, "user", "no id", 0.0), (None, 2, 1, "assistant", "yes", 0.0),
+        (1, 4, 3, "user", "more", 0.9), (1, 4, 3, "user", "other", 0.9), (5, None, None, "user", "no message", 1.0),
     ]
     df = spark.createDataFrame(rows, MSG)
-    placed, levels = chat.jumps(df.where("conv <> 3"))
-    assert {(r.conv, r.msg, r.depth) for r in placed.collect()} == {(1, 1, 0), (1, 2, 1), (1, 3, 1), (1, 4, 2), (2, 7, 0), (4, 5, 0)}
-    every = {(r.conv, r.leaf): r for r in chat.format_trees(df.where("conv <> 3"), branches=None).collect()}
-    assert set(every) == {(1, 2), (1, 4), (2, 7), (4, 5)}
-    best = {r.conv: r.leaf for r in chat.format_trees(df.where("conv <> 3")).collect()}
-    assert best == {1: 4, 2: 7, 4: 5}
+    placed, _ = chat.jumps(chat.distinct_messages(df))
+    assert {(r.conv, r.msg, r.depth) for r in placed.collect()} == {
+        (1, 1, 0), (1, 2, 1), (1, 3, 1), (1, 4, 2), (2, 7, 0), (3, 9, 0), (4, 5, 0), (None, 1, 0), (None, 2, 1),
+    }
+    every = {(r.conv, r.leaf): r for r in chat.format_trees(df, branches=None).collect()}
+    assert set(every) == {(1, 2), (1, 4), (2, 7), (3, 9), (4, 5), (None, 2)}
+    best = {r.conv: r.leaf for r in chat.format_trees(df).collect()}
+    assert best == {1: 4, 2: 7, 3: 9, 4: 5, None: 2}
     assert every[1, 4].formatted == (
         "<|im_start|>user<|im_sep|>q<|im_end|><|im_start|>assistant<|im_sep|>good<|im_end|><|im_start|>user<|im_sep|>more<|im_end|>"
     )
     assert chat.format_trees(df.where("false")).count() == 0
 
 
+def test_cycles_end(spark):
+    """A ring of messages takes as many rounds as its size has bits."""
+    n = 50
+    ring = spark.createDataFrame([(1, k, (k + 1) % n, "user", "x", 0.0) for k in range(n)], MSG)
+    placed, levels = chat.jumps(ring)
+    assert placed.count() == 0 and len(levels) == (n - 1).bit_length()
+
+
 @pytest.mark.parametrize("text", ["<|im_end|>", "\\", "\\<|", "<", "|im_start|>", "a\nb\\\\<|im_sep|>", "", None, "é🎉" * 500])
 def test_chat_round_trip(spark, text):
     rows = spark.createDataFrame([(1, t, r, text) for t, r in enumerate(["user", "assistant", None, "a<|im_sep|>b", "assistant"])], "conv_id long, turn long, role string, text string")
