@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -12,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of an Arrow batch.
-BATCH = 1024
+#: Rows of an Arrow batch; a row may be a long text or its whole set of shingles.
+BATCH = 256
 #: Words are maximal runs of anything but space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -92,6 +93,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files and checkpoints of frames that nothing names any more.
+
+    Otherwise they stay until the driver happens to collect its garbage, and steps of a long job add up on disk.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """The frame, with Arrow batches of at most BATCH rows where the session leaves Spark's own 10,000: texts are long.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, cut, fresh, table, written
+from .common import bounded, cut, fresh, release, table, written
 from .textbatch import U, join, mix, slices
 
 ROWS, MISSED = 8, 1e-6
@@ -287,12 +287,11 @@ def _prefixes(shipped, similarity: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, row, short, left, whole = [], [], [], [], []
+            tokens, row, short, left = [], [], [], []
             for k, x in enumerate(batch.column("shingles")):
                 p, m, some = prefix(np.frombuffer(x.as_buffer(), U), shipped.value, hundredths)
                 tokens.append(p)
                 left.append(some - np.arange(len(p)))
-                whole.append(p.view(np.int64))
                 row.append(np.full(len(p), k))
                 short.append(np.arange(len(p)) < m)
             if not tokens:
@@ -301,9 +300,7 @@ def _prefixes(shipped, similarity: float):
             cols = [batch.column(c).take(at) for c in ("node", "n", "root")]
             first = [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(short), pa.bool_())]
             rest = pa.array(np.concatenate(left), pa.int64())
-            wholes = pa.array(whole, pa.list_(pa.int64())).take(at)
-            names = ["token", "short", "left", "prefix", "node", "n", "root"]
-            yield pa.record_batch([*first, rest, wholes, *cols], names=names)
+            yield pa.record_batch([*first, rest, *cols], names=["token", "short", "left", "node", "n", "root"])
 
     return run
 
@@ -312,8 +309,8 @@ def remaining(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Candidate pairs (x, y) of different components among all nodes of open buckets: an exact prefix-filter join.
 
     Any order of shingles is exact, so they are counted in slots, a table of a fixed size. The shorter set of a pair
-    needs a shorter prefix than the longer one. A pair comes up once, at the first shingle that both prefixes hold, if as
-    many are left from there on as the overlap takes.
+    needs a shorter prefix than the longer one. A pair comes up at a shingle that both prefixes hold if as many are left
+    from there on as the overlap takes; equal pairs are put together before they are shuffled.
     """
     spark = live.sparkSession
     nodes = live.select(F.col("node").alias("on"), "n", "root").distinct()
@@ -324,18 +321,17 @@ def remaining(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     often[counts["slot"].to_numpy()] = counts["n"].to_numpy()
     shipped = spark.sparkContext.broadcast(often)
     hundredths = round(similarity * 100)
-    schema = "token long, short boolean, left long, prefix array<long>, node binary, n long, root binary"
+    schema = "token long, short boolean, left long, node binary, n long, root binary"
     rows = written(bounded(own).mapInArrow(_prefixes(shipped, similarity), schema), "prefixes")
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     rows = rows.join(mixed.select(F.col("token").alias("t")), F.col("token") == F.col("t"), "left_semi")
-    side = lambda k: [F.col(c).alias(k + c) for c in ("token", "left", "prefix", "node", "n", "root")]
+    side = lambda k: [F.col(c).alias(k + c) for c in ("token", "left", "node", "n", "root")]
     x, y = rows.where("short").select(*side("x")), rows.select(*side("y"))
     longer = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("xnode") < F.col("ynode")))
     enough = (100 + hundredths) * F.least("xleft", "yleft") >= hundredths * (F.col("xn") + F.col("yn"))
     alike = 100 * F.col("xn") >= hundredths * F.col("yn")
-    once = F.get(F.array_intersect("xprefix", "yprefix"), F.lit(0)) == F.col("xtoken")
-    pairs = x.join(y, (F.col("xtoken") == F.col("ytoken")) & (F.col("xroot") != F.col("yroot")) & longer & alike & enough & once)
-    return pairs.select(F.least("xnode", "ynode").alias("x"), F.greatest("xnode", "ynode").alias("y"))
+    pairs = x.join(y, (F.col("xtoken") == F.col("ytoken")) & (F.col("xroot") != F.col("yroot")) & longer & alike & enough)
+    return pairs.select(F.least("xnode", "ynode").alias("x"), F.greatest("xnode", "ynode").alias("y")).distinct()
 
 
 class Clusters:
@@ -355,6 +351,7 @@ def cluster(
     rounds: int = ROUNDS,
 ) -> Clusters:
     """Finds all components; the frames returned are ``rows`` (id, node, n_shingles) and ``nodes`` (node, comp, rep)."""
+    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(
         F.col(text_col).alias("text"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th")
@@ -369,6 +366,7 @@ def cluster(
     sizes = placed.groupBy("key").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
     sizes = sizes.select(F.col("key").alias("k"), "in_bucket")
     shared = written(placed.join(sizes, placed["key"] == sizes["k"]).select("key", "node", "n", "in_bucket"), "buckets")
+    release(spark)
     fame = shared.groupBy("node").agg(F.sum("in_bucket").alias("fame"))
     members = shared.select("key", "node", "n").join(fame, "node")
     wanted = nodes.join(fame, "node", "left_semi").select("node", F.col("row.id").alias("wid"), F.col("row.th").alias("wth"))
@@ -377,6 +375,8 @@ def cluster(
 
     links, roots, tried = None, None, None
     live = cut(members.withColumn("root", F.col("node")))
+    del placed, banded, sizes, shared, fame, members, wanted, text
+    release(spark)
 
     def test(pairs: DataFrame) -> bool:
         """Confirms what has not been tried yet; whether that paid."""
@@ -388,6 +388,7 @@ def cluster(
         if n_found:
             links = found if links is None else links.union(found)
             roots = cut(components(links))
+        release(spark)
         return n_found * PAYING > pairs.count()
 
     for _ in range(rounds):
@@ -396,10 +397,13 @@ def cluster(
         paid = test(pairs)
         live = live.join(centre, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
         live = cut(open_buckets(live, roots))
+        release(spark)
         if not paid or live.isEmpty():
             break
     if not live.isEmpty():
         test(remaining(live, sets, similarity))
+    del live, sets, tried
+    release(spark)
 
     if roots is None:
         return Clusters(rows, nodes.select("node", F.col("row.id").alias("comp"), F.col("node").alias("rep")))
