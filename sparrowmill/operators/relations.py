@@ -88,10 +88,22 @@ def representatives(df: DataFrame, key: list[str], order: list[Column]) -> DataF
     )
 
 
-def numbered_groups(groups: DataFrame, least: str, prefix: str) -> DataFrame:
-    """Groups named PREFIX-0001 on, in the order of their least member: one row a group goes through the window."""
-    w = Window.orderBy(least)
-    return groups.withColumn("group_name", F.format_string(f"{prefix}-%04d", F.row_number().over(w)))
+def numbered_groups(groups: DataFrame, least: str, prefix: str, parts: int = 256) -> DataFrame:
+    """Groups named PREFIX-0001 on, in the order of their least member, a number.
+
+    Equal ranges of numbers are counted first; a group's number is its place in its range after all ranges before, so no
+    task sees all groups.
+    """
+    span = groups.agg(F.min(least).alias("_lo"), F.max(least).alias("_hi"))
+    ranged = groups.join(F.broadcast(span)).withColumn(
+        "_part", F.floor((F.col(least) - F.col("_lo")).cast("double") * parts / (F.col("_hi") - F.col("_lo") + 1))
+    )
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over the ranges, not the groups
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(least))
+    out = ranged.join(F.broadcast(starts), "_part").withColumn("group_name", F.format_string(f"{prefix}-%04d", F.col("_start") + place))
+    return out.drop("_part", "_lo", "_hi", "_start")
 
 
 def same_ids(a: DataFrame, b: DataFrame, on: str) -> DataFrame:

@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 import difflib
+import re
 import tempfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where the driver and all executors see the same files; a folder of our own only where Spark is one process."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="sparrowmill-")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computes a frame once and forgets its lineage, in the folder that all executors share."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparrowmill-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

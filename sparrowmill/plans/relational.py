@@ -33,14 +33,14 @@ SELECT doc_id, count(*) OVER (PARTITION BY md5(text))::BIGINT AS group_size,
 
 @query
 def group_numbers(spark: SparkSession, d: str) -> DataFrame:
-    groups = table(spark, d, "documents").groupBy(F.substring("text", 1, 40).alias("k")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    groups = table(spark, d, "documents").groupBy(F.md5(text.compact(F.col("text"))).alias("k")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     return relations.numbered_groups(groups, "least", "GRP").select("group_name", "least", "n")
 
 
-SQL["group_numbers"] = """
+SQL["group_numbers"] = r"""
 SELECT 'GRP-' || lpad(row_number() OVER (ORDER BY least)::VARCHAR, greatest(4, length(row_number() OVER (ORDER BY least)::VARCHAR))::INT, '0')
        AS group_name, least, n
-FROM (SELECT min(doc_id) AS least, count(*)::BIGINT AS n FROM documents GROUP BY substr(text, 1, 40))
+FROM (SELECT min(doc_id) AS least, count(*)::BIGINT AS n FROM documents GROUP BY md5(lower(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g'))))
 """
 
 
@@ -195,20 +195,19 @@ SELECT a, b, n_both::BIGINT AS n_both, round(n_both / (na + nb - n_both), 9)::DO
 
 @query
 def families(spark: SparkSession, d: str) -> DataFrame:
-    """Documents of one text, or of one long opening, or linked by others, as families."""
-    docs = table(spark, d, "documents").select("doc_id", "source", F.md5("text").alias("h"), text.compact(F.substring("text", 1, 80)).alias("k"))
-    edges = similarity.group_edges(docs, "doc_id", F.col("h")).union(
-        similarity.group_edges(docs, "doc_id", F.col("k"), F.char_length("k") >= 40)
-    )
+    """Documents of one text, or of one long text but for case, marks and spaces, or linked by others, as families."""
+    key = text.compact(F.col("text"))
+    docs = table(spark, d, "documents").select("doc_id", "source", F.md5("text").alias("h"), F.md5(key).alias("k"), F.char_length(key).alias("n"))
+    edges = similarity.group_edges(docs, "doc_id", F.col("h")).union(similarity.group_edges(docs, "doc_id", F.col("k"), F.col("n") >= 80))
     found = similarity.components(docs, edges, "doc_id")
     sizes = found.groupBy("component").agg(F.count("*").alias("size"))
     return found.join(sizes, "component").select("doc_id", F.col("component").alias("family"), "size", F.round(1.0 / F.col("size"), 8).alias("weight"))
 
 
 SQL["families"] = r"""
-WITH RECURSIVE k AS (SELECT doc_id, md5(text) AS h, lower(regexp_replace(substr(text, 1, 80), '[^\p{L}\p{N}]+', '', 'g')) AS k FROM documents),
+WITH RECURSIVE k AS (SELECT doc_id, md5(text) AS h, lower(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')) AS k FROM documents),
 e AS (SELECT doc_id AS a, min(doc_id) OVER (PARTITION BY h) AS b FROM k
-      UNION SELECT doc_id, min(doc_id) OVER (PARTITION BY k) FROM k WHERE length(k) >= 40),
+      UNION SELECT doc_id, min(doc_id) OVER (PARTITION BY k) FROM k WHERE length(k) >= 80),
 s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM k UNION SELECT reach.a, s.b FROM reach JOIN s ON reach.b = s.a),
 f AS (SELECT a AS doc_id, min(b) AS family FROM reach GROUP BY 1)
@@ -238,15 +237,16 @@ def fuzzy_titles(spark: SparkSession, d: str) -> DataFrame:
     return similarity.blocked_ratio_pairs(table(spark, d, "part"), "p_partkey", "p_type", "p_name", 0.86)
 
 
-#: Six requests.
+#: Six requests: goal, stage, region, mode, industry.
 REQUESTS = [
-    (1, "URGENT", "O", "NATION_3", "none"),
-    (2, "LOW", None, "NATION_7", "region_first"),
-    (3, None, "F", "any", "national_only"),
-    (4, "MEDIUM", "O", "NATION_12", "strict"),
-    (5, None, None, None, "none"),
-    (6, "HIGH", "P", "NATION_20", "region_first"),
+    (1, "URGENT", "O", "NATION_3", "none", "BUILDING"),
+    (2, "LOW", None, "NATION_7", "region_first", None),
+    (3, None, "F", "any", "national_only", "MACHINERY"),
+    (4, "MEDIUM", "O", "NATION_12", "strict", None),
+    (5, None, None, None, "none", "AUTOMOBILE"),
+    (6, "HIGH", "P", "NATION_20", "region_first", "HOUSEHOLD"),
 ]
+GOALS = ("URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW")
 
 
 def offers(spark: SparkSession, d: str) -> DataFrame:
@@ -267,9 +267,9 @@ def offers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def scored(spark: SparkSession, d: str) -> DataFrame:
+def scored(spark: SparkSession, d: str, asked: list[tuple] = REQUESTS) -> DataFrame:
     """(request, offer, ...) of the offers that pass a request's hard filters: a fixed list of requests, all offers."""
-    q = spark.createDataFrame(REQUESTS, "request int, goal string, stage string, region string, mode string")
+    q = spark.createDataFrame(asked, "request int, goal string, stage string, region string, mode string, industry string")
     groups = table(spark, d, "nation").select(F.col("n_name").alias("qn"), F.col("n_regionkey").alias("region_group"))
     q = q.join(groups, F.col("region") == F.col("qn"), "left")
     both = offers(spark, d).crossJoin(F.broadcast(q))
@@ -278,7 +278,7 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
         "national": F.col("national"), "region": F.col("n_name"), "region_group": F.col("n_regionkey"), "eligible": F.col("eligible"),
         "days_left": F.col("days_left"), "verified": F.col("verified"), "quality": F.col("quality"),
     }
-    r = {k: F.col(k) for k in ("goal", "stage", "region", "region_group", "mode")} | {"industry": F.lit(None).cast("string")}
+    r = {k: F.col(k) for k in ("goal", "stage", "region", "region_group", "mode", "industry")}
     passes, pool, earned = matching.match_points(o, r)
     rows = both.where(passes).withColumn("pscore", matching.match_score(pool, earned))
     return rows.withColumn("region_order", matching.region_order(o, r)).withColumn(
@@ -291,14 +291,15 @@ def match_score(spark: SparkSession, d: str) -> DataFrame:
     return scored(spark, d).select("request", "offer", "pscore", "region_order")
 
 
-def _scored_sql() -> str:
+def _scored_sql(asked: list[tuple] = REQUESTS) -> str:
     lit = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
-    values = ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in REQUESTS)
+    values = ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in asked)
     return f"""
-q AS (SELECT v.*, n_regionkey AS region_group FROM (VALUES {values}) v(request, goal, stage, region, mode) LEFT JOIN nation ON region = n_name),
+q AS (SELECT v.*, n_regionkey AS region_group FROM (VALUES {values}) v(request, goal, stage, region, mode, industry) LEFT JOIN nation ON region = n_name),
 o AS (
   SELECT c_custkey AS offer, list(DISTINCT split_part(o_orderpriority, '-', -1)) AS goals, list(DISTINCT o_orderstatus) AS stages,
          any_value(n_name) AS n_name, any_value(n_regionkey) AS rg, c_custkey % 4 = 0 AS national,
+         any_value(c_mktsegment) AS segment, c_custkey % 5 = 0 AS universal,
          CASE WHEN any_value(c_acctbal) > 5000 THEN 'able' WHEN any_value(c_acctbal) > 0 THEN 'check' ELSE '' END AS eligible,
          CASE WHEN c_custkey % 7 > 0 THEN c_custkey % 60 END AS days_left, c_custkey % 3 = 0 AS verified, 50 + count(*) % 50 AS quality
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey),
@@ -307,16 +308,18 @@ m AS (
          region IS NOT NULL AND region <> 'any' AS asks FROM q, o),
 s AS (
   SELECT *,
-    (CASE WHEN goal IS NOT NULL THEN 40 ELSE 0 END + CASE WHEN stage IS NOT NULL THEN 16 ELSE 0 END + CASE WHEN asks THEN 22 ELSE 0 END + 18) AS pool,
+    (CASE WHEN goal IS NOT NULL THEN 40 ELSE 0 END + CASE WHEN stage IS NOT NULL THEN 16 ELSE 0 END + CASE WHEN asks THEN 22 ELSE 0 END
+     + CASE WHEN industry IS NOT NULL THEN 22 ELSE 0 END + 18) AS pool,
     (CASE WHEN goal IS NOT NULL THEN [40, 40, 34, 28, 22, 20][1 + least(len(goals), 5)] ELSE 0 END
      + CASE WHEN stage IS NOT NULL THEN 16 ELSE 0 END
      + CASE WHEN asks THEN CASE WHEN own THEN 22 WHEN grp THEN 16 ELSE 11 END ELSE 0 END
+     + CASE WHEN industry IS NULL THEN 0 WHEN segment = industry AND NOT universal THEN 22 ELSE 11 END
      + CASE WHEN eligible = 'able' THEN 5 WHEN eligible <> '' THEN 2 ELSE 0 END
      + CASE WHEN days_left IS NULL THEN 2 WHEN days_left BETWEEN 0 AND 14 THEN 4 WHEN days_left BETWEEN 15 AND 45 THEN 2 ELSE 0 END
      + CASE WHEN verified THEN 3 ELSE 0 END + floor(greatest(0.0, (quality - 50) / 50.0 * 6) + 0.5)) AS earned
   FROM m
   WHERE (goal IS NULL OR list_contains(goals, goal)) AND (stage IS NULL OR list_contains(stages, stage))
-    AND (mode <> 'national_only' OR national)
+    AND (industry IS NULL OR universal OR segment = industry) AND (mode <> 'national_only' OR national)
     AND (NOT asks OR CASE WHEN mode = 'strict' THEN (own OR grp) AND NOT national ELSE own OR grp OR national END)),
 r AS (
   SELECT request, offer, goal, mode, national, own, grp, days_left,
@@ -365,18 +368,37 @@ SELECT request, rank::INT AS rank, offer, l::BIGINT AS "left" FROM (
 """
 
 
+#: Each request with each goal in place of its own.
+FACETS = [(10 * r[0] + k, g, *r[2:]) for r in REQUESTS for k, g in enumerate(GOALS)]
+
+
 @query
 def facet_counts(spark: SparkSession, d: str) -> DataFrame:
-    """How many offers a request would have with each goal."""
-    goals = F.array(*[F.lit(g) for g in ("URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW")])
-    o = offers(spark, d).select("offer", "n_name", F.explode(F.array_intersect("goals", goals)).alias("goal"))
-    return o.groupBy("goal").agg(F.count("*").alias("n"), F.countDistinct("n_name").alias("n_regions"))
+    """How many offers a request would match if it chose another goal."""
+    n = scored(spark, d, FACETS).groupBy((F.floor(F.col("request") / 10)).cast("int").alias("request"), "goal").agg(F.count("*").alias("n"))
+    return n.select("request", "goal", "n")
+
 
+SQL["facet_counts"] = f"WITH {_scored_sql(FACETS)} SELECT (request // 10)::INT AS request, goal, count(*)::BIGINT AS n FROM r GROUP BY 1, 2"
 
-SQL["facet_counts"] = """
-SELECT goal, count(DISTINCT c_custkey)::BIGINT AS n, count(DISTINCT n_name)::BIGINT AS n_regions FROM (
-  SELECT c_custkey, n_name, split_part(o_orderpriority, '-', -1) AS goal
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey) GROUP BY 1
+#: What is left of a request that is relaxed: its goal.
+RELAXED = [(r[0], r[1], None, None, "none", None) for r in REQUESTS if r[1]]
+
+
+@query
+def relaxed_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Up to four offers for a request's goal alone that the request itself does not list."""
+    listed = scored(spark, d).select("request", "offer")
+    more = scored(spark, d, RELAXED).join(listed, ["request", "offer"], "left_anti")
+    return matching.top(more, ["request"], [F.desc("region_order"), F.desc("pscore"), F.col("offer")], 4).select("request", "rank", "offer", "pscore")
+
+
+SQL["relaxed_matches"] = f"""
+SELECT request, rank::INT AS rank, offer, pscore FROM (
+  SELECT *, row_number() OVER (PARTITION BY request ORDER BY region_order DESC, pscore DESC, offer) AS rank
+  FROM (WITH {_scored_sql(RELAXED)} SELECT * FROM r) m
+  WHERE NOT EXISTS (SELECT 1 FROM (WITH {_scored_sql()} SELECT request, offer FROM r) l WHERE l.request = m.request AND l.offer = m.offer))
+WHERE rank <= 4
 """
 
 
@@ -440,10 +462,11 @@ REQUEST_PROFILE = requests.Profile(
 @query
 def request_parse(spark: SparkSession, d: str) -> DataFrame:
     """Texts of the benchmark and of documents as requests in plain words."""
-    rows = table(spark, d, "documents").select("doc_id", "text")
+    rows = table(spark, d, "documents").select("doc_id", "text", F.lit("document").alias("kind"))
+    rows = rows.unionByName(table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), "text", F.lit("item").alias("kind")))
     out = requests.parse(rows, "text", REQUEST_PROFILE)
     note = requests.explain(F.col("goal"), F.col("stage"), F.col("region"), F.col("mode"))
-    return out.select("doc_id", "goal", F.array_join("goals", ",").alias("goals"), "stage", "region", "region_group", "mode", "route", note.alias("note"))
+    return out.select("kind", "doc_id", "goal", F.array_join("goals", ",").alias("goals"), "stage", "region", "region_group", "mode", "route", note.alias("note"))
 
 
 def _parse_sql() -> str:
@@ -454,12 +477,13 @@ def _parse_sql() -> str:
     goals = ", ".join(f"CASE WHEN {has(ws)} THEN '{n}' END" for n, ws in sorted(p.goals.items()))
     routes = " ".join(f"WHEN regexp_matches(text, '{x}') THEN '{n}'" for x, n in p.routes)
     return f"""
-WITH x AS (SELECT doc_id, {first(p.goals)} AS goal, concat_ws(',', {goals}) AS goals, {first(p.stages)} AS stage,
+WITH d AS (SELECT 'document' AS kind, doc_id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
+x AS (SELECT kind, doc_id, {first(p.goals)} AS goal, concat_ws(',', {goals}) AS goals, {first(p.stages)} AS stage,
                   {place(1)} AS region, {place(2)} AS region_group, {has(p.nation_wide)} AS wide, {has(p.only_there)} AS there,
-                  CASE {routes} ELSE 'summary' END AS route FROM documents),
+                  CASE {routes} ELSE 'summary' END AS route FROM d),
 m AS (SELECT *, CASE WHEN wide AND region IS NULL THEN 'national_only' WHEN region IS NULL THEN 'none' WHEN there THEN 'strict'
                 ELSE 'region_first' END AS mode FROM x)
-SELECT doc_id, goal, goals, stage, region, region_group, mode, route,
+SELECT kind, doc_id, goal, goals, stage, region, region_group, mode, route,
        concat_ws(', ', 'for ' || goal, 'at stage ' || stage, 'in ' || region, 'mode ' || mode) AS note FROM m
 """
 

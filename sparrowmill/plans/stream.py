@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify
+from ..operators import similarity
 from ..session import table
 from ..sources import documents, sinks
 from ..streaming import incremental
@@ -23,8 +23,7 @@ def query(f):
 
 def shared(spark: SparkSession, label: str) -> str:
     """A new folder where the session keeps what all executors see."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparrowmill-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{similarity.shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def arrivals(spark: SparkSession, d: str) -> tuple[DataFrame, str]:

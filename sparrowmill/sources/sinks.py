@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 
 def write_version(df: DataFrame, root: str, version: str) -> str:
     """Writes a new version beside the others and points to it; inputs are never overwritten."""
-    path = f"{root}/version={version}"
+    spark, path = df.sparkSession, f"{root}/version={version}"
     df.write.mode("errorifexists").parquet(path)
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").json(f"{root}/_pointer")
+    pointer = spark.range(1).select(F.lit(version).alias("version"), F.unix_micros(F.current_timestamp()).alias("written"))
+    pointer.coalesce(1).write.mode("append").json(f"{root}/_pointer")
     return path
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version pointed to."""
-    newest = spark.read.schema("version string").json(f"{root}/_pointer").agg(F.max("version")).first()[0]
+    """The version that was pointed to last, whatever the versions are called."""
+    pointers = spark.read.schema("version string, written long").json(f"{root}/_pointer")
+    newest = pointers.agg(F.max_by("version", "written")).first()[0]
     return spark.read.parquet(f"{root}/version={newest}")
 
 

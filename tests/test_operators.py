@@ -131,3 +131,25 @@ def test_merge_survives_replay(spark, tmp_path):
     run(b, 1)
     run(b, 1)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "m")).collect()) == list(range(6))
+
+
+def test_newest_version_by_writing(spark, tmp_path):
+    for n, version in enumerate(("v9", "v10", "v2")):
+        sinks.write_version(spark.range(n + 1), str(tmp_path), version)
+    assert sinks.read_current(spark, str(tmp_path)).count() == 3
+
+
+def test_hints(spark):
+    from sparrowmill.operators import selection
+
+    rows = spark.createDataFrame([(["길이 부족", "단어반복: x"],), ([],)], "i array<string>")
+    assert [r[0] for r in rows.select(selection.hints(F.col("i"))).collect()] == [
+        "같은 단어가 반복됨; 길이가 부적절(50~100자 권장)", "토스 스타일 규칙 미충족",
+    ]
+
+
+def test_numbered_groups(spark):
+    ids = [5, -3, 1 << 40, 7, 8, 9, 1000]
+    out = relations.numbered_groups(spark.createDataFrame([(i,) for i in ids], "least long"), "least", "G", parts=4)
+    assert {r.least: r.group_name for r in out.collect()} == {i: f"G-{k:04d}" for k, i in enumerate(sorted(ids), 1)}
+    assert relations.numbered_groups(spark.createDataFrame([], "least long"), "least", "G").count() == 0
