@@ -173,54 +173,88 @@ def test_signatures_estimate_similarity():
 # Language model
 
 
-def test_model_by_brute_force(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_model_by_brute_force(spark, order):
     rnd = random.Random(3)
     vocabulary = [invented(rnd, 1) for _ in range(40)]
     rows = list(ODD) + [(50 + k, " ".join(rnd.choices(vocabulary, weights=range(40, 0, -1), k=rnd.randint(1, 60)))) for k in range(80)]
-    settings = kneser_ney.train(docs(spark, rows[:60]))
+    settings = kneser_ney.train(docs(spark, rows[:60]), order=order)
     out = kneser_ney.score(docs(spark, rows), settings).collect()
-    single, double = collections.Counter(), collections.Counter()
+    start, end = "\0start", "\0end"
+    single, double, triple = collections.Counter(), collections.Counter(), collections.Counter()
     for _, t in rows[:60]:
-        w = [*words(t), "\0end"]
-        single.update(w)
-        double.update(zip(["\0start", *w[:-1]], w, strict=True))
+        w = [start, *words(t), end]
+        single.update(w[1:])
+        double.update(zip(w, w[1:]))
+        triple.update(zip(w, w[1:], w[2:]))
     n, v = sum(single.values()), len(single)
-    before = collections.Counter(w for _, w in double)
-    context = collections.defaultdict(lambda: [0, 0, 0, 0])
-    for (u, _), c in double.items():
-        context[u][0] += c
-        context[u][min(c, 3)] += 1
+    preceding = collections.Counter(w for _, w in double)
+    if order == 3:
+        left = collections.Counter((x, y) for _, x, y in triple)
+        double = {k: c if k[0] == start else left[k] for k, c in double.items()}
+
+    def contexts(grams):
+        out = collections.defaultdict(lambda: [0, 0, 0, 0])
+        for g, c in grams.items():
+            out[g[:-1]][0] += c
+            out[g[:-1]][min(c, 3)] += 1
+        return out
+
     times = lambda x: [sum(1 for c in x.values() if c == k) for k in (1, 2, 3, 4)]
-    high, low = kneser_ney.discounts(times(double)), kneser_ney.discounts(times(before))
-    all_before = sum(before.values())
-    spare = sum(low[min(c, 3)] for c in before.values()) / all_before
-    p1 = lambda w: max(before[w] - low[min(before[w], 3)], 0) / all_before + spare / (v + 1)
-
-    def p2(u, w):
-        if u not in context:
-            return p1(w)
-        a, c = context[u], double[u, w]
-        return max(c - high[min(c, 3)], 0) / a[0] + sum(high[k] * a[k] for k in (1, 2, 3)) / a[0] * p1(w)
-
-    for u in ("\0start", vocabulary[0], vocabulary[-1], "never seen"):
-        assert math.isclose(sum(p2(u, w) for w in single) + p2(u, "never seen"), 1, rel_tol=1e-9)
+    low = kneser_ney.discounts(times(preceding))
+    all_before = sum(preceding.values())
+    spare = sum(low[min(c, 3)] for c in preceding.values()) / all_before
+    p1 = lambda w: max(preceding[w] - low[min(preceding[w], 3)], 0) / all_before + spare / (v + 1)
+
+    def higher(grams, below):
+        cut, of = kneser_ney.discounts(times(grams)), contexts(grams)
+
+        def p(*gram):
+            if gram[:-1] not in of:
+                return below(*gram[1:])
+            a, c = of[gram[:-1]], grams.get(gram, 0)
+            return max(c - cut[min(c, 3)], 0) / a[0] + sum(cut[k] * a[k] for k in (1, 2, 3)) / a[0] * below(*gram[1:])
+
+        return p
+
+    p2 = higher(double, p1)
+    p3 = higher(triple, p2) if order == 3 else lambda u, v, w: p2(v, w)
+    for u in (start, vocabulary[0], vocabulary[-1], "never seen"):
+        for x in (vocabulary[1], vocabulary[-2], "never seen"):
+            assert math.isclose(sum(p3(u, x, w) for w in single) + p3(u, x, "never seen"), 1, rel_tol=1e-9)
     want = []
     for i, t in rows:
-        w = [*words(t), "\0end"]
-        s = sum(math.log10(p2(u, x)) for u, x in zip(["\0start", *w[:-1]], w, strict=True))
-        b = sum(math.log10((single[x] + 1) / (n + v + 1)) for x in w)
-        want.append((str(i), len(w), sum(single[x] > 0 for x in w), n, round(b, 5), round(s, 5)))
+        w = [start, *words(t), end]
+        s = math.log10(p2(*w[:2])) + sum(math.log10(p3(*g)) for g in zip(w, w[1:], w[2:]))
+        b = sum(math.log10((single[x] + 1) / (n + v + 1)) for x in w[1:])
+        want.append((str(i), len(w) - 1, sum(single[x] > 0 for x in w[1:]), n, round(b, 5), round(s, 5)))
     got = [(str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in out]
     assert sorted(got) == sorted(want)
 
 
-def test_a_lost_array_raises(spark):
+def test_sorted_arrays():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5, 40_000):
+        key = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        facts = [rng.integers(0, 30, len(key)), rng.integers(1, 40, len(key)) ** 3]
+        found = kneser_ney.Sorted(kneser_ney.seal(key, *facts))
+        assert found.find(key).tolist() == np.stack(facts, axis=1).tolist()
+        assert not found.find(np.setdiff1d(rng.integers(0, 1 << 64, 1000, dtype=np.uint64), key)).any()
+
+
+def test_pairs_beyond_63_bits(spark):
+    first, second = np.array([1 << 61, 3, 1 << 61, 0]), np.array([2, 9, 2, 0])
+    assert [c.tolist() for c in kneser_ney._distinct(first, second, 10)] == [[0, 3, 1 << 61], [0, 9, 2], [1, 1, 2]]
+
+
+@pytest.mark.parametrize("kind", ["bigram", "trigram"])
+def test_a_lost_array_raises(spark, kind):
     import glob
     import os
 
     settings = kneser_ney.train(docs(spark, [(k, f"w{k} and w{k + 1} or w{k + 2}") for k in range(50)]))
-    files = glob.glob(kneser_ney._local(settings.folder) + "/bigram-[0-9]*.npy")
-    assert len(files) == settings.present["bigram"].sum() > 1
+    files = glob.glob(kneser_ney._local(settings.folder) + f"/{kind}-[0-9]*.npy")
+    assert len(files) == settings.present[kind].sum() > 1
     for f in files:
         os.remove(f)
     with pytest.raises(Exception, match="FileNotFoundError|No such file"):
@@ -254,7 +288,10 @@ def test_large_counts(spark):
 
     (_, _, t), = textbatch.slices(pa.array(["a b"]))
     a, b = t.hashes()
-    assert model.bigrams(np.array([a, b]), np.array([b, a])).tolist() == [700, 699]
+    u, v, w = np.array([a, b]), np.array([b, a]), np.array([a, b])
+    # After b stands a 699 times and the end once; before a stand the start and b.
+    assert model.grams("bigram", textbatch.join(u, v), u, v).tolist() == [[2, 700, 0, 0, 1], [1, 699, 0, 0, 1]]
+    assert model.grams("trigram", textbatch.join(u, v, w), v, u).tolist() == [[699], [699]]
 
 
 # Tokens
