@@ -7,7 +7,8 @@ import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,19 +71,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a path in the shared folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, deleted when this driver ends."""
     path = f"{shared_root(spark).rstrip('/')}/sparrowmill-{label}-{uuid.uuid4().hex}"
 
-    def drop() -> None:
+    def tidy() -> None:
         try:
-            jvm = spark._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            drop(spark, path)
         except Exception:  # the session is gone already; the cluster's own clean-up is left
             pass
 
-    atexit.register(drop)
+    atexit.register(tidy)
     return path
 
 
@@ -102,6 +107,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of each query that runs within as soon as the query ends."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """The frame, with Arrow batches of at most BATCH rows where the session leaves Spark's own 10,000: texts are long.
 

@@ -9,7 +9,7 @@ v's hash and of u's, in packed blocks. A shard merges its blocks, so it knows al
 trigrams and passes on bigrams, dealt over a grid by both words, and what it knows of contexts that occur more than
 once. The shards of bigrams do likewise and pass on what they know of single words (count, distinct predecessors,
 followers by count), dealt by hash range. A frequent word thus spreads over a row or a column of each grid. Only a few
-sums reach the driver. Files appear by renaming, so a task that runs again does no harm.
+sums reach the driver. Shuffles go as soon as a merge is through. Files appear by renaming, so a task that runs again does no harm.
 
 An n-gram is stored by 32 bits of its hash, after those that name its bucket in a sorted array (some 48 bits in all at
 a million a shard), and a byte that names its facts among those of the shard.
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, fresh, shared_path, table
+from .common import bounded, brief_shuffles, drop, fresh, shared_path, table
 from .textbatch import BASE, U, Texts, join, mix, slices
 
 FOLDS, HELD_OUT = 7, 2
@@ -98,18 +98,28 @@ def map_array(folder: str, name: str) -> np.ndarray:
 
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Columns: hashes as they are, numbers in as few bytes as they need, byte by byte of all rows, compressed."""
+    """Columns, hashes first: ascending ones by their steps, in as few bytes as they need, byte by byte, compressed."""
+    planes, steps = [], []
+    for c in columns:
+        up = bool((c[1:] >= c[:-1]).all())
+        c = np.diff(c, prepend=c.dtype.type(0)) if up else c
+        c = c.astype(np.min_scalar_type(int(c.max()) if len(c) else 0))
+        planes.append(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T))
+        steps.append(up)
     out = io.BytesIO()
-    slim = [c if c.dtype == U else c.astype(np.min_scalar_type(int(c.max()) if len(c) else 0)) for c in columns]
-    np.savez(out, *[c if c.dtype == U else np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T) for c in slim])
+    np.savez(out, np.array(steps), *planes)
     return pa.compress(out.getvalue(), codec="zstd", asbytes=True) + len(out.getvalue()).to_bytes(8, "little")
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
     raw = pa.decompress(blob[:-8], int.from_bytes(blob[-8:], "little"), codec="zstd", asbytes=True)
     with np.load(io.BytesIO(raw)) as z:
-        columns = [z[k] for k in z.files]
-    return [c if c.dtype == U else np.ascontiguousarray(c.T).view(f"u{c.shape[0]}").ravel().astype(np.int64) for c in columns]
+        steps, *planes = [z[k] for k in z.files]
+    out = []
+    for k, c in enumerate(planes):
+        c = np.ascontiguousarray(c.T).view(f"u{c.shape[0]}").ravel().astype(np.int64 if k else U)
+        out.append(np.cumsum(c, dtype=c.dtype) if steps[k] else c)
+    return out
 
 
 def pack_words(names: np.ndarray, ids: list[np.ndarray], *counts: np.ndarray) -> bytes:
@@ -430,9 +440,9 @@ def _words(folder: str, side: int):
             h, *facts = (np.concatenate([p[k] for p in parts]) for k in range(7))
             del parts
             h, _, facts = merged(h, *facts)
-            table_ = np.stack(facts)
-            put_array(folder, f"word-{s}", h)
-            put_array(folder, f"facts-{s}", table_.astype(np.uint32 if table_.size == 0 or table_.max() < 1 << 32 else U))
+            key = mix(h)  # a range shares the leading bits of its hashes, which seal() goes by
+            by = np.argsort(key)
+            put_array(folder, f"word-{s}", seal(key[by], *[c[by] for c in facts]))
             raw, preceding = facts[0], facts[1]
             yield _out([("word", s, int(preceding.sum()), *_times(preceding), int(raw.sum()), int((raw > 0).sum()))], names, types)
 
@@ -479,20 +489,25 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER) -> Set
     side = max(4, math.isqrt(partitions))
     ranges = max(4, partitions // 2)
     blocks = bounded(docs.select(F.col(text_col).alias("text"))).mapInArrow(_count(side, order), PASSED_SQL)
-    if order == 3:
+    with brief_shuffles(spark):
+        if order == 3:
+            # Written, so that the trigrams' shuffle is gone before the bigrams are dealt.
+            dealt = blocks.repartition(side * side, "shard").sortWithinPartitions("shard")
+            merged_ = bounded(dealt).mapInArrow(_trigrams(folder, side), PASSED_SQL)
+            merged_.write.option("compression", "none").parquet(f"{folder}-blocks")
+            blocks = spark.read.schema(PASSED_SQL).parquet(f"{folder}-blocks")
         dealt = blocks.repartition(side * side, "shard").sortWithinPartitions("shard")
-        blocks = bounded(dealt).mapInArrow(_trigrams(folder, side), PASSED_SQL)
-    dealt = blocks.repartition(side * side, "shard").sortWithinPartitions("shard")
-    facts = bounded(dealt).mapInArrow(_bigrams(folder, ranges, order), PASSED_SQL)
-    sums = facts.repartition(ranges, "shard").sortWithinPartitions("shard").mapInArrow(
-        _words(folder, side), "kind string, shard long, n long, t1 long, t2 long, t3 long, t4 long, tokens long, distinct long"
-    )
-    # A few sums, and a bit for each range and shard.
-    number = F.col("shard") + 1
-    rows = sums.groupBy("kind", F.bitmap_bucket_number(number).alias("part")).agg(
-        *[F.sum(c).alias(c) for c in SUMS], F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
-    )
-    return Settings(folder, side, ranges, order, rows.collect())
+        facts = bounded(dealt).mapInArrow(_bigrams(folder, ranges, order), PASSED_SQL)
+        sums = facts.repartition(ranges, "shard").sortWithinPartitions("shard").mapInArrow(
+            _words(folder, side), "kind string, shard long, n long, t1 long, t2 long, t3 long, t4 long, tokens long, distinct long"
+        )
+        # A few sums, and a bit for each range and shard.
+        number = F.col("shard") + 1
+        rows = sums.groupBy("kind", F.bitmap_bucket_number(number).alias("part")).agg(
+            *[F.sum(c).alias(c) for c in SUMS], F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+        ).collect()
+    drop(spark, f"{folder}-blocks")
+    return Settings(folder, side, ranges, order, rows)
 
 
 # Scoring ----------------------------------------------------------------------------------------------------------
@@ -510,23 +525,19 @@ class Model:
         self.floor = (spare if settings.continuations else 1.0) / (settings.distinct + 1)
         self.unit = c
 
-    def array(self, name: str) -> np.ndarray:
+    def array(self, name: str) -> Sorted:
         if name not in self.open:
-            self.open[name] = map_array(self.s.folder, name)
+            self.open[name] = Sorted(map_array(self.s.folder, name))
         return self.open[name]
 
     def words(self, h: np.ndarray) -> np.ndarray:
-        """Facts of distinct ascending hashes, zeros for unknown ones: raw, before, total, n1, n2, n3."""
-        out = np.zeros((6, len(h)), np.int64)
+        """Facts of distinct ascending hashes, zeros for unknown ones: raw, preceding, total, n1, n2, n3."""
+        out = np.zeros((len(h), 6), np.int64)
         edge = np.searchsorted(bands(h, self.s.ranges), np.arange(self.s.ranges + 1))
-        for r in range(self.s.ranges):
-            a, b = edge[r], edge[r + 1]
-            if b > a and self.s.present["word"][r]:
-                known = self.array(f"word-{r}")
-                at = np.minimum(np.searchsorted(known, h[a:b]), len(known) - 1)
-                hit = np.flatnonzero(known[at] == h[a:b])
-                out[:, a + hit] = self.array(f"facts-{r}")[:, at[hit]]
-        return out
+        for r in np.flatnonzero(np.diff(edge)):
+            if self.s.present["word"][r]:
+                out[edge[r] : edge[r + 1]] = self.array(f"word-{r}").find(mix(h[edge[r] : edge[r + 1]]))
+        return out.T
 
     def grams(self, kind: str, key: np.ndarray, across: np.ndarray, down: np.ndarray) -> np.ndarray:
         """Facts of n-grams, a row each; their shards go by the hashes ``across`` and ``down``."""
@@ -540,10 +551,7 @@ class Model:
             return out
         for s, own in zip(found.tolist(), np.split(by, first[1:]), strict=True):
             if self.s.present[kind][s]:
-                name = f"{kind}-{s}"
-                if name not in self.open:
-                    self.open[name] = Sorted(map_array(self.s.folder, name))
-                out[own] = self.open[name].find(key[own])
+                out[own] = self.array(f"{kind}-{s}").find(key[own])
         return out
 
     def score(self, t: Texts) -> list[np.ndarray]:

@@ -242,7 +242,15 @@ def test_sorted_arrays():
         assert not found.find(np.setdiff1d(rng.integers(0, 1 << 64, 1000, dtype=np.uint64), key)).any()
 
 
-def test_pairs_beyond_63_bits(spark):
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 300):
+        columns = [np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)), rng.integers(0, 70_000, n), np.arange(n), np.ones(n, np.int64)]
+        back = kneser_ney.unpack(kneser_ney.pack(*columns))
+        assert [(c.dtype, c.tolist()) for c in back] == [(c.dtype, c.tolist()) for c in columns]
+
+
+def test_pairs_beyond_63_bits():
     first, second = np.array([1 << 61, 3, 1 << 61, 0]), np.array([2, 9, 2, 0])
     assert [c.tolist() for c in kneser_ney._distinct(first, second, 10)] == [[0, 3, 1 << 61], [0, 9, 2], [1, 1, 2]]
 
@@ -290,7 +298,7 @@ def test_large_counts(spark):
     a, b = t.hashes()
     u, v, w = np.array([a, b]), np.array([b, a]), np.array([a, b])
     # After b stands a 699 times and the end once; before a stand the start and b.
-    assert model.grams("bigram", textbatch.join(u, v), u, v).tolist() == [[2, 700, 0, 0, 1], [1, 699, 0, 0, 1]]
+    assert model.grams("bigram", textbatch.join(u, v), u, v).tolist() == [[2, 700, 1, 0, 1], [1, 699, 0, 0, 1]]
     assert model.grams("trigram", textbatch.join(u, v, w), v, u).tolist() == [[699], [699]]
 
 
