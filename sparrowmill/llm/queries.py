@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, weak_rules
+from . import bpe, chat, divergence, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_classifier": pairwise.query,
     "op10_quality_rules": weak_rules.query,
+    "op11_divergence": divergence.query,
 }
 ORACLE = {
     "op1_mixing": mixing.SQL,
     "op2_licenses": licenses.SQL,
     "op4_chat": chat.SQL,
     "op10_quality_rules": weak_rules.SQL,
+    "op11_divergence": divergence.SQL,
 }
