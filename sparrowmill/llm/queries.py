@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, divergence, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, weak_rules
+from . import bpe, chat, divergence, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, warc, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_classifier": pairwise.query,
     "op10_quality_rules": weak_rules.query,
     "op11_divergence": divergence.query,
+    "op12_warc": warc.query,
 }
 ORACLE = {
     "op1_mixing": mixing.SQL,
@@ -23,4 +24,5 @@ ORACLE = {
     "op4_chat": chat.SQL,
     "op10_quality_rules": weak_rules.SQL,
     "op11_divergence": divergence.SQL,
+    "op12_warc": warc.SQL,
 }
