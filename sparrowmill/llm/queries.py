@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, divergence, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, warc, weak_rules
+from . import bpe, chat, divergence, jpeg, kneser_ney, licenses, minhash, mixing, pairwise, sharding, warc, wavelet, weak_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_rules": weak_rules.query,
     "op11_divergence": divergence.query,
     "op12_warc": warc.query,
+    "op13_wavelet": wavelet.query,
 }
 ORACLE = {
     "op1_mixing": mixing.SQL,
@@ -25,4 +26,5 @@ ORACLE = {
     "op10_quality_rules": weak_rules.SQL,
     "op11_divergence": divergence.SQL,
     "op12_warc": warc.SQL,
+    "op13_wavelet": wavelet.SQL,
 }
