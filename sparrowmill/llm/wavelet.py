@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, looked_up, table, written
-from .terms import count, gathered, split, stops
+from .terms import GATHER, count, gathered, split, stops
 
 STOP = stops((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 #: Bytes and items of a block of items; nodes expanded at a time.
@@ -66,9 +66,9 @@ def planes(sequence: np.ndarray, levels: int) -> list[bytes]:
     return out
 
 
-def _build(docs: int, all_terms: int):
+def _build(docs: int, all_terms: int, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "text"):
+        for batch in gathered(batches, "text", shard_bytes):
             batch = batch.take(pa.compute.sort_indices(batch.column("id"), null_placement="at_start"))
             t = split(batch.column("text"), STOP)
             if not len(t.codes):
@@ -211,11 +211,11 @@ class Index:
         self.shards, self.docs, self.terms = shards, docs, terms
 
 
-def build(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = GATHER) -> Index:
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sums = bounded(slim.select("text")).mapInArrow(_lengths, "docs long, terms long").agg(F.sum("docs"), F.sum("terms")).first()
     many, terms = sums[0] or 0, sums[1] or 0
-    return Index(written(bounded(slim).mapInArrow(_build(many, terms), INDEX), "wavelet"), many, terms)
+    return Index(written(bounded(slim).mapInArrow(_build(many, terms, shard_bytes), INDEX), "wavelet"), many, terms)
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +237,7 @@ def top(index: Index, items: DataFrame, *, id_col: str = "item_id", text_col: st
     weight = F.floor(1000 * F.log((2 * F.lit(index.docs) + 2).cast("double") / (2 * F.col("df") + 1).cast("double"))).cast("long")
     weighed = asked.join(df.withColumn("w", weight).where("w > 0"), "term")
     packed = weighed.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("terms"), F.sum(F.octet_length("term") + 16).alias("bytes"))
-    # Blocks: items by the hash range of their id, so that their number follows the items' size and none is sorted in one place.
+    # Blocks by the hash of the id: their number follows the items' bytes, and only one at a time is on the driver.
     packed = written(packed, "items")
     total = packed.agg(F.count("*"), F.sum("bytes")).first()
     blocks = max(1, -(-total[0] // ITEMS), -(-(total[1] or 0) // BLOCK))
