@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, let, table
+from .common import Scratch, let, table, written
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 
@@ -51,19 +51,21 @@ def same(a: DataFrame, b: DataFrame, x: str, y: str) -> Column:
     return a["conv"].eqNullSafe(b["conv"]) & (a[x] == b[y])
 
 
-def jumps(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+def jumps(messages: DataFrame, scratch: Scratch | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """(conv, msg, depth, total, is_root_found) and the tables (conv, msg, up) of the jumps of 1, 2, 4, ... messages."""
+    scratch = scratch or Scratch(messages.sparkSession)
     ids = messages.select("conv", "msg", "parent", "score")
     known = ids.select(F.col("conv").alias("kc"), F.col("msg").alias("km"))
     linked = ids.join(known, ids["conv"].eqNullSafe(known["kc"]) & (ids["parent"] == known["km"]), "left")
-    state = cut(
+    state = scratch.keep(
         linked.select(
             "conv",
             "msg",
             F.col("km").alias("up"),
             F.when(F.col("km").isNull(), 0).otherwise(1).cast("long").alias("depth"),
             F.coalesce("score", F.lit(0.0)).alias("total"),
-        )
+        ),
+        "jumps",
     )
     levels = []
     # A path is no longer than its conversation: what has found no root after so many doublings is on a cycle or leads into one.
@@ -87,31 +89,28 @@ def jumps(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             (F.col("depth") + F.col("adepth")).alias("depth"),
             (F.col("total") + F.col("atotal")).alias("total"),
         )
-        state = cut(state.where(F.col("up").isNull()).unionByName(longer))
+        state = scratch.keep(state.where(F.col("up").isNull()).unionByName(longer), "jumps")
     return state.where(F.col("up").isNull()).select("conv", "msg", "depth", "total"), levels
 
 
 def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     """(conv, leaf, rank, msg, depth) for every message on the chosen root-to-leaf paths."""
-    placed, levels = jumps(messages)
-    parents = messages.where(F.col("parent").isNotNull()).select(F.col("conv").alias("pc"), F.col("parent").alias("pm")).distinct()
-    leaves = placed.join(
-        parents, placed["conv"].eqNullSafe(parents["pc"]) & (placed["msg"] == parents["pm"]), "left_anti"
-    )
-    best = Window.partitionBy("conv").orderBy((F.col("total") / (F.col("depth") + 1)).desc(), F.col("depth").desc(), "msg")
-    ranked = leaves.withColumn("rank", F.row_number().over(best))
-    if branches is not None:
-        ranked = ranked.where(F.col("rank") <= branches)
-    found = ranked.select("conv", F.col("msg").alias("leaf"), "rank", "msg", "depth")
-    for k in range(len(levels) - 1, -1, -1):
-        jump = levels[k].select(F.col("conv").alias("jc"), F.col("msg").alias("jm"), F.col("up").alias("jup"))
-        more = found.join(jump, found["conv"].eqNullSafe(jump["jc"]) & (found["msg"] == jump["jm"]))
-        found = cut(
-            found.unionByName(
-                more.select("conv", "leaf", "rank", F.col("jup").alias("msg"), (F.col("depth") - (1 << k)).alias("depth"))
-            )
-        )
-    return found
+    with Scratch(messages.sparkSession) as scratch:
+        placed, levels = jumps(messages, scratch)
+        parents = messages.where(F.col("parent").isNotNull()).select(F.col("conv").alias("pc"), F.col("parent").alias("pm")).distinct()
+        leaves = placed.join(parents, placed["conv"].eqNullSafe(parents["pc"]) & (placed["msg"] == parents["pm"]), "left_anti")
+        best = Window.partitionBy("conv").orderBy((F.col("total") / (F.col("depth") + 1)).desc(), F.col("depth").desc(), "msg")
+        ranked = leaves.withColumn("rank", F.row_number().over(best))
+        if branches is not None:
+            ranked = ranked.where(F.col("rank") <= branches)
+        found = ranked.select("conv", F.col("msg").alias("leaf"), "rank", "msg", "depth")
+        for k in range(len(levels) - 1, -1, -1):
+            jump = levels[k].select(F.col("conv").alias("jc"), F.col("msg").alias("jm"), F.col("up").alias("jup"))
+            more = found.join(jump, found["conv"].eqNullSafe(jump["jc"]) & (found["msg"] == jump["jm"]))
+            above = more.select("conv", "leaf", "rank", F.col("jup").alias("msg"), (F.col("depth") - (1 << k)).alias("depth"))
+            before, found = found, scratch.keep(found.unionByName(above), "paths")
+            scratch.let_go(before)
+        return written(found, "paths")
 
 
 def render(turns: DataFrame) -> DataFrame:
@@ -149,7 +148,7 @@ def format_trees(messages: DataFrame, branches: int | None = 1, keyed: bool = Fa
     keyed: whether (conv, msg) is known to name one row.
     """
     if not keyed:
-        messages = cut(distinct_messages(messages))
+        messages = written(distinct_messages(messages), "messages")
     chosen = paths(messages, branches)
     texts = messages.select(
         F.col("conv").alias("tc"), F.col("msg").alias("tm"),
@@ -186,7 +185,7 @@ PROBE = r"</s>[INST] ok [/INST]"
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], rows.schema)
-    out = format_trees(cut(chain(rows.unionByName(probe))), keyed=True)
+    out = format_trees(written(chain(rows.unionByName(probe)), "messages"), keyed=True)
     read = out.withColumn("turns", read_back(F.col("formatted"), F.col("mask")))
     text = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""

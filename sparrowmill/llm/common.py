@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import re
 import tempfile
 import uuid
@@ -98,15 +97,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files and checkpoints of frames that nothing names any more.
-
-    Otherwise they stay until the driver happens to collect its garbage, and steps of a long job add up on disk.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 @contextmanager
 def brief_shuffles(spark: SparkSession) -> Iterator[None]:
     """Spark deletes the shuffle files of each query that runs within as soon as the query ends."""
@@ -119,6 +109,38 @@ def brief_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
+class Scratch:
+    """Tables that a job of several steps keeps for a while: each is deleted by its path as soon as it is let go, the rest at the end.
+
+    Within, Spark also deletes each query's shuffle files when the query ends. What is to outlive the block is written()
+    by itself.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.held = spark, []
+        self.shuffles = brief_shuffles(spark)
+
+    def __enter__(self) -> Scratch:
+        self.shuffles.__enter__()
+        return self
+
+    def __exit__(self, *why: object) -> None:
+        self.let_go(*[df for df, _ in self.held])
+        self.shuffles.__exit__(*why)
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = shared_path(self.spark, label)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((out, path))
+        return out
+
+    def let_go(self, *frames: DataFrame | None) -> None:
+        for path in [p for df, p in self.held if any(df is f for f in frames)]:
+            drop(self.spark, path)
+        self.held = [(df, p) for df, p in self.held if not any(df is f for f in frames)]
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """The frame, with Arrow batches of at most BATCH rows where the session leaves Spark's own 10,000: texts are long.
 

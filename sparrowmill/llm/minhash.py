@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, cut, fresh, release, table, written
+from .common import Scratch, bounded, fresh, table, written
 from .textbatch import U, join, mix, slices
 
 ROWS, MISSED = 8, 1e-6
@@ -182,9 +182,9 @@ def _confirm(similarity: float):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (x, y) -> (node, root): the least node of each component, for nodes that have an edge."""
-    pairs = cut(edges.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct())
+    pairs = scratch.keep(edges.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     while True:
         # Large star: every neighbour above a node is linked to the least node around.
@@ -208,14 +208,16 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        pairs = cut(small)
+        last, pairs = pairs, scratch.keep(small, "edges")
+        scratch.let_go(last)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break
         before = now
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        pairs.select(F.col("v").alias("node"), F.col("v").alias("root"))
-    ).distinct()
+    ends = pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(pairs.select(F.col("v").alias("node"), F.col("v").alias("root")))
+    roots = scratch.keep(ends.distinct(), "roots")
+    scratch.let_go(pairs)
+    return roots
 
 
 def open_buckets(members: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -305,7 +307,7 @@ def _prefixes(shipped, similarity: float):
     return run
 
 
-def remaining(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def remaining(live: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Candidate pairs (x, y) of different components among all nodes of open buckets: an exact prefix-filter join.
 
     Any order of shingles is exact, so they are counted in slots, a table of a fixed size. The shorter set of a pair
@@ -314,7 +316,7 @@ def remaining(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """
     spark = live.sparkSession
     nodes = live.select(F.col("node").alias("on"), "n", "root").distinct()
-    own = written(sets.join(nodes, sets["node"] == nodes["on"]).select("node", "n", "root", "shingles"), "open")
+    own = scratch.keep(sets.join(nodes, sets["node"] == nodes["on"]).select("node", "n", "root", "shingles"), "open")
     counts = bounded(own.select("shingles")).mapInArrow(_slot_counts, "slot long, n long")
     counts = counts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     often = np.zeros(SLOTS, np.int64)
@@ -322,7 +324,8 @@ def remaining(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     shipped = spark.sparkContext.broadcast(often)
     hundredths = round(similarity * 100)
     schema = "token long, short boolean, left long, node binary, n long, root binary"
-    rows = written(bounded(own).mapInArrow(_prefixes(shipped, similarity), schema), "prefixes")
+    rows = scratch.keep(bounded(own).mapInArrow(_prefixes(shipped, similarity), schema), "prefixes")
+    scratch.let_go(own)
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     rows = rows.join(mixed.select(F.col("token").alias("t")), F.col("token") == F.col("t"), "left_semi")
     side = lambda k: [F.col(c).alias(k + c) for c in ("token", "left", "node", "n", "root")]
@@ -350,69 +353,75 @@ def cluster(
     similarity: float = 0.8,
     rounds: int = ROUNDS,
 ) -> Clusters:
-    """Finds all components; the frames returned are ``rows`` (id, node, n_shingles) and ``nodes`` (node, comp, rep)."""
+    """Finds all components; the frames returned are ``rows`` (id, node, n_shingles) and ``nodes`` (node, comp, rep).
+
+    Both are tables of their own; what the rounds write is deleted as soon as the next round has what it needs of it.
+    """
     spark = docs.sparkSession
+    with Scratch(spark) as scratch:
+        return _cluster(docs, scratch, id_col, text_col, width, similarity, rounds)
+
+
+def _cluster(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, width: int, similarity: float, rounds: int) -> Clusters:
     id_type = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(
         F.col(text_col).alias("text"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th")
     )
     schema = f"node binary, n_shingles long, bands array<long>, id {id_type}, th long"
-    rows = written(bounded(slim).mapInArrow(_nodes(width, similarity, ["id", "th"]), schema), "nodes")
+    banding = scratch.keep(bounded(slim).mapInArrow(_nodes(width, similarity, ["id", "th"]), schema), "nodes")
+    rows = written(banding.drop("bands"), "rows")
     # Equal sets are one node, known by the row of its least id.
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th"))
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(first.alias("row"), F.first("n_shingles").alias("n"))
-    banded = rows.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("n"))
+    banded = banding.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("n"))
     placed = banded.select("node", "n", F.explode("bands").alias("key"))
     sizes = placed.groupBy("key").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
     sizes = sizes.select(F.col("key").alias("k"), "in_bucket")
-    shared = written(placed.join(sizes, placed["key"] == sizes["k"]).select("key", "node", "n", "in_bucket"), "buckets")
-    release(spark)
+    shared = scratch.keep(placed.join(sizes, placed["key"] == sizes["k"]).select("key", "node", "n", "in_bucket"), "buckets")
+    scratch.let_go(banding)
     fame = shared.groupBy("node").agg(F.sum("in_bucket").alias("fame"))
     members = shared.select("key", "node", "n").join(fame, "node")
     wanted = nodes.join(fame, "node", "left_semi").select("node", F.col("row.id").alias("wid"), F.col("row.th").alias("wth"))
     text = slim.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "node")
-    sets = written(bounded(text).mapInArrow(_sets(width), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
-
+    sets = scratch.keep(bounded(text).mapInArrow(_sets(width), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+    live = scratch.keep(members.withColumn("root", F.col("node")), "live")
+    scratch.let_go(shared)
     links, roots, tried = None, None, None
-    live = cut(members.withColumn("root", F.col("node")))
-    del placed, banded, sizes, shared, fame, members, wanted, text
-    release(spark)
 
     def test(pairs: DataFrame) -> bool:
         """Confirms what has not been tried yet; whether that paid."""
         nonlocal links, roots, tried
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
-        found = cut(confirm(pairs, sets, similarity))
+        pairs = scratch.keep(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
+        found = scratch.keep(confirm(pairs, sets, similarity), "links")
         tried = pairs if tried is None else tried.union(pairs)
         n_found = found.count()
         if n_found:
             links = found if links is None else links.union(found)
-            roots = cut(components(links))
-        release(spark)
+            before, roots = roots, components(links, scratch)
+            scratch.let_go(before)
         return n_found * PAYING > pairs.count()
 
     for _ in range(rounds):
         centre, pairs = stars(live, similarity)
-        centre = cut(centre)
+        centre = scratch.keep(centre, "centres")
         paid = test(pairs)
-        live = live.join(centre, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
-        live = cut(open_buckets(live, roots))
-        release(spark)
+        left = live.join(centre, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
+        before, live = live, scratch.keep(open_buckets(left, roots), "live")
+        scratch.let_go(before, centre)
         if not paid or live.isEmpty():
             break
     if not live.isEmpty():
-        test(remaining(live, sets, similarity))
-    del live, sets, tried
-    release(spark)
+        test(remaining(live, sets, similarity, scratch))
 
     if roots is None:
-        return Clusters(rows, nodes.select("node", F.col("row.id").alias("comp"), F.col("node").alias("rep")))
+        alone = nodes.select("node", F.col("row.id").alias("comp"), F.col("node").alias("rep"))
+        return Clusters(rows, written(alone, "classes"))
     rooted = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.struct("row.none", "row.id", "node").alias("best")
     )
     best = rooted.groupBy(F.col("root").alias("r")).agg(F.min("best").alias("best"))
     named = rooted.select("node", "root").join(best, F.col("root") == F.col("r"))
-    return Clusters(rows, named.select("node", F.col("best.id").alias("comp"), F.col("best.node").alias("rep")))
+    return Clusters(rows, written(named.select("node", F.col("best.id").alias("comp"), F.col("best.node").alias("rep")), "classes"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:

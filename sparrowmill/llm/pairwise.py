@@ -213,8 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, lab
     texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     known = texts.join(F.broadcast(chosen), F.col("id") == F.col("lid")).select("text", "y")
     rows = bounded(known).mapInArrow(_map_features(["x", "y"]), "x array<double>, y int")
-    # At most the sample's documents, a few hundred bytes each; repeated ids count once.
-    got = rows.distinct().limit(sample).toArrow()
+    # At most the sample's documents, a few hundred bytes each; repeated ids count once, and of more the first by hash stay.
+    got = rows.distinct().orderBy(F.xxhash64("x", "y")).limit(sample).toArrow()
     if not len(got):
         return fit(np.zeros((0, features(Texts(np.zeros(0, np.uint8), np.zeros(1, np.int64))).shape[1])), np.zeros(0))
     x = np.array(got["x"].to_pylist())

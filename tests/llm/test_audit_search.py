@@ -124,7 +124,7 @@ def test_search_of_odd_rows(spark, tmp_path, monkeypatch, items, shard_bytes):
     asked += [(invented(rnd, rnd.randint(1, 12)), 10 + k, 0) for k in range(12)]
     d = folder(spark, tmp_path, documents=(docs(rnd, 300), DOCS), benchmark=(asked, ITEMS))
     assert_same(wavelet.query(spark, d), wavelet.SQL, d)
-    index = wavelet.build(spark.read.parquet(f"{d}/documents.parquet"), shard_bytes=shard_bytes)
+    index = wavelet.build(spark.read.parquet(f"{d}/documents.parquet").repartition(4 if shard_bytes > 500 else 25), shard_bytes=shard_bytes)
     assert (index.shards.count() > 20) == (shard_bytes == 500)
     assert_same(wavelet.top(index, spark.read.parquet(f"{d}/benchmark.parquet")), wavelet.SQL, d)
 

@@ -247,3 +247,23 @@ def test_probe_conversation(spark):
     row = queries.QUERIES["op4_chat"](spark, SMALL).where("conv_id = -7").first()
     want = f"user\n{chat.PROBE}\nassistant\n{chat.PROBE}\n"
     assert row.turns_sha256 == hashlib.sha256(want.encode()).hexdigest() and row.loss_chars == len(chat.PROBE)
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    """Of a finished job only the tables that its result reads are there."""
+    import os
+
+    from sparrowmill.llm import minhash
+    from sparrowmill.llm.common import shared_root
+
+    root = shared_root(spark).removeprefix("file://").removeprefix("file:")
+
+    def folders():
+        return {f for f in os.listdir(root) if f.startswith("sparrowmill-")}, sum(len(x[2]) for x in os.walk(root) if "rdd-" in x[0])
+
+    before, checkpoints = folders()
+    chat.query(spark, "/root/testdata/sf0.001").collect()
+    minhash.query(spark, "/root/testdata/sf0.001").collect()
+    after, now = folders()
+    assert sorted(f.split("-")[1] for f in after - before) == ["classes", "messages", "paths", "rows"]
+    assert now == checkpoints
