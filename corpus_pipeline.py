@@ -2,8 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return the
 columns of documents; the last adds n_tokens, tokens (ids, four bytes each, little endian) and the digest of what they
-decode to. Stages keep the defined
-cases of their operators: an empty table goes through as an empty table, null texts leave at the quality rules.
+decode to.
+
+Defined cases are those of the operators: an empty table goes through as an empty table; null and empty texts leave at the
+quality rules; very long texts are judged, compared and encoded whole; of repeated rows and of ties between copies the one
+of the smallest id stays; input columns that clash with names of an operator pass through under their own names. What a
+stage wrote is deleted once the next one is written.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparrowmill.llm import bpe, minhash, mixing, pairwise, weak_rules
-from sparrowmill.llm.common import fresh, table, written
+from sparrowmill.llm.common import Scratch, fresh, table
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir), name)
+        scratch.let_go(before)
     return STAGES[-1][1](spark, docs, sf_dir)
