@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .similarity import cut
+
 
 def tf_idf(docs: DataFrame, ident: str, tokens: str, least_df: int = 2, most_share: float = 0.98, sublinear: bool = True) -> DataFrame:
     """(ident, token, weight): smooth inverse document frequency, each document of length one."""
@@ -42,3 +51,133 @@ def kmeans_labels(df: DataFrame, ident: str, vector: Column, k: int, seeds: tupl
 
 def cosine_silhouette(labelled: DataFrame) -> float:
     return ClusteringEvaluator(predictionCol="cluster", distanceMeasure="cosine").evaluate(labelled)
+
+
+# Reduced term space ---------------------------------------------------------------------------------------------
+
+
+def grams(text: Column) -> Column:
+    """Words of two or more letters, digits or underscores, lower-cased, and pairs of neighbours among them."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
+
+    def with_pairs(words: Column) -> Column:
+        n = F.size(words) - 1
+        pairs = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.when(n > 0, F.concat(words, pairs)).otherwise(words)
+
+    return F.transform(F.array(found), with_pairs)[0]
+
+
+def vocabulary(docs: DataFrame, tokens: Column, most: int = 3000, least_df: int = 2, most_share: float = 0.98) -> DataFrame:
+    """(term, at, idf): of the terms in enough and not too many documents the ``most`` frequent ones, ties by spelling.
+
+    Both counts combine before they are shuffled, and the table has ``most`` rows at most, so it may be sent to all tasks.
+    """
+    spark, n_docs = docs.sparkSession, docs.count()
+    often = docs.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("often"))
+    df = docs.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    known = df.where((F.col("df") >= least_df) & (F.col("df") <= most_share * n_docs)).join(often, "term")
+    top = known.orderBy(F.desc("often"), "term").limit(most).collect()
+    rows = [(r.term, k, float(np.log((1 + n_docs) / (1 + r.df)) + 1)) for k, r in enumerate(sorted(top, key=lambda r: r.term))]
+    return spark.createDataFrame(rows, "term string, at int, idf double")
+
+
+def term_rows(docs: DataFrame, ident: str, tokens: Column, known: DataFrame) -> DataFrame:
+    """(ident, ats, weights): sublinear tf-idf of unit length by ascending column; empty for rows without known terms."""
+    hits = docs.select(ident, F.explode(tokens).alias("term")).join(F.broadcast(known), "term")
+    tf = hits.groupBy(ident, "at", "idf").agg(((1 + F.log(F.count("*"))) * F.col("idf")).alias("w"))
+    rows = tf.groupBy(ident).agg(F.sort_array(F.collect_list(F.struct("at", "w"))).alias("t"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    rows = docs.select(ident).join(rows, ident, "left")
+    weights = F.transform("t.w", lambda w: w / F.col("norm"))
+    return rows.select(
+        ident, F.coalesce("t.at", F.array().cast("array<int>")).alias("ats"), F.coalesce(weights, F.array().cast("array<double>")).alias("weights")
+    )
+
+
+def _dense(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    ats, weights = batch.column("ats"), batch.column("weights")
+    out = np.zeros((batch.num_rows, width))
+    rows = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(ats).to_numpy())
+    out[rows, ats.flatten().to_numpy()] = weights.flatten().to_numpy()
+    return out
+
+
+def _bounded(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    yield from (batch.slice(lo, rows) for lo in range(0, batch.num_rows, rows))
+
+
+def gram_times(rows: DataFrame, x: np.ndarray) -> np.ndarray:
+    """A'Ax for the matrix A of term rows: one pass; each task sends one row for each term, and sums are made by term."""
+    shipped = rows.sparkSession.sparkContext.broadcast(x)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = shipped.value
+        total = np.zeros_like(x)
+        for batch in batches:
+            for part in _bounded(batch):
+                a = _dense(part, len(x))
+                total += a.T @ (a @ x)
+        values = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(total.ravel()))
+        yield pa.record_batch([pa.array(np.arange(len(x)), pa.int32()), values], names=["at", "sums"])
+
+    parts = rows.select("ats", "weights").mapInArrow(run, "at int, sums array<double>")
+    sums = parts.groupBy("at").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).toArrow()
+    out = np.zeros_like(x)
+    if len(sums):
+        out[sums["at"].to_numpy()] = np.array(sums["sums"].to_pylist())
+    shipped.unpersist()
+    return out
+
+
+@dataclass
+class Reduced:
+    """Singular values, the right singular vectors as columns, and the reduced rows (ident, vector)."""
+
+    values: np.ndarray
+    axes: np.ndarray
+    rows: DataFrame
+
+
+def truncated_svd(rows: DataFrame, ident: str, width: int, k: int = 60, beyond: int = 10, steps: int = 5, seed: int = 42) -> Reduced:
+    """The k leading singular triples of term rows, by a randomised block Krylov space of A'A.
+
+    Each step is one pass over the rows with a block of k + beyond columns; only blocks of ``width`` rows, the bounded
+    vocabulary, come to the driver. Where the blocks would be as wide as the vocabulary, A'A itself is taken, exactly.
+    An axis points to where its largest component is positive. Reduced rows have length one, or zero without terms.
+    """
+    k = max(1, min(k, width))
+    if (k + beyond) * steps >= width:
+        basis = np.eye(width)
+    else:
+        block, blocks = np.random.default_rng(seed).standard_normal((width, k + beyond)), []
+        for _ in range(steps):
+            block = np.linalg.qr(gram_times(rows, block))[0]
+            blocks.append(block)
+        basis = np.linalg.qr(np.hstack(blocks))[0]
+    inner = basis.T @ gram_times(rows, basis)
+    squares, turn = np.linalg.eigh((inner + inner.T) / 2)
+    order = np.argsort(squares)[::-1][:k]
+    axes = basis @ turn[:, order]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])])
+    shipped = rows.sparkSession.sparkContext.broadcast(axes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        axes = shipped.value
+        for batch in batches:
+            for part in _bounded(batch):
+                y = _dense(part, len(axes)) @ axes
+                norm = np.linalg.norm(y, axis=1, keepdims=True)
+                y = np.divide(y, norm, out=np.zeros_like(y), where=norm > 1e-12)
+                vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1) * y.shape[1], pa.int32()), pa.array(y.ravel()))
+                yield pa.record_batch([part.column(ident), vectors], names=[ident, "vector"])
+
+    kind = rows.schema[ident].dataType.simpleString()
+    return Reduced(np.sqrt(np.maximum(squares[order], 0)), axes, rows.mapInArrow(run, f"`{ident}` {kind}, vector array<double>"))
+
+
+def reduce_texts(docs: DataFrame, ident: str, text: Column, terms: int = 3000, k: int = 60) -> tuple[DataFrame, Reduced]:
+    """(term rows, their reduction): words and pairs, the most frequent ``terms``, k dimensions."""
+    tokens = docs.select(ident, grams(text).alias("grams"))
+    known = vocabulary(tokens, F.col("grams"), terms)
+    rows = cut(term_rows(tokens, ident, F.col("grams"), known))
+    return rows, truncated_svd(rows, ident, known.count(), k)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import models, notices, relational, rows, stream
+from . import corpora, models, notices, relational, rows, stream
 
 FLAGSHIP = "keyword_search"
-MODULES = (rows, relational, models, notices, stream)
+MODULES = (rows, relational, models, corpora, notices, stream)
 
 
 def queries() -> dict[str, Callable]:
