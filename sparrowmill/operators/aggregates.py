@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 EMPTY = "[empty]"
@@ -85,3 +85,38 @@ def issues(df: DataFrame, ident: Column, rules: dict[str, Column]) -> DataFrame:
     found = [F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]
     out = df.select(ident.cast("string").alias("id"), F.explode(F.array_compact(F.array(*found))).alias("rule"))
     return out.select("rule", F.substring_index("rule", ":", 1).alias("area"), "id")
+
+
+def filled(name: str) -> Column:
+    """Whether a column holds more than blanks."""
+    return F.coalesce(F.trim(F.col(name).cast("string")) != "", F.lit(False))
+
+
+def field_statistics(df: DataFrame, group: str, fields: list[str]) -> DataFrame:
+    """(group, field, n_rows, present, share, shortest, longest, average) in one aggregate, fields turned into rows after it.
+
+    Lengths are those of filled values, as text; a group that never fills a field has none.
+    """
+    aggs = [F.count("*").alias("n_rows")]
+    for k, name in enumerate(fields):
+        size = F.when(filled(name), F.char_length(F.col(name).cast("string")))
+        aggs += [F.count(size).alias(f"c{k}"), F.min(size).alias(f"lo{k}"), F.max(size).alias(f"hi{k}"), F.avg(size).alias(f"mean{k}")]
+    one = df.groupBy(group).agg(*aggs)
+    rows = F.array(*[
+        F.struct(F.lit(n).alias("field"), F.col(f"c{k}").alias("present"), F.col(f"lo{k}").alias("shortest"), F.col(f"hi{k}").alias("longest"), F.round(f"mean{k}", 2).alias("average"))
+        for k, n in enumerate(fields)
+    ])
+    share = F.round(100.0 * F.col("present") / F.col("n_rows"), 1)
+    return one.select(group, "n_rows", F.inline(rows)).select(group, "field", "n_rows", "present", share.alias("share"), "shortest", "longest", "average")
+
+
+def completeness(df: DataFrame, fields: list[str]) -> Column:
+    """The share of fields that a row fills, to four decimals."""
+    return F.round(sum((filled(n).cast("int") for n in fields), F.lit(0)) / F.lit(float(len(fields))), 4)
+
+
+def write_counted(df: DataFrame, path: str, counters: dict[str, Column], mode: str = "overwrite") -> dict[str, int]:
+    """Writes a table and returns counts of rows by condition, taken in the pass that writes; ``rows`` counts all."""
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counters.items()]).write.mode(mode).parquet(path)
+    return dict(seen.get)

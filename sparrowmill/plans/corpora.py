@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import textmodels, validity
+from ..functions import canonical, wording
+from ..operators import aggregates, allocation, textmodels, validity
 from ..session import table
 
 QUERIES, SQL = {}, {}
@@ -89,3 +90,123 @@ n AS (SELECT fold, a, b, count(*)::DOUBLE AS n FROM a JOIN b USING (vec_id) GROU
 s AS (SELECT fold, a, CASE WHEN sum(n) > 1 THEN sum(n * (n - 1)) / (sum(n) * (sum(n) - 1)) END AS s FROM n GROUP BY ALL)
 SELECT fold, (SELECT count(*) FROM x WHERE x.fold = s.fold)::BIGINT AS rows, round(coalesce(min(s), 1), 9)::DOUBLE AS strength FROM s GROUP BY fold
 """
+
+
+def _record(docs: DataFrame) -> tuple[DataFrame, dict]:
+    """Documents as records: the first line as title, the first 150 characters as summary, the last 20 as period."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    first = F.split_part(text, F.lit("\n"), F.lit(1))
+    fields = {
+        "title": F.concat(F.lit("["), F.col("source"), F.lit("] "), first), "summary": F.left(text, F.lit(150)), "period": F.right(text, F.lit(20)),
+        "region": F.col("lang"), "institution": F.col("source"), "executor": F.lit(None).cast("string"),
+        "category": F.col("lang"), "subcategory": F.lit(""),
+    }
+    lines = F.slice(F.split(text, "\n"), 1, 12)
+    structure = F.struct(F.struct(lines.alias("lines"), F.col("lang").alias("kind")).alias("support"), F.col("source").alias("institution"))
+    return docs, {"fields": fields, "structure": structure}
+
+
+@query
+def allocations(spark: SparkSession, d: str) -> DataFrame:
+    """Publications, contents and families of documents taken as records, by five keys."""
+    docs, how = _record(table(spark, d, "documents"))
+    return allocation.allocate(allocation.keyed(docs, "doc_id", **how), "doc_id")
+
+
+_NORMAL = r"trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '[\s\x1C-\x1F\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g'))"
+SQL["allocations"] = rf"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, source, lang, {_NORMAL.format("'[' || source || '] ' || split_part(coalesce(text, ''), chr(10), 1)")} AS title,
+         {_NORMAL.format("left(coalesce(text, ''), 150)")} AS summary, {_NORMAL.format("right(coalesce(text, ''), 20)")} AS period,
+         list_sort(list_transform(string_split(coalesce(text, ''), chr(10))[1:12], lambda x: {_NORMAL.format('x')})) AS lines FROM documents),
+k AS (SELECT doc_id, lang, source, regexp_replace(title, '[^\p{{L}}\p{{N}}]+', '', 'g') AS head, period, lines,
+             regexp_replace(summary, '[^\p{{L}}\p{{N}}]+', '', 'g') AS s,
+             regexp_replace(regexp_replace(title, '^\[[^\]]*\]', ''), '[^\p{{L}}\p{{N}}]+', '', 'g') AS stem FROM r),
+u AS (SELECT doc_id AS a, 0 AS kind, md5(concat_ws('|', head, lang, source, s, period)) AS key FROM k
+  UNION ALL SELECT doc_id, 1, md5('x' || lang || '|' || source || '|' || lines::VARCHAR) FROM k
+  UNION ALL SELECT doc_id, 1, md5('y' || lang || '|' || source || '|' || s) FROM k WHERE length(s) >= 40
+  UNION ALL SELECT doc_id, 2, md5('f' || stem) FROM k WHERE length(stem) >= 8
+  UNION ALL SELECT doc_id, 2, md5('s' || s) FROM k WHERE length(s) >= 80),
+w AS (SELECT a, kind, key FROM u UNION ALL SELECT a, 2, key || kind FROM u WHERE kind < 2),
+e AS (SELECT DISTINCT kind, a, min(a) OVER (PARTITION BY kind, key) AS b FROM w),
+s AS (SELECT kind, a, b FROM e UNION SELECT kind, b, a FROM e),
+reach AS (SELECT kind, doc_id AS a, doc_id AS b FROM k, (SELECT unnest([0, 1, 2]) AS kind) UNION SELECT s.kind, reach.a, s.b FROM reach JOIN s ON reach.b = s.a AND reach.kind = s.kind)
+SELECT a AS doc_id, min(b) FILTER (kind = 0) AS publication, min(b) FILTER (kind = 1) AS content, min(b) FILTER (kind = 2) AS family FROM reach GROUP BY a
+"""
+
+
+@query
+def structure_digests(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of events as nested values: properties as a map, the rest as a struct, and a list in two orders."""
+    e = table(spark, d, "events")
+    props = F.from_json("props", "map<string,string>")
+    value = F.struct(F.col("value"), F.struct(F.col("event_type").alias("type"), F.lit(0).alias("zero")).alias("event"), props.alias("props"), F.array("event_type", F.upper(F.col("props")), F.lit("A  b")).alias("list"))
+    turned = F.struct(F.array(F.lit("a b"), F.upper(F.col("props")), "event_type").alias("list"), props.alias("props"), F.struct(F.lit(0).alias("zero"), F.col("event_type").alias("type")).alias("event"), F.col("value"))
+    rows = e.select("event_id", value.alias("v"), turned.alias("t"))
+    kinds = rows.schema["v"].dataType, rows.schema["t"].dataType
+    return rows.select("event_id", canonical.digest(F.col("v"), kinds[0]).alias("digest"), (canonical.digest(F.col("v"), kinds[0]) == canonical.digest(F.col("t"), kinds[1])).alias("same"))
+
+
+SQL["structure_digests"] = r"""
+WITH x AS (SELECT event_id, lower(event_type) AS t, lower(props) AS p, CASE WHEN value = 0 THEN '' ELSE lower(value::VARCHAR) END AS v,
+  list_sort(['"' || lower(event_type) || '"', '"' || replace(lower(props), '"', '\"') || '"', '"a b"']) AS l,
+  json_extract_string(props, '$.k') AS k FROM events)
+SELECT event_id, sha1('{"event":{"type":"' || t || '","zero":""},"list":[' || array_to_string(l, ',') || '],"props":{"k":"' || k || '"},"value":"' || v || '"}') AS digest, true AS same FROM x
+"""
+
+#: Terms of the invented tongues, a particle that follows a closed syllable, and how words are said twice.
+PLAIN_TERMS = (("worthless", "of no worth"), ("inthe", "in the"), ("tion", "sion"), ("les ", "des "))
+
+
+@query
+def term_replacements(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with terms replaced; after a new word ' a ' becomes ' an ', and a repeated last word goes."""
+    out = wording.replace_terms(F.col("text"), PLAIN_TERMS, ((" a ", " an "), ("s ", "s- ")), "(?: of| the)", r"([.,]?\s)", lambda w: w[-1] in "hn")
+    return table(spark, d, "documents").select("doc_id", out.alias("o")).select("doc_id", F.md5("o.text").alias("text"), "o.applied")
+
+
+SQL["term_replacements"] = r"""
+WITH a AS (SELECT doc_id, replace(text, 'worthless', 'of no worth') AS t, contains(text, 'worthless') AS h1 FROM documents),
+b AS (SELECT doc_id, h1, replace(t, 'inthe', 'in the') AS t, contains(t, 'inthe') AS h2 FROM a),
+c AS (SELECT doc_id, h1, h2, replace(t, 'tion', 'sion') AS t, contains(t, 'tion') AS h3 FROM b),
+e AS (SELECT doc_id, h1, h2, h3, replace(t, 'les ', 'des ') AS t, contains(t, 'les ') AS h4 FROM c),
+f AS (SELECT *, CASE WHEN h1 THEN regexp_replace(replace(replace(t, 'of no worth a ', 'of no worth an '), 'of no worths ', 'of no worths- '), 'of no worth(?: of| the)\s+worth([.,]?\s)', 'of no worth\1', 'g') ELSE t END AS u FROM e),
+g AS (SELECT *, CASE WHEN h2 THEN regexp_replace(u, 'in the(?: of| the)\s+the([.,]?\s)', 'in the\1', 'g') ELSE u END AS v FROM f),
+h AS (SELECT *, CASE WHEN h3 THEN regexp_replace(replace(replace(v, 'sion a ', 'sion an '), 'sions ', 'sions- '), 'sion(?: of| the)\s+sion([.,]?\s)', 'sion\1', 'g') ELSE v END AS w FROM g),
+i AS (SELECT *, CASE WHEN h4 THEN regexp_replace(w, 'des (?: of| the)\s+des([.,]?\s)', 'des \1', 'g') ELSE w END AS x FROM h)
+SELECT doc_id, md5(x) AS text, concat_ws(',', CASE WHEN h1 THEN 'worthless→of no worth' END, CASE WHEN h2 THEN 'inthe→in the' END, CASE WHEN h3 THEN 'tion→sion' END, CASE WHEN h4 THEN 'les →des ' END) AS applied FROM i
+"""
+
+
+@query
+def source_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """What each source fills in: text, lang, n_chars, first line and a mark of lists."""
+    docs = table(spark, d, "documents").withColumn("first", F.nullif(F.split_part("text", F.lit("\n"), F.lit(2)), F.lit(""))).withColumn(
+        "marks", F.nullif(F.regexp_extract("text", r"[|•#]", 0), F.lit(""))
+    )
+    return aggregates.field_statistics(docs, "source", ["text", "lang", "n_chars", "first", "marks"])
+
+
+SQL["source_statistics"] = r"""
+WITH d AS (SELECT source, text, lang, n_chars::VARCHAR AS n_chars, nullif(split_part(text, chr(10), 2), '') AS first, nullif(regexp_extract(text, '[|•#]'), '') AS marks FROM documents),
+u AS (SELECT source, 'text' AS field, text AS v FROM d UNION ALL SELECT source, 'lang', lang FROM d UNION ALL SELECT source, 'n_chars', n_chars FROM d
+      UNION ALL SELECT source, 'first', first FROM d UNION ALL SELECT source, 'marks', marks FROM d)
+SELECT source, field, count(*)::BIGINT AS n_rows, count(v) FILTER (trim(v) <> '')::BIGINT AS present, round(100.0 * count(v) FILTER (trim(v) <> '') / count(*), 1)::DOUBLE AS share,
+  min(length(v)) FILTER (trim(v) <> '')::INTEGER AS shortest, max(length(v)) FILTER (trim(v) <> '')::INTEGER AS longest,
+  round(avg(length(v)) FILTER (trim(v) <> ''), 2)::DOUBLE AS average FROM u GROUP BY 1, 2
+"""
+
+
+@query
+def completeness(spark: SparkSession, d: str) -> DataFrame:
+    """How many of five fields documents have, as distribution by language."""
+    docs = table(spark, d, "documents").withColumn("first", F.split_part("text", F.lit("\n"), F.lit(2))).withColumn("marks", F.regexp_extract("text", r"[|•#]", 0))
+    docs = docs.withColumn("many", F.when(F.col("n_chars") > 1000, F.col("n_chars")))
+    share = aggregates.completeness(docs, ["text", "source", "first", "marks", "many"])
+    return docs.withColumn("share", share).groupBy("lang", "share").agg(F.count("*").alias("n"))
+
+
+SQL["completeness"] = r"""
+SELECT lang, round(((trim(text) <> '')::INT + (trim(source) <> '')::INT + (trim(split_part(text, chr(10), 2)) <> '')::INT
+  + (regexp_extract(text, '[|•#]') <> '')::INT + (n_chars > 1000)::INT) / 5.0, 4)::DOUBLE AS share, count(*)::BIGINT AS n FROM documents GROUP BY 1, 2
+"""
