@@ -181,3 +181,88 @@ def reduce_texts(docs: DataFrame, ident: str, text: Column, terms: int = 3000, k
     known = vocabulary(tokens, F.col("grams"), terms)
     rows = cut(term_rows(tokens, ident, F.col("grams"), known))
     return rows, truncated_svd(rows, ident, known.count(), k)
+
+
+# Many starts in one pass ----------------------------------------------------------------------------------------
+
+
+@dataclass
+class Start:
+    """The best of several starts: its centres, its cost, and every start's cost."""
+
+    centres: np.ndarray
+    cost: float
+    costs: np.ndarray
+
+
+def _assign(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest, square distance) by row and start."""
+    starts, k, dims = centres.shape
+    flat = centres.reshape(-1, dims)
+    d = (x * x).sum(1)[:, None] - 2 * x @ flat.T + (flat * flat).sum(1)
+    d = d.reshape(len(x), starts, k)
+    near = d.argmin(axis=2)
+    return near, np.maximum(np.take_along_axis(d, near[:, :, None], 2)[:, :, 0], 0)
+
+
+def kmeans_starts(df: DataFrame, ident: str, vector: Column, k: int, starts: int = 20, rounds: int = 30, tolerance: float = 1e-6, seed: int = 42) -> Start:
+    """k-means from many starts at once: a round is one pass over the rows for all starts, with sums by start and cluster.
+
+    Starts take k rows each that a hash of the id puts first. A start whose cost falls by less than the tolerance stays as it
+    is; a cluster without rows keeps its centre. Only sums (starts * k rows) come to the driver.
+    """
+    x = df.select(F.col(ident).alias("id"), vector.cast("array<double>").alias("x")).where(F.col("x").isNotNull())
+    first = x.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(starts * k).select("x").toArrow()["x"].to_pylist()
+    if len(first) < k:
+        raise ValueError(f"{k} clusters need as many rows")
+    pool = np.array(first)
+    rng = np.random.default_rng(seed)
+    centres = np.stack([pool[rng.choice(len(pool), k, replace=False)] for _ in range(starts)])
+    spark, costs = df.sparkSession, np.full(starts, np.inf)
+
+    def step(live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        shipped = spark.sparkContext.broadcast(centres[live])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            c = shipped.value
+            total, n, cost = np.zeros_like(c), np.zeros(c.shape[:2]), np.zeros(c.shape[:2])
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 4096):
+                    part = batch.column("x").slice(lo, 4096)
+                    rows = part.flatten().to_numpy().reshape(len(part), -1)
+                    near, far = _assign(rows, c)
+                    for s in range(len(c)):
+                        np.add.at(total[s], near[:, s], rows)
+                        n[s] += np.bincount(near[:, s], minlength=c.shape[1])
+                        cost[s] += np.bincount(near[:, s], far[:, s], c.shape[1])
+            values = np.concatenate([total.reshape(-1, c.shape[2]), n.reshape(-1, 1), cost.reshape(-1, 1)], axis=1)
+            arrays = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel()))
+            yield pa.record_batch([pa.array(np.arange(len(values)), pa.int32()), arrays], names=["at", "sums"])
+
+        parts = x.select("x").mapInArrow(run, "at int, sums array<double>")
+        got = parts.groupBy("at").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).orderBy("at").toArrow()
+        values = np.array(got["sums"].to_pylist()).reshape(int(live.sum()), k, -1)
+        shipped.unpersist()
+        return values[:, :, :-2], values[:, :, -2], values[:, :, -1].sum(1)
+
+    live = np.ones(starts, bool)
+    for _ in range(rounds):
+        total, n, cost = step(live)
+        at = np.flatnonzero(live)
+        gain = costs[at] - cost
+        costs[at] = cost
+        centres[at] = np.where(n[:, :, None] > 0, total / np.maximum(n, 1)[:, :, None], centres[at])
+        live[at] = ~(gain <= tolerance * np.maximum(cost, 1e-300))
+        if not live.any():
+            break
+    costs = step(np.ones(starts, bool))[2]
+    best = int(np.argmin(costs))
+    return Start(centres[best], float(costs[best]), costs)
+
+
+def kmeans_assign(df: DataFrame, ident: str, vector: Column, centres: np.ndarray) -> DataFrame:
+    """(ident, cluster) by the nearest centre."""
+    table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+    far = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    x = df.select(ident, vector.cast("array<double>").alias("x"))
+    return x.select(ident, F.array_min(F.transform(table, lambda c, i: F.struct(far(c).alias("d"), i.alias("i"))))["i"].alias("cluster"))

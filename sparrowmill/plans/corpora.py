@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import canonical, wording
-from ..operators import aggregates, allocation, textmodels, validity
+from ..functions import canonical, text, wording
+from ..operators import aggregates, allocation, retry, similarity, textmodels, validity
 from ..session import table
+from ..streaming import runs
 
 QUERIES, SQL = {}, {}
 
@@ -94,14 +97,14 @@ SELECT fold, (SELECT count(*) FROM x WHERE x.fold = s.fold)::BIGINT AS rows, rou
 
 def _record(docs: DataFrame) -> tuple[DataFrame, dict]:
     """Documents as records: the first line as title, the first 150 characters as summary, the last 20 as period."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    first = F.split_part(text, F.lit("\n"), F.lit(1))
+    body = F.coalesce(F.col("text"), F.lit(""))
+    first = F.split_part(body, F.lit("\n"), F.lit(1))
     fields = {
-        "title": F.concat(F.lit("["), F.col("source"), F.lit("] "), first), "summary": F.left(text, F.lit(150)), "period": F.right(text, F.lit(20)),
+        "title": F.concat(F.lit("["), F.col("source"), F.lit("] "), first), "summary": F.left(body, F.lit(150)), "period": F.right(body, F.lit(20)),
         "region": F.col("lang"), "institution": F.col("source"), "executor": F.lit(None).cast("string"),
         "category": F.col("lang"), "subcategory": F.lit(""),
     }
-    lines = F.slice(F.split(text, "\n"), 1, 12)
+    lines = F.slice(F.split(body, "\n"), 1, 12)
     structure = F.struct(F.struct(lines.alias("lines"), F.col("lang").alias("kind")).alias("support"), F.col("source").alias("institution"))
     return docs, {"fields": fields, "structure": structure}
 
@@ -210,3 +213,72 @@ SQL["completeness"] = r"""
 SELECT lang, round(((trim(text) <> '')::INT + (trim(source) <> '')::INT + (trim(split_part(text, chr(10), 2)) <> '')::INT
   + (regexp_extract(text, '[|•#]') <> '')::INT + (n_chars > 1000)::INT) / 5.0, 4)::DOUBLE AS share, count(*)::BIGINT AS n FROM documents GROUP BY 1, 2
 """
+
+
+#: What a text may suffer from, and what mends it, in order; a model would answer in its place.
+REPAIRS = (("marks", r"[|•#]+", " "), ("lines", r"\n+", " "), ("digits", r"[0-9]+", ""), ("space", r" {2,}", " "))
+
+
+def _weak(t):
+    return retry.weaknesses(t, {**{n: F.rlike(t, F.lit(p)) for n, p, _ in REPAIRS}, "long": F.char_length(t) > 2000, "start": F.rlike(t, F.lit("^[a-z]"))})
+
+
+def _mend(rows: DataFrame) -> DataFrame:
+    """Mends the first weakness named; it knows no answer to a wrong start."""
+    first, out = F.col("hints")[0], F.when(F.col("hints")[0] == "long", F.left("text", F.lit(2000)))
+    for name, pattern, new in REPAIRS:
+        out = out.when(first == name, F.regexp_replace("text", pattern, new))
+    return rows.select("doc_id", out.alias("answer"))
+
+
+@query
+def retry_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Documents mended in at most six rounds, a weakness at a time, while their score rises."""
+    score = lambda t: 100 - 15 * F.size(_weak(t))
+    out = retry.improve(table(spark, d, "documents"), "doc_id", "text", _mend, score, _weak, 95, 6)
+    return out.select("doc_id", F.md5("text").alias("text"), "score", "accepted", "asked")
+
+
+_SCORE = "100 - 15 * ((regexp_matches({0}, '[|•#]+'))::INT + regexp_matches({0}, '\\n+')::INT + regexp_matches({0}, '[0-9]+')::INT + regexp_matches({0}, ' {{2,}}')::INT + (length({0}) > 2000)::INT + regexp_matches({0}, '^[a-z]')::INT)"
+SQL["retry_rounds"] = rf"""
+WITH RECURSIVE s AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_SCORE.format("coalesce(text, '')")} AS score, 0 AS round, 0 AS accepted, true AS mended FROM documents
+  UNION ALL SELECT doc_id, CASE WHEN new > score THEN answer ELSE text END, greatest(score, coalesce(new, 0)), round + 1,
+    accepted + coalesce(new > score, false)::INT, coalesce(new > score, false) FROM (
+      SELECT *, {_SCORE.format("answer")} AS new FROM (
+        SELECT *, CASE WHEN regexp_matches(text, '[|•#]+') THEN regexp_replace(text, '[|•#]+', ' ', 'g') WHEN regexp_matches(text, '\n+') THEN regexp_replace(text, '\n+', ' ', 'g')
+          WHEN regexp_matches(text, '[0-9]+') THEN regexp_replace(text, '[0-9]+', '', 'g') WHEN regexp_matches(text, ' {{2,}}') THEN regexp_replace(text, ' {{2,}}', ' ', 'g')
+          WHEN length(text) > 2000 THEN left(text, 2000) END AS answer FROM s WHERE score < 95 AND round < 6))),
+r AS (SELECT round FROM s WHERE round > 0 GROUP BY round HAVING NOT bool_or(mended) ORDER BY round LIMIT 1),
+l AS (SELECT s.* FROM s WHERE round <= coalesce((SELECT round FROM r), 6) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round DESC) = 1)
+SELECT doc_id, md5(text) AS text, score::DOUBLE AS score, accepted::INTEGER AS accepted, round::INTEGER AS asked FROM l
+"""
+
+
+@query
+def staged_run(spark: SparkSession, d: str) -> DataFrame:
+    """Documents cleaned in flushed parts, measured and reported on by a run of three steps that is published at its end."""
+    steps = [
+        runs.Step("clean", lambda s, _: table(s, d, "documents").select("doc_id", "lang", "source", text.squeeze(F.col("text")).alias("text")), ("doc_id", 4)),
+        runs.Step("measured", lambda s, t: t["clean"].select("lang", "source", F.char_length("text").alias("n"), F.size(F.split("text", " ")).alias("words"))),
+        runs.Step("report", lambda s, t: t["measured"].groupBy("lang", "source").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_chars"), F.max("words").alias("most_words"))),
+    ]
+    root = f"{similarity.shared_folder(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    run = runs.Run(spark, root, "first", steps)
+    run.go()
+    run.publish()
+    return runs.published(spark, root, "report")
+
+
+SQL["staged_run"] = r"""
+WITH c AS (SELECT lang, source, trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')) AS t FROM documents)
+SELECT lang, source, count(*)::BIGINT AS n_docs, sum(length(t))::BIGINT AS n_chars, max(len(string_split(t, ' ')))::INTEGER AS most_words FROM c GROUP BY 1, 2
+"""
+
+
+@query
+def kmeans_many_starts(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors by k-means from 20 starts in shared passes: the clustering's measures."""
+    e = table(spark, d, "embeddings")
+    best = textmodels.kmeans_starts(e, "vec_id", F.col("embedding"), 10)
+    return validity.measures(textmodels.kmeans_assign(e, "vec_id", F.col("embedding"), best.centres).join(e, "vec_id"), F.col("embedding"), F.col("cluster"))
