@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import difflib
 import re
 import tempfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +33,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def forget(df: DataFrame) -> None:
+    """Deletes what cut() wrote for a frame that nothing reads any more."""
+    where = df._jdf.logicalPlan().rdd().getCheckpointFile()
+    if where.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(where.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when this driver ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+    def tidy() -> None:
+        with contextlib.suppress(Exception):  # the session is gone already; the cluster's own clean-up is left
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    atexit.register(tidy)
+    return path
+
+
 def group_edges(df: DataFrame, ident: str, key: Column, guard: Column | None = None) -> DataFrame:
     """(a, b): each member of a group of equal keys with the group's least member; a group of n gives n - 1 edges."""
     keyed = df.select(F.col(ident).alias("a"), key.alias("k")).where(F.col("k").isNotNull())
@@ -55,7 +79,8 @@ def components(nodes: DataFrame, edges: DataFrame, ident: str) -> DataFrame:
         below = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
         joined = large.join(below, F.col("u") == F.col("c"))
         small = joined.select("u", F.col("m").alias("v")).union(joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        pairs = cut(small.where("u <> v").distinct())
+        last, pairs = pairs, cut(small.where("u <> v").distinct())
+        forget(last)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

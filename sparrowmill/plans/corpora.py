@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import canonical, text, wording
-from ..operators import aggregates, allocation, retry, similarity, textmodels, validity
+from ..operators import aggregates, allocation, gridfit, retry, selection, similarity, textmodels, validity
 from ..session import table
 from ..streaming import runs
 
@@ -263,7 +262,7 @@ def staged_run(spark: SparkSession, d: str) -> DataFrame:
         runs.Step("measured", lambda s, t: t["clean"].select("lang", "source", F.char_length("text").alias("n"), F.size(F.split("text", " ")).alias("words"))),
         runs.Step("report", lambda s, t: t["measured"].groupBy("lang", "source").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_chars"), F.max("words").alias("most_words"))),
     ]
-    root = f"{similarity.shared_folder(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    root = similarity.scratch_path(spark, "runs")
     run = runs.Run(spark, root, "first", steps)
     run.go()
     run.publish()
@@ -282,3 +281,14 @@ def kmeans_many_starts(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     best = textmodels.kmeans_starts(e, "vec_id", F.col("embedding"), 10)
     return validity.measures(textmodels.kmeans_assign(e, "vec_id", F.col("embedding"), best.centres).join(e, "vec_id"), F.col("embedding"), F.col("cluster"))
+
+
+@query
+def grid_fits(spark: SparkSession, d: str) -> DataFrame:
+    """Four methods by three numbers of clusters over a stated sample of vectors: measures, and which fit to prefer."""
+    e = table(spark, d, "embeddings")
+    ids, x = gridfit.sample(e, "vec_id", F.col("embedding"), 400)
+    grid = [(m, k, 42) for m in gridfit.METHODS for k in (4, 7, 10)]
+    fits = similarity.cut(gridfit.fit_grid(spark, x, np.array(ids) // 5, grid))
+    best = selection.preferred(selection.best_by_method(fits, "method", "fit"), "fit").select("fit", "preferred")
+    return fits.join(best, "fit", "left").withColumn("best", F.col("preferred").isNotNull()).withColumn("preferred", F.coalesce("preferred", F.lit(False)))
