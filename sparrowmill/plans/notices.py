@@ -116,8 +116,8 @@ portable(
 portable(
     "amount_repairs",
     lambda q: {
-        "label": policy.clarified(q, "label", "big", policy.per_applicant(q, "concat('기업당 최대 ', others)")),
-        "total": "CASE WHEN value > 0 AND total < value THEN NULL ELSE total END",
+        "label": policy.clarified(q, "label", "big", policy.per_applicant(q, "concat('기업당 최대 2천만원, 개사당 ', others)")),
+        "total": policy.consistent_total("value", "total"),
     },
     {"big": lambda q: policy.largest(q, "label")},
 )
@@ -140,8 +140,12 @@ portable(
 portable("keyword_snippet", lambda q: {"snippet": policy.snippet(q, "body", r"지원\s*대상|신청\s*자격|문의\s*처")})
 portable(
     "goal_repairs",
-    lambda q: {"goals": policy.mended_goals(q), "kind": policy.mended_kind(q)},
-    {"goals": lambda q: pick("id", ["fund", "digital,fund", "", "digital", "hr,sales"]), "kind": lambda q: pick("id", list(policy.CATEGORY_GOALS))},
+    policy.mended_record,
+    {
+        "goals": lambda q: pick("id", ["fund", "digital,fund", "", "digital", "hr,sales"]), "kind": lambda q: pick("id", list(policy.CATEGORY_GOALS)),
+        "target_short": lambda q: pick("id", ["소상공인", "", "여행업체"]), "per_label": lambda q: pick("id", ["", "기업당 2천만원"]),
+        "per_value": lambda q: "CASE WHEN id % 4 = 1 THEN 20000000 END",
+    },
 )
 
 
@@ -162,7 +166,7 @@ def audited(name: str, rules, also: dict) -> None:
 
 
 audited("policy_audit", lambda q: policy.policy_rules(q, AS_OF), {"nothing": lambda q: "1"})
-audited("amount_audit", policy.amount_rules, {"nothing": lambda q: "1"})
+audited("amount_audit", lambda q: policy.amount_rules(q, ("others",)), {"nothing": lambda q: "1"})
 audited(
     "class_audit",
     policy.class_rules,
