@@ -1,6 +1,6 @@
 """Queries over notices made of the driver's rows: each part is a notice, its words picked by its numbers.
 
-The engine reads notices through the rules in functions.policy and functions.classify; the SQL spells the same rules for the database.
+The engine reads notices through the rules in functions.policy and functions.classify; the SQL is written by hand, in notices_sql and here.
 """
 
 from __future__ import annotations
@@ -12,8 +12,11 @@ from ..functions import classify, extract, policy
 from ..functions.portable import Duck, Spark
 from ..operators import aggregates, selection
 from ..session import table
+from . import notices_sql
 
 QUERIES, SQL = {}, {}
+#: By query, the columns it adds to notices.
+ADDED = {}
 SPARK, DUCK = Spark(), Duck()
 AS_OF = "2026-06-01"
 
@@ -94,11 +97,8 @@ def portable(name: str, columns, also: dict | None = None) -> None:
             rows = rows.selectExpr("*", *[f"{e(SPARK)} AS {c}" for c, e in also.items()])
         return rows.selectExpr("id", *[f"{e} AS {c}" for c, e in columns(SPARK).items()])
 
-    base = f"({BASE})"
-    if also:
-        base = f"(SELECT *, {', '.join(f'{e(DUCK)} AS {c}' for c, e in also.items())} FROM {base})"
     QUERIES[name] = run
-    SQL[name] = f"SELECT id, {', '.join(f'{e} AS {c}' for c, e in columns(DUCK).items())} FROM {base}"
+    ADDED[name] = also or {}
 
 
 portable(
@@ -157,12 +157,8 @@ def audited(name: str, rules, also: dict) -> None:
         found = aggregates.issues(rows, F.col("id"), {n: F.expr(c) for n, c in rules(SPARK).items()})
         return found.groupBy("area", "rule").agg(F.count("*").alias("n"))
 
-    base = f"(SELECT *, {', '.join(f'{e(DUCK)} AS {c}' for c, e in also.items())} FROM ({BASE}))" if also else f"({BASE})"
     QUERIES[name] = run
-    SQL[name] = " UNION ALL ".join(
-        f"SELECT {DUCK.text(n.split(':')[0])} AS area, {DUCK.text(n)} AS rule, count(*)::BIGINT AS n FROM {base} WHERE {c} HAVING count(*) > 0"
-        for n, c in rules(DUCK).items()
-    )
+    ADDED[name] = also
 
 
 audited("policy_audit", lambda q: policy.policy_rules(q, AS_OF), {"nothing": lambda q: "1"})
@@ -174,6 +170,13 @@ audited(
 )
 
 
+def _added(name: str) -> dict[str, str]:
+    return {c: e(DUCK) for c, e in ADDED[name].items()}
+
+
+SQL |= notices_sql.by_hand(BASE, "list_filter(string_split(purpose_list, ','), lambda v: v <> '')", _added("goal_repairs"), _added("class_audit"), AS_OF)
+
+
 def query(f):
     QUERIES[f.__name__] = f
     return f
