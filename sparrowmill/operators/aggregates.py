@@ -80,6 +80,17 @@ def panel(df: DataFrame, group: str, ident: str, n: int = 3) -> DataFrame:
     )
 
 
+def group_sets(df: DataFrame, group: str, value: str, most: int = 100) -> DataFrame:
+    """(group, n_values, values): the distinct values of a group, of which the first ``most`` are listed.
+
+    Distinct pairs are ranked within salts before they meet, so a group of many values is never gathered whole.
+    """
+    pairs = df.select(group, value).where(F.col(value).isNotNull()).distinct().withColumn("salt", F.pmod(F.xxhash64(value), F.lit(32)))
+    ranked = pairs.withColumn("r", F.row_number().over(Window.partitionBy(group, "salt").orderBy(value)))
+    listed = F.slice(F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.col(value)))), 1, most)
+    return ranked.groupBy(group).agg(F.count("*").alias("n_values"), listed.alias("values"))
+
+
 def issues(df: DataFrame, ident: Column, rules: dict[str, Column]) -> DataFrame:
     """(rule, area, id) for each rule that a row breaks; an area is what stands before the colon."""
     found = [F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]

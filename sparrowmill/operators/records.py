@@ -134,3 +134,58 @@ def section_map(lines: DataFrame, ident: str, position: str, line: str, headings
         ordered, F.lit(""), lambda best, b: F.when(F.char_length(b) > F.char_length(best), F.left(b, F.lit(cap))).otherwise(best)
     )
     return parts.groupBy(ident, F.col("_name").alias("section")).agg(kept.alias("body"))
+
+
+# Rows for models --------------------------------------------------------------------------------------------------
+
+#: Levels that a column may have to be encoded; more are refused.
+MAX_LEVELS = 1000
+
+
+def levels(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    """The sorted values of each column, null left out; refuses columns with more than MAX_LEVELS."""
+    one = df.agg(*[F.slice(F.array_sort(F.collect_set(F.col(c).cast("string"))), 1, MAX_LEVELS + 1).alias(c) for c in columns]).first()
+    for c in columns:
+        if len(one[c]) > MAX_LEVELS:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
+    return {c: list(one[c]) for c in columns}
+
+
+def label_encoded(column: str, known: list) -> Column:
+    """A value's place among the sorted levels, from 0; null for unknown values and null."""
+    at = F.array_position(F.array(*[F.lit(v) for v in known]), F.col(column).cast("string"))
+    return F.when(at > 0, (at - 1).cast("int"))
+
+
+def one_hot(column: str, known: list) -> Column:
+    """An array with a one at the value's place; only zeros for unknown values and null."""
+    return F.transform(F.array(*[F.lit(v) for v in known]), lambda v: F.coalesce((v == F.col(column).cast("string")).cast("int"), F.lit(0)))
+
+
+def assignment_rows(records: DataFrame, ident: str, labels: DataFrame, models: list[str]) -> DataFrame:
+    """Records with a column of labels for each model: from rows (ident, model, cluster) in one shuffle; null where a model has none."""
+    wide = labels.where(F.col("model").isin(models)).groupBy(ident).pivot("model", models).agg(F.min("cluster"))
+    return records.join(wide, ident, "left")
+
+
+# A rebuilt table --------------------------------------------------------------------------------------------------
+
+
+def rebuild_report(rows: DataFrame, score: Column, source: Column, unresolved: Column, grade_a: float = 85) -> DataFrame:
+    """(check, value) of a rebuilt table in one pass: rows, mean score, share of grade A in percent, rows by source, unresolved amounts.
+
+    Gates compare these with what they were before; an empty table has no mean and no share.
+    """
+    facts = rows.select(score.cast("double").alias("s"), F.coalesce(source.cast("string"), F.lit("legacy")).alias("source"), F.coalesce(unresolved, F.lit(False)).alias("bad"))
+    by = facts.groupBy("source").agg(F.count("*").alias("n"), F.sum("s").alias("s"), F.count("s").alias("scored"), F.count_if(F.col("s") >= grade_a).alias("a"), F.count_if("bad").alias("bad"))
+    all_ = by.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "s", "scored", "a", "bad")])
+    named = lambda name, value: F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"))
+    total = all_.select(
+        F.inline(
+            F.array(
+                named("rows", F.col("n")), named("mean score", F.round(F.try_divide("s", "scored"), 1)),
+                named("grade A percent", F.floor(F.try_divide(100 * F.col("a"), "n"))), named("unresolved amounts", F.col("bad")),
+            )
+        )
+    )
+    return total.unionByName(by.select(F.concat(F.lit("source: "), "source").alias("check"), F.col("n").cast("double").alias("value")))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import canonical, text, wording
-from ..operators import aggregates, allocation, gridfit, retry, selection, similarity, textmodels, validity
+from ..operators import aggregates, allocation, gridfit, records, retry, selection, similarity, textmodels, validity
 from ..session import table
 from ..streaming import runs
 
@@ -292,3 +292,49 @@ def grid_fits(spark: SparkSession, d: str) -> DataFrame:
     fits = similarity.cut(gridfit.fit_grid(spark, x, np.array(ids) // 5, grid))
     best = selection.preferred(selection.best_by_method(fits, "method", "fit"), "fit").select("fit", "preferred")
     return fits.join(best, "fit", "left").withColumn("best", F.col("preferred").isNotNull()).withColumn("preferred", F.coalesce("preferred", F.lit(False)))
+
+
+@query
+def encoded_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Languages and sources of documents as places among their sorted levels, languages also as ones and zeros."""
+    docs = table(spark, d, "documents")
+    known = records.levels(docs, ["lang", "source"])
+    hot = F.array_join(records.one_hot("lang", known["lang"]).cast("array<string>"), "")
+    return docs.withColumn("hot", hot).select("doc_id", *[records.label_encoded(c, known[c]).alias(c) for c in known], "hot")
+
+
+SQL["encoded_columns"] = """
+WITH l AS (SELECT lang, dense_rank() OVER (ORDER BY lang) - 1 AS k, count(*) OVER () AS n FROM (SELECT DISTINCT lang FROM documents)),
+s AS (SELECT source, dense_rank() OVER (ORDER BY source) - 1 AS k FROM (SELECT DISTINCT source FROM documents))
+SELECT doc_id, l.k::INTEGER AS lang, s.k::INTEGER AS source, repeat('0', l.k::INTEGER) || '1' || repeat('0', (n - l.k - 1)::INTEGER) AS hot FROM documents JOIN l USING (lang) JOIN s USING (source)
+"""
+
+
+@query
+def assignment_table(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors with a column of labels for each of two models."""
+    e = table(spark, d, "embeddings")
+    near = validity.nearest(e.withColumn("x", F.col("embedding").cast("array<double>")), "x", validity.centres(e, "embedding", "label"), "label", "c")
+    signs = e.select("vec_id", F.lit("sign_k2").alias("model"), (F.col("embedding")[0] > 0).cast("int").alias("cluster"))
+    labels = near.select("vec_id", F.lit("centre_k10").alias("model"), F.col("c").alias("cluster")).unionByName(signs)
+    return records.assignment_rows(e.select("vec_id", "label"), "vec_id", labels, ["centre_k10", "sign_k2"])
+
+
+SQL["assignment_table"] = """
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+f AS (SELECT label, unnest(x) AS x, unnest(range(len(x))) AS i FROM e), m AS (SELECT label, i, avg(x) AS m FROM f GROUP BY 1, 2),
+v AS (SELECT label, list(m ORDER BY i) AS m FROM m GROUP BY 1),
+a AS (SELECT vec_id, v.label AS c FROM e, v QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(power(list_distance(x, m), 2), 6), v.label) = 1)
+SELECT vec_id, label, c AS centre_k10, (x[1] > 0)::INTEGER AS sign_k2 FROM e JOIN a USING (vec_id)
+"""
+
+
+@query
+def source_sets(spark: SparkSession, d: str) -> DataFrame:
+    """The languages of each source, and how many there are."""
+    return aggregates.group_sets(table(spark, d, "documents"), "source", "lang").select("source", "n_values", F.array_join("values", ",").alias("langs"))
+
+
+SQL["source_sets"] = """
+SELECT source, count(DISTINCT lang)::BIGINT AS n_values, array_to_string(list_sort(list(DISTINCT lang)), ',') AS langs FROM documents GROUP BY source
+"""

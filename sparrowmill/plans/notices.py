@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, extract, policy
 from ..functions.portable import Duck, Spark
-from ..operators import aggregates, selection
+from ..operators import aggregates, records, selection
 from ..session import table
 from . import notices_sql
 
@@ -310,7 +310,7 @@ def browse_panels(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of categories, agencies with the most policies, and what ends soon, in one table."""
     rows = notices(spark, d).select("category", F.col("title").alias("t"), F.col("end_date"), F.regexp_extract("title", r"^\[([^\]]+)\]", 1).alias("agency"))
     left = F.datediff(F.try_to_date("end_date", "yyyy-MM-dd"), F.lit("2026-03-20").cast("date"))
-    return selection.panels(rows, {"category": (F.col("category"), 50), "agency": (F.col("agency"), 5), "soon": (F.when(left.between(0, 14), F.col("category")), 50)})
+    return selection.panels(rows, {"category": (F.col("category"), 50), "agency": (F.col("agency"), 8), "soon": (F.when(left.between(0, 14), F.col("category")), 50)})
 
 
 SQL["browse_panels"] = f"""
@@ -318,5 +318,21 @@ WITH n AS (SELECT category, regexp_extract(title, '^\\[([^\\]]+)\\]', 1) AS agen
 v AS (SELECT 'category' AS panel, category AS value FROM n UNION ALL SELECT 'agency', agency FROM n UNION ALL SELECT 'soon', category FROM n WHERE l BETWEEN 0 AND 14),
 c AS (SELECT panel, value, count(*)::BIGINT AS n FROM v GROUP BY 1, 2)
 SELECT panel, rank::BIGINT AS rank, value, n FROM (SELECT *, row_number() OVER (PARTITION BY panel ORDER BY n DESC, value) AS rank FROM c)
-WHERE rank <= CASE panel WHEN 'agency' THEN 5 ELSE 50 END
+WHERE rank <= CASE panel WHEN 'agency' THEN 8 ELSE 50 END
+"""
+
+
+@query
+def rebuild_report(spark: SparkSession, d: str) -> DataFrame:
+    """What a rebuilt table of notices holds: rows, scores, sources, and budgets that were not told from what one applicant gets."""
+    label = F.regexp_replace("label", r"\s+", "")
+    eok = F.try_to_number(F.nullif(F.regexp_extract(label, r"(\d[\d,.]*)억원", 1), F.lit("")), F.lit("999,999,999")) * 100_000_000
+    huge = (eok >= 10_000_000_000) & ~F.contains("label", F.lit("총사업비")) & ~F.contains("label", F.lit("당"))
+    return records.rebuild_report(notices(spark, d), F.col("score"), F.col("source"), huge)
+
+
+SQL["rebuild_report"] = f"""
+WITH n AS (SELECT * FROM ({BASE})), t AS (SELECT count(*) AS n, avg(score) AS s, count(*) FILTER (score >= 85) AS a, count(*) FILTER (label IN ('150억원', '총 300억원')) AS bad FROM n)
+SELECT 'rows' AS "check", n::DOUBLE AS value FROM t UNION ALL SELECT 'mean score', round(s, 1)::DOUBLE FROM t UNION ALL SELECT 'grade A percent', floor(100 * a / n)::DOUBLE FROM t
+UNION ALL SELECT 'unresolved amounts', bad::DOUBLE FROM t UNION ALL SELECT 'source: ' || source, count(*)::DOUBLE FROM n GROUP BY source
 """

@@ -102,7 +102,10 @@ def newest_run(runs: DataFrame, column: str = "run_id") -> DataFrame:
     return runs.where(F.rlike(column, F.lit(RUN_ID))).agg(F.max(column).alias(column))
 
 
-def of_newest_run(rows: DataFrame, column: str = "run_id") -> DataFrame:
+def of_newest_run(rows: DataFrame, column: str = "run_id", variable: str = "SPARROWMILL_RUN") -> DataFrame:
+    """Rows of the newest run, or of the one that an environment variable of the driver names."""
+    if named := os.environ.get(variable):
+        return rows.where(F.col(column) == named)
     return rows.join(F.broadcast(newest_run(rows.select(column), column)), column, "left_semi")
 
 

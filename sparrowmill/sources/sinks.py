@@ -28,6 +28,8 @@ def export_json(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
+    """One file of CSV that spreadsheets read as UTF-8: it begins with a byte order mark, which stands before the first name."""
+    df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.coalesce(1).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from sparrowmill.functions import canonical, policy, wording
 from sparrowmill.functions.portable import Spark
-from sparrowmill.operators import aggregates, allocation, clustering, gridfit, retry, similarity, textmodels, validity
+from sparrowmill.operators import aggregates, allocation, clustering, gridfit, records, retry, similarity, textmodels, validity
+from sparrowmill.sources import feeds, sinks
 from sparrowmill.streaming import runs
 
 # Reduced term space
@@ -400,3 +401,38 @@ def test_summaries_are_split(spark):
         assert (says(spark, who, s=s), says(spark, what, s=s)) == want
     made = says(spark, policy.sentence(Spark()), title="[서울] 지원", subcategory="기타", target="소상공인", summary="누구나 - 라이브커머스와 스마트스토어", amount="")
     assert made == "서울 소상공인을 위한 라이브커머스·스마트스토어 지원"
+
+
+# Rows for models, exports, sets
+
+
+def test_encodings(spark, monkeypatch):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "x string")
+    known = records.levels(df, ["x"])
+    rows = df.select(records.label_encoded("x", known["x"]).alias("k"), records.one_hot("x", known["x"]).alias("h")).collect()
+    assert [(r.k, list(r.h)) for r in rows] == [(1, [0, 1, 0]), (0, [1, 0, 0]), (None, [0, 0, 0]), (2, [0, 0, 1])]
+    other = spark.createDataFrame([("zz",)], "x string").select(records.label_encoded("x", known["x"]).alias("k"), records.one_hot("x", known["x"]).alias("h")).first()
+    assert (other.k, list(other.h)) == (None, [0, 0, 0])
+    monkeypatch.setattr(records, "MAX_LEVELS", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        records.levels(df, ["x"])
+
+
+def test_exports_begin_with_a_mark(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "가"), (2, None)], "id int, t string")
+    sinks.export_csv(df, str(tmp_path / "c"))
+    (part,) = (tmp_path / "c").glob("part-*.csv")
+    assert part.read_bytes().startswith(b"\xef\xbb\xbfid,t\n")
+    assert feeds.csv_rows(spark, str(part)).columns == ["id", "t"]
+    runs_ = spark.createDataFrame([("20260101-000000", 1), ("20260102-000000", 2)], "run_id string, x int")
+    monkeypatch.setenv("SPARROWMILL_RUN", "20260101-000000")
+    assert [r.x for r in feeds.of_newest_run(runs_).collect()] == [1]
+
+
+def test_sets_and_reports(spark):
+    df = spark.createDataFrame([("a", k % 7) for k in range(50)] + [("b", None)], "g string, v int")
+    got = {r.g: (r.n_values, list(r["values"])) for r in aggregates.group_sets(df, "g", "v", 4).collect()}
+    assert got == {"a": (7, [0, 1, 2, 3])}
+    none = spark.createDataFrame([], "s int, f string")
+    report = {r.check: r.value for r in records.rebuild_report(none, F.col("s"), F.col("f"), F.lit(True)).collect()}
+    assert report == {"rows": 0.0, "mean score": None, "grade A percent": None, "unresolved amounts": 0.0}
