@@ -40,7 +40,7 @@ def cosine_with(weights: DataFrame, queries: DataFrame, ident: str, query: str)
 
 def kmeans_labels(df: DataFrame, ident: str, vector: Column, k: int, seeds: tuple[int, ...] = (1, 2, 3), weight: str | None = None) -> DataFrame:
     """(ident, cluster) of the best of several starts."""
-    x = df.select(ident, array_to_vector(vector.cast("array<double>")).alias("features"), *([weight] if weight else []))
+    x = cut(df.select(ident, array_to_vector(vector.cast("array<double>")).alias("features"), *([weight] if weight else [])))
     best = None
     for seed in seeds:
         model = KMeans(k=k, seed=seed, maxIter=30, **({"weightCol": weight} if weight else {})).fit(x)

@@ -153,7 +153,7 @@ def lca(spark: SparkSession, d: str) -> DataFrame:
     w = np.array([r["n"] for r in counts], float)
     rows = []
     for k in (2, 3, 4):
-        m = clustering.LatentClasses(k, starts=3, rounds=80).fit(x, w)
+        m = clustering.LatentClasses(k, starts=6, rounds=80).fit(x, w)
         figures = (m.likelihood, m.bic, m.aic, m.entropy)
         rows.append((k, *[round(float(v), 4) for v in figures], m.parameters))
     return spark.createDataFrame(rows, "k int, likelihood double, bic double, aic double, entropy double, parameters int")
