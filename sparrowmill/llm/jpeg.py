@@ -12,7 +12,8 @@ its last bit, AC 1-5 and 6-63 of each component without theirs, then both refine
 APP11 segment. Equal payloads give equal files.
 
 Defined cases: a null text is an empty one, whose payload is 64 zero bytes; payloads are padded to a positive multiple
-of 64; a file that is no progressive JPEG raises ValueError; an empty table gives no rows; repeated rows are separate
+of 64; a very long text is one image of its own; a file that is damaged or no progressive
+JPEG gets an error in place of pixels (helpers for a single file raise ValueError); an empty table gives no rows; repeated rows are separate
 rows. Other columns pass through.
 """
 

@@ -19,7 +19,7 @@ large-star and small-star steps.
 Nodes with too few shingles to be alike without being equal take no part in the bands, as they would only be dealt bins
 of one another.
 
-Defined cases: a null text has no words; equal texts share a node; repeated rows have equal results; a component of
+Defined cases: a null text has no words; a very long text is worked on whole, alone; equal texts share a node; repeated rows have equal results; a component of
 null ids only has a null id, and its rows are not kept; an empty table gives no rows. Other columns pass through.
 """
 

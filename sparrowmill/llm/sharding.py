@@ -11,7 +11,7 @@ shard, a stretch in which its end must lie; only segments there are split, FANOU
 leave no divisible segment in any stretch; then both bounds agree and the cuts are exact. Each round brings at most a
 few thousand sums to the driver, whatever the input.
 
-Defined cases: a null text counts as empty (size 1) and is grouped with empty ones; copies stay in one shard; with
+Defined cases: a null text counts as empty (size 1) and is grouped with empty ones; a very long text is one group and may fill a shard; copies stay in one shard; with
 fewer groups than shards the last shards are empty; an empty table gives no rows; slots within a shard follow the
 group order, then the id. Other columns pass through.
 """
