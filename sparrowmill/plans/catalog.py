@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import corpora, models, notices, relational, rows, stream
+from . import corpora, models, notices, relational, rows, stream, structures
 
 FLAGSHIP = "keyword_search"
-MODULES = (rows, relational, models, corpora, notices, stream)
+MODULES = (rows, relational, models, corpora, notices, structures, stream)
 
 
 def queries() -> dict[str, Callable]:
