@@ -314,7 +314,7 @@ def _quality_sql() -> str:
         for c, n in ((twice, "redundancy"), (rex(p.grammar), "grammar"), (rex(p.unreadable), "readability"), (rex(p.illogical), "logic"))
     )
     return f"""
-WITH s AS (SELECT doc_id, CASE WHEN {has(p.refusal)} THEN 0 ELSE greatest({total}, 0) END::INT AS score,
+WITH s AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' OR {has(p.refusal)} THEN 0 ELSE greatest({total}, 0) END::INT AS score,
                   concat_ws(',', {issues}) AS issues FROM documents)
 SELECT doc_id, score, CASE WHEN score >= 85 THEN 'A' WHEN score >= 70 THEN 'B' WHEN score >= 50 THEN 'C' ELSE 'D' END AS grade,
        issues FROM s

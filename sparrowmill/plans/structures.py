@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import purposes, structure
+from ..functions import purposes, quality, structure
 from ..session import table
 
 QUERIES, SQL = {}, {}
@@ -103,3 +103,57 @@ c AS (SELECT *, CASE doc_id % 5
     WHEN 1 THEN ', 지역 기업의 판로 개척과 매출 성장을 위해 진행하는 사업이에요.' WHEN 2 THEN '지역의 온라인 판로 확대로 소상공인의 매출 안정하는 사업이에요.' END AS core FROM h)
 SELECT doc_id, coalesce(printed, core) AS raw_purpose, CASE WHEN printed IS NOT NULL THEN 'print' WHEN core IS NOT NULL THEN 'overview' END AS purpose_from FROM c
 """
+
+_OPENINGS = ["자금 부담이 큰 소상공인이", "지역 상권에 활력과 활성화의", "기업을 위한 성장을 위한", "성장과 도약을", "부담을 덜고 부담을", "", "관광객을 을", "원문을 알려주시면"]
+_MIDDLES = [
+    " 더 쉽게 자금을 빌려 쓰도록 돕는", " 판로·홍보·수출·인증을 지원하는", " 찾는 손님이 있는 가게와 쉬는 날 없는 점포에 힘이 되는 마을의", " 5만원, 제3조, 표, 끝",
+    " 다음과 같이 공고합니다", "  두 칸", " 자금",
+]
+_CLOSES = [" 사업이에요.", " 일을 해요.", " 사업.", " 기업의", " 사업이에요요. ", "\n둘째 줄이에요.", ""]
+_PURPOSE = "concat(" + ", ".join(
+    _case(f"{key} % {len(words)}", [f"'{w}'" for w in words])
+    for key, words in (("p_partkey", _OPENINGS), ("(p_partkey + p_size)", _MIDDLES), ("(p_size + CAST(floor(p_retailprice) AS BIGINT))", _CLOSES))
+) + ")"
+
+
+@query
+def purpose_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of purposes put together from three phrases, and how many issues of each kind they have."""
+    p = quality.KOREAN
+    rows = table(spark, d, "part").selectExpr("p_partkey", f"{_PURPOSE} AS purpose")
+    rows = rows.select("p_partkey", quality.score(F.col("purpose"), p).alias("score"), quality.issues(F.col("purpose"), p).alias("i"))
+    n = [(F.size("i") - F.size(F.array_remove("i", k))).cast("long").alias(k) for k in quality.PENALTIES]
+    return rows.select("p_partkey", "score", quality.grade(F.col("score")).alias("grade"), *n)
+
+
+def _scores_sql() -> str:
+    p = quality.KOREAN
+    has = lambda ws: "list_any_value([x FOR x IN [" + ", ".join(f"'{w}'" for w in ws) + "] IF contains(t, x)]) IS NOT NULL"
+    both = lambda *ws: "(" + " + ".join(f"contains(t, '{w}')::INT" for w in ws) + ") >= 2"
+    ends = lambda *ws: "(" + " OR ".join(f"ends_with(t, '{w}')" for w in ws) + ")"
+    many = lambda w: f"(length(t) - length(replace(t, '{w}', ''))) / length('{w}')"
+    bad = lambda *cs: " + ".join(f"({c})::INT" for c in cs)
+    words = "list_filter(regexp_extract_all(t, '([가-힣]{2,})(을|를|이|가|은|는|에|의|로)', 1), lambda w: w NOT IN ('사업', '기업'))"
+    last = "right(rtrim(t, '. '), 1) IN ('을', '를', '의', '에', '과', '와', '로', '고')"
+    odd = "contains(t, '  ') OR contains(t, '··') OR left(t, 1) IN ('·', ',', '.')"
+    aim = "regexp_matches(t, '위해|위한|도록|수 *있|하려|하고자') OR regexp_matches(t, '돕|지원|마련|연결|찾|키우|덜어|낮춰|높이|지키|넓히|늘려|살리|만들|이어|다지|누리|하는')"
+    return f"""
+WITH s AS (SELECT p_partkey, {_PURPOSE} AS purpose FROM part), t AS (SELECT *, trim(purpose, ' ' || chr(10)) AS t FROM s),
+w AS (SELECT *, length(t) AS n, {has(p.motive)} AS motive, {has(p.help)} AS helps, {has(p.refusal)} AS refused,
+  {bad("len(list_distinct(" + words + ")) < len(" + words + ")", f"{both('성장', '발전', '도약')} OR {both('활성화', '활력')} OR {both('넓히', '늘려', '확대')}")} AS redundancy,
+  {bad("regexp_matches(t, '을 을|를 를|이 가|은 는|에 에')", "regexp_matches(t, '하는는|이에요요|도록록|에요에요|사업사업')", f"{many('위해')} >= 2 OR {many('위한')} >= 2", last, odd)} AS grammar,
+  {bad(f"{many('·')} >= 3", "len(regexp_extract_all(t, '[가-힣](하는|되는|있는|없는|드는)[ \n]')) >= 3", f"{many(',')} >= 3")} AS readability,
+  {bad(f"NOT ({aim})")} AS logic FROM t),
+x AS (SELECT *, CASE WHEN purpose = '' OR refused THEN 0 ELSE greatest(0,
+    CASE WHEN {ends('사업이에요.', '사업이예요.')} THEN 15 WHEN {ends('이에요.', '해요.', '드려요.', '어요.')} THEN 10 ELSE 0 END
+    + CASE WHEN n BETWEEN 45 AND 100 THEN 10 WHEN n BETWEEN 35 AND 110 THEN 6 ELSE 0 END + CASE WHEN {many('.')} = 1 AND NOT contains(t, chr(10)) THEN 5 ELSE 0 END
+    + CASE WHEN {has(p.bureaucratic)} THEN 0 ELSE 10 END + CASE WHEN motive THEN 15 ELSE 0 END + CASE WHEN helps THEN 15 ELSE 0 END
+    + CASE WHEN {has(p.target)} THEN 10 ELSE 0 END + CASE WHEN motive AND helps THEN 10 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '「[^」]+」|[0-9]+ *(만원|억원|백만원)|제[0-9]+조') THEN 0 ELSE 10 END
+    - 8 * redundancy - 10 * grammar - 5 * readability - 10 * logic) END::INT AS score FROM w)
+SELECT p_partkey, score, CASE WHEN score >= 85 THEN 'A' WHEN score >= 70 THEN 'B' WHEN score >= 50 THEN 'C' ELSE 'D' END AS grade,
+       redundancy::BIGINT AS redundancy, grammar::BIGINT AS grammar, readability::BIGINT AS readability, logic::BIGINT AS logic FROM x
+"""
+
+
+SQL["purpose_scores"] = _scores_sql()

@@ -100,6 +100,8 @@ def test_quality(spark):
     assert one(spark, quality.score(F.lit(good), quality.KOREAN)) >= 85
     assert one(spark, quality.score(F.lit("죄송하지만 정보가 부족합니다"), quality.KOREAN)) == 0
     assert one(spark, quality.grade(F.lit(70))) == "B"
+    assert one(spark, quality.score(F.lit(""), quality.KOREAN)) == one(spark, quality.score(F.lit(None).cast("string"), quality.ENGLISH)) == 0
+    assert one(spark, quality.issues(F.lit(" 부담을 덜고 부담을 낮춰 성장과 발전을 돕는 사업사업의 "), quality.KOREAN)) == ["redundancy", "redundancy", "grammar", "grammar"]
 
 
 def test_enrichment(spark):
