@@ -86,3 +86,37 @@ def keyword_score(text: Column, keywords: list[str], category: Column, wanted: s
 
 def top(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= n)
+
+
+def audit(rows: DataFrame, expected: DataFrame, order: list[Column], first: int = 10) -> DataFrame:
+    """One row for each expected request: how many offers it got, what leaked into its answer, and which expectations fail.
+
+    Rows: request, places and special (arrays), starts (boolean), national (boolean). Expected: request, mode and wanted_mode, wanted_region (or
+    null), named (array of groups of people), no_starts and national_first (booleans). A request without offers keeps its row.
+    """
+    keys = expected.select("request", "wanted_region", "named")
+    known = rows.join(keys, "request")
+    crossing = F.col("wanted_region").isNotNull() & (F.size("places") > 0) & ~F.array_contains("places", F.col("wanted_region"))
+    leaking = (F.size("special") > 0) & (F.size("named") == 0)
+    counts = known.groupBy("request").agg(
+        F.count("*").alias("n"), F.count_if("national").alias("n_national"), F.count_if(crossing).alias("cross_region"), F.count_if(leaking).alias("special_leaks")
+    )
+    head = top(rows, ["request"], order, first).groupBy("request").agg(F.min_by("national", "rank").alias("leads"), F.count_if("starts").alias("starts_first"))
+    out = expected.join(counts, "request", "left").join(head, "request", "left").fillna(0, ["n", "n_national", "cross_region", "special_leaks", "starts_first"])
+    starts = F.when(F.col("no_starts"), F.col("starts_first")).otherwise(0)
+    failures = F.concat_ws(
+        ",",
+        F.when(~F.equal_null("mode", "wanted_mode"), "mode"),
+        F.when(F.col("national_first") & ~F.coalesce("leads", F.lit(False)), "national first"),
+        F.when(F.col("cross_region") > 0, "cross region"),
+        F.when(F.col("special_leaks") > 0, "special targets"),
+        F.when(starts > 0, "starting up"),
+    )
+    return out.select("request", "n", "n_national", "cross_region", "special_leaks", starts.cast("long").alias("starts_first"), failures.alias("failures"))
+
+
+def passed(report: DataFrame) -> None:
+    """Raises where a request of an audit fails; the report has a row a request, so it is small."""
+    bad = report.where("failures <> ''").select("request", "failures").orderBy("request").take(20)
+    if bad:
+        raise ValueError("; ".join(f"{r.request}: {r.failures}" for r in bad))

@@ -98,6 +98,29 @@ def lifecycle_excluded(operating: Column, stages: Column, goals: Column, wants_s
     return operating & ~wants_start & (only_before | F.array_contains(goals, "startup"))
 
 
+# Regions by name, and a town that bears a city's name -----------------------------------------------
+PLACES = {
+    "seoul": ("서울",), "incheon": ("인천",), "gyeonggi": ("경기",), "busan": ("부산",), "daegu": ("대구",), "daejeon": ("대전",), "gwangju": ("광주",),
+    "ulsan": ("울산",), "sejong": ("세종",), "gangwon": ("강원",), "chungbuk": ("충북", "충청북도"), "chungnam": ("충남", "충청남도"), "jeonbuk": ("전북",),
+    "jeonnam": ("전남", "전라남도"), "gyeongbuk": ("경북", "경상북도"), "gyeongnam": ("경남", "경상남도"), "jeju": ("제주",),
+}
+#: region: (the town of that name in another region, the region itself beyond doubt).
+HOMONYMS = {"gwangju": (r"경기도?\s*광주|경기도?.{0,12}광주시|\[경기\].{0,20}광주", r"광주광역시|\[광주\]")}
+# -------------------------------------------------------------------------------------------------------------------
+
+
+def places(text: Column) -> Column:
+    """The regions that a text names, in their order; a town that only bears a region's name is none. Null names nothing."""
+    text, found = F.coalesce(text, F.lit("")), []
+    for region, names in PLACES.items():
+        hit = contains_any(text, list(names))
+        if region in HOMONYMS:
+            town, itself = HOMONYMS[region]
+            hit = hit & (~F.rlike(text, F.lit(town)) | F.rlike(text, F.lit(itself)))
+        found.append(F.when(hit, region))
+    return F.array_compact(F.array(*found))
+
+
 def region_compatible(places: Column, asked: Column) -> Column:
     return (F.size(places) == 0) | F.arrays_overlap(places, asked)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import purposes, quality, structure
+from ..operators import matching, requests
 from ..session import table
 
 QUERIES, SQL = {}, {}
@@ -157,3 +158,70 @@ SELECT p_partkey, score, CASE WHEN score >= 85 THEN 'A' WHEN score >= 70 THEN 'B
 
 
 SQL["purpose_scores"] = _scores_sql()
+
+#: Texts of offers, the regions they name, whom they are for, whether they are for starting up.
+_OFFERS = [
+    ("[경기] 광주시 카페 창업 지원", "gyeonggi", "", True), ("[광주] 카페 운영자금", "gwangju", "", False), ("경기도 광주 점포 개선, 광주광역시 공동", "gyeonggi,gwangju", "", False),
+    ("전국 소상공인 마케팅", "", "", False), ("대전 여성기업 판로", "daejeon", "women", False), ("충청북도 청주 예비창업 지원", "chungbuk", "", True),
+    ("전북특별자치도 융자", "jeonbuk", "", False), ("전라남도와 광주 상생", "gwangju,jeonnam", "", False), ("서울·인천 전시회", "seoul,incheon", "", False),
+    ("광주 하남산단 기업", "gwangju", "", False), ("경기 광주 곤지암 도자기", "gyeonggi", "", False), (None, "", "", False), ("관광 여행사 지원", "", "tourism", False),
+]
+#: request, goal, region, mode, whether regions are looked at, mode wanted, region wanted, named groups, no start-ups first, nation-wide first.
+_ASKED = [(r, None, r, "strict", True, "strict", r, [], False, False) for r in requests.PLACES] + [
+    ("cafe there", "fund", "daejeon", "region_first", True, "region_first", "daejeon", [], False, False),
+    ("cafe at work", "startup", "gwangju", "region_first", True, "region_first", "gwangju", [], True, False),
+    ("in the town", "sales", "gyeonggi", "region_first", True, "strict", "gyeonggi", [], True, False),
+    ("anywhere", "sales", None, "none", True, "none", None, [], False, True),
+    ("nation-wide", "fund", None, "national_only", True, "national_only", None, [], False, True),
+    ("women", None, "daejeon", "strict", True, "strict", "daejeon", ["women"], False, False),
+    ("unguarded", None, "gwangju", "region_first", False, "region_first", "gwangju", [], False, True),
+]
+_GOAL = _case("c_custkey % 3", ["'fund'", "'sales'", "'startup'"])
+
+
+@query
+def match_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What requests for each region and scenarios get from customers taken as offers, and which expectations fail."""
+    texts = _case(f"c_custkey % {len(_OFFERS)}", ["NULL" if t is None else f"'{t}'" for t, *_ in _OFFERS])
+    rows = table(spark, d, "customer").selectExpr("c_custkey AS offer", f"{texts} AS title", f"{_GOAL} AS has_goal", "c_custkey % 50 AS pscore")
+    people = F.array_compact(F.array(F.when(F.contains("title", F.lit("여성")), "women"), F.when(F.contains("title", F.lit("관광")), "tourism")))
+    starts = F.coalesce(F.rlike("title", F.lit(r"예비창업|창업\s*지원")), F.lit(False))
+    rows = rows.withColumns({"places": requests.places(F.col("title")), "special": people, "starts": starts}).withColumn("national", F.size("places") == 0)
+    kinds = "request string, goal string, region string, mode string, guarded boolean, wanted_mode string, wanted_region string, named array<string>, no_starts boolean, national_first boolean"
+    asked = spark.createDataFrame(_ASKED, kinds)
+    there = F.coalesce(F.array_contains("places", F.col("region")), F.lit(False))
+    fits = (
+        (F.col("goal").isNull() | (F.col("goal") == F.col("has_goal")))
+        & (~F.col("guarded") | F.col("region").isNull() | requests.region_compatible(F.col("places"), F.array("region")))
+        & F.when(F.col("mode") == "strict", there).when(F.col("mode") == "national_only", F.col("national")).otherwise(True)
+        & ~(F.col("guarded") & requests.excluded(F.col("special"), F.col("named")))
+    )
+    got = rows.crossJoin(F.broadcast(asked.select("request", "goal", "region", "mode", "guarded", "named"))).where(fits).drop("named")
+    near = F.when(F.col("mode") == "region_first", F.when(there, 4).when(F.col("national"), 2).otherwise(1)).when(F.col("national"), 1).otherwise(0)
+    return matching.audit(got.withColumn("near", near), asked, [F.desc("near"), F.desc("pscore"), F.col("offer")])
+
+
+def _audit_sql() -> str:
+    lit = lambda v: "NULL" if v is None else str(v) if isinstance(v, (bool, int)) else f"[{', '.join(map(lit, v))}]::VARCHAR[]" if isinstance(v, list) else f"'{v}'"
+    kinds = ", ".join(f"({i}, {lit(p.split(',') if p else [])}, {lit(w)}, {lit(s)})" for i, (_, p, w, s) in enumerate(_OFFERS))
+    asked = ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in _ASKED)
+    return f"""
+WITH k(kind, places, people, starts) AS (VALUES {kinds}),
+q(request, goal, region, mode, guarded, wanted_mode, wanted_region, named, no_starts, national_first) AS (VALUES {asked}),
+o AS (SELECT c_custkey AS offer, {_GOAL} AS has_goal, c_custkey % 50 AS pscore, k.*, len(places) = 0 AS national FROM customer JOIN k ON c_custkey % {len(_OFFERS)} = kind),
+m AS (SELECT *, coalesce(list_contains(places, region), false) AS there FROM q, o WHERE (goal IS NULL OR goal = has_goal)
+  AND (NOT guarded OR ((region IS NULL OR national OR list_contains(places, region)) AND (people = '' OR list_contains(named, people))))
+  AND CASE mode WHEN 'strict' THEN list_contains(places, region) WHEN 'national_only' THEN national ELSE true END),
+r AS (SELECT *, row_number() OVER (PARTITION BY request ORDER BY CASE WHEN mode <> 'region_first' THEN national::INT WHEN there THEN 4 WHEN national THEN 2 ELSE 1 END DESC,
+                                   pscore DESC, offer) AS rank FROM m),
+c AS (SELECT request, count(*) AS n, count(*) FILTER (national) AS n_national, count(*) FILTER (wanted_region IS NOT NULL AND NOT national AND NOT there) AS crossing,
+      count(*) FILTER (people <> '' AND len(named) = 0) AS leaks, count(*) FILTER (no_starts AND starts AND rank <= 10) AS starting, bool_or(national AND rank = 1) AS leads
+      FROM r GROUP BY request)
+SELECT request, coalesce(n, 0) AS n, coalesce(n_national, 0) AS n_national, coalesce(crossing, 0) AS cross_region, coalesce(leaks, 0) AS special_leaks,
+       coalesce(starting, 0) AS starts_first, concat_ws(',', CASE WHEN mode <> wanted_mode THEN 'mode' END, CASE WHEN national_first AND NOT coalesce(leads, false) THEN 'national first' END,
+         CASE WHEN crossing > 0 THEN 'cross region' END, CASE WHEN leaks > 0 THEN 'special targets' END, CASE WHEN starting > 0 THEN 'starting up' END) AS failures
+FROM q LEFT JOIN c USING (request)
+"""
+
+
+SQL["match_audit"] = _audit_sql()

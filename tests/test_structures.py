@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparrowmill.functions import purposes, structure
+from sparrowmill.operators import matching, requests
 from sparrowmill.plans import structures
 
 from .oracle import assert_same
@@ -77,3 +78,18 @@ def test_purposes(spark):
     out = purposes.with_purpose(rows, F.col("p"), F.col("d")).orderBy("id").collect()
     assert [tuple(r)[3:] for r in out] == [tuple(want) for _, _, *want in PURPOSES]
     assert purposes.with_purpose(rows.limit(0), F.col("p"), F.col("d")).count() == 0
+
+
+def test_places(spark):
+    texts = [None, "", "[경기] 광주시", "광주광역시 [경기] 광주", "경기도 하남과 광주시", "경기 의 긴 이름이 붙은 곳 그리고 또 광주시", "충청남도·전라남도"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = [r.p for r in rows.select("id", requests.places(F.col("t")).alias("p")).orderBy("id").collect()]
+    assert got == [[], [], ["gyeonggi"], ["gyeonggi", "gwangju"], ["gyeonggi"], ["gyeonggi", "gwangju"], ["chungnam", "jeonnam"]]
+
+
+def test_failed_audit_raises(spark):
+    report = structures.match_audit(spark, "/root/testdata/sf0.001")
+    with pytest.raises(ValueError, match="unguarded: .*cross region"):
+        matching.passed(report)
+    matching.passed(report.where("failures = ''"))
+    assert {r.request for r in report.where("failures = ''").collect()} >= set(requests.PLACES)
