@@ -87,3 +87,40 @@ def valid_labels(found: Column, vocabulary: list[str]) -> Column:
 
 def accept_if_better(old: Column, old_score: Column, new: Column, new_score: Column) -> Column:
     return F.when(F.coalesce(new_score > old_score, F.lit(False)), new).otherwise(old)
+
+
+# How a model's judgement of facts is written, and the prompt's parts ---------------------------------
+VERDICT = r"(?i)판정\s*[:：]\s*(OK|DRIFT|HALLUCINATION)"
+REASON = r"근거\s*[:：]\s*([^\n]+)"
+SOURCE_PART, PURPOSE_PART = "[원문]", "[생성된 목적문]"
+# -------------------------------------------------------------------------------------------------------------------
+
+
+class WordModel:
+    """Judges a purpose by the words that its source has: all, at least half, fewer. It has no answer where there are no words."""
+
+    def complete(self, prompt: str) -> str | None:
+        source, _, purpose = (prompt or "").rpartition(PURPOSE_PART)
+        words = purpose.split()
+        missing = sum(w not in source for w in words)
+        verdict = "OK" if missing == 0 else "DRIFT" if 2 * missing <= len(words) else "HALLUCINATION"
+        return f"판정: {verdict}\n근거: {missing}" if words else None
+
+
+def sample(rows: DataFrame, ident: str, n: int, seed: int = 42) -> DataFrame:
+    """n rows by the hash of their id and the seed: the same ones in every run. The bound is the feature."""
+    return rows.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(ident))), ident).limit(n)
+
+
+def factuality(rows: DataFrame, model: TextModel, ident: str, source: Column, purpose: Column) -> DataFrame:
+    """(id, verdict, reason): OK, DRIFT or HALLUCINATION; ERROR without an answer, PARSE_ERROR where it has no verdict.
+
+    Without a stated reason, the answer's first 80 characters stand for it. Null texts count as empty.
+    """
+    empty = F.lit("")
+    prompt = F.concat_ws("\n", F.lit(SOURCE_PART), F.coalesce(source, empty), F.lit(PURPOSE_PART), F.coalesce(purpose, empty))
+    answered = complete(rows, model, ident, prompt)
+    word = lambda p: F.nullif(F.trim(F.regexp_extract("answer", p, 1)), empty)
+    silent = F.coalesce(F.col("answer"), empty) == ""
+    verdict = F.when(silent, "ERROR").otherwise(F.coalesce(F.upper(word(VERDICT)), F.lit("PARSE_ERROR")))
+    return answered.select(ident, verdict.alias("verdict"), F.coalesce(word(REASON), F.left("answer", F.lit(80)), empty).alias("reason"))

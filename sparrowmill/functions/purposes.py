@@ -69,6 +69,12 @@ def overview(text: Column) -> Column:
     return F.when(at > 0, _strip(F.substring_index(after, "##", 1)))
 
 
+def excerpt(text: Column, most: int = 800) -> Column:
+    """The overview in one line, cut to so many characters; without its heading, the text's first characters as they are. Null counts as empty."""
+    text = F.coalesce(text, F.lit(""))
+    return F.coalesce(F.left(_squeeze(overview(text)), F.lit(most)), F.left(text, F.lit(most)))
+
+
 def tidy(raw: Column) -> Column:
     """An overview without what follows its arrow, without its agency, closing formulas and laws; other names go into quotes."""
     out = _squeeze(raw)

@@ -87,6 +87,18 @@ def route(text: Column, routes: tuple[tuple[str, str], ...]) -> Column:
     return cascade([(F.rlike(plain(text), F.lit(pattern)), name) for pattern, name in routes], "summary")
 
 
+#: Fixed value: how people ask to see policies at once.
+LOOKUP = (
+    r"관련\s*(정책|공고|지원|사업)|지원\s*(정책|공고|사업)|(정책|공고)\s*(알려|추천|찾아|뭐|전체)|뭐\s*(있|있어|있나)|알려줘|추천해줘|찾아줘|전체\s*알려"
+)
+
+
+def goes_to_results(text: Column, *slots: Column) -> Column:
+    """Whether a request asks for a list and has at least one usable condition (not null, not empty): it needs no dialogue."""
+    usable = F.coalesce(*[F.nullif(s, F.lit("")) for s in slots]).isNotNull()
+    return F.rlike(F.coalesce(text, F.lit("")), F.lit(LOOKUP)) & usable
+
+
 def excluded(limited_to: Column, named: Column) -> Column:
     """Whether an offer limited to groups of people meets a request that names none of them."""
     return (F.size(limited_to) > 0) & ~F.arrays_overlap(limited_to, named)

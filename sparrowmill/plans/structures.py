@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import purposes, quality, structure
+from ..functions import enrich, purposes, quality, structure
 from ..operators import matching, requests
 from ..session import table
 
@@ -225,3 +225,48 @@ FROM q LEFT JOIN c USING (request)
 
 
 SQL["match_audit"] = _audit_sql()
+
+
+@query
+def overview_excerpts(spark: SparkSession, d: str) -> DataFrame:
+    """What a prompt gets of whole documents' overviews: its length and digest."""
+    rows = table(spark, d, "documents").selectExpr("doc_id", f"{_DETAIL} AS detail").select("doc_id", purposes.excerpt(F.col("detail")).alias("x"))
+    return rows.select("doc_id", F.char_length("x").cast("long").alias("n_chars"), F.md5("x").alias("md5"))
+
+
+SQL["overview_excerpts"] = rf"""
+WITH b AS (SELECT doc_id, {_DETAIL} AS t FROM documents),
+x AS (SELECT doc_id, CASE WHEN contains(t, '## 사업개요') THEN
+        left(trim(regexp_replace(split_part(substr(t, strpos(t, '## 사업개요') + 7), '##', 1), '{_WS}+', ' ', 'g'), ' '), 800) ELSE left(t, 800) END AS x FROM b)
+SELECT doc_id, length(x)::BIGINT AS n_chars, md5(x) AS md5 FROM x
+"""
+
+_ENDING = _case("item_id % 6", ["' 관련  정책'", "' 알려줘'", "' 정책'", "' 뭐 있나'", "' 궁금해'", "'공고 전체'"])
+
+
+@query
+def lookup_intents(spark: SparkSession, d: str) -> DataFrame:
+    """Which benchmark items, taken as requests, go straight to a list of results."""
+    rows = table(spark, d, "benchmark").selectExpr("item_id", f"concat(coalesce(text, ''), {_ENDING}) AS asked", "nullif(item_id % 4, 0) AS slot", "'' AS other")
+    return rows.select("item_id", requests.goes_to_results(F.col("asked"), F.col("other"), F.col("slot").cast("string")).alias("direct"))
+
+
+SQL["lookup_intents"] = "SELECT item_id, item_id % 6 IN (0, 1, 3, 5) AND item_id % 4 > 0 AS direct FROM benchmark"
+
+_CLAIM = _case("doc_id % 4", ["left(coalesce(text, ''), 60)", "concat(left(coalesce(text, ''), 30), ' zzqx zzqy')", "'zzqa zzqb'", "' '"])
+
+
+@query
+def factuality_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of 300 sampled documents' claims by a model that looks for words in the whole text, and its reasons."""
+    rows = enrich.sample(table(spark, d, "documents").selectExpr("doc_id", "text", f"{_CLAIM} AS claim"), "doc_id", 300)
+    return enrich.factuality(rows, enrich.WordModel(), "doc_id", F.col("text"), F.col("claim"))
+
+
+SQL["factuality_labels"] = rf"""
+WITH s AS (SELECT doc_id, coalesce(text, '') AS text, {_CLAIM} AS claim FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 300),
+w AS (SELECT *, list_filter(regexp_split_to_array(claim, '{_WS}+'), lambda x: x <> '') AS words FROM s),
+m AS (SELECT *, len(list_filter(words, lambda x: NOT contains(text, x))) AS missing FROM w)
+SELECT doc_id, CASE WHEN len(words) = 0 THEN 'ERROR' WHEN missing = 0 THEN 'OK' WHEN 2 * missing <= len(words) THEN 'DRIFT' ELSE 'HALLUCINATION' END AS verdict,
+       CASE WHEN len(words) = 0 THEN '' ELSE missing::VARCHAR END AS reason FROM m
+"""

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sparrowmill.functions import purposes, structure
+from sparrowmill.functions import enrich, purposes, structure
 from sparrowmill.operators import matching, requests
 from sparrowmill.plans import structures
 
@@ -93,3 +93,25 @@ def test_failed_audit_raises(spark):
         matching.passed(report)
     matching.passed(report.where("failures = ''"))
     assert {r.request for r in report.where("failures = ''").collect()} >= set(requests.PLACES)
+
+
+class Fixed:
+    def __init__(self, answers):
+        self.answers = answers
+
+    def complete(self, prompt):
+        return self.answers[int(prompt.splitlines()[-1])]
+
+
+def test_verdicts(spark):
+    answers = [None, "", "판정 : drift\n근거: 꾸밈말 ", "판정：HALLUCINATION", "잘 모르겠습니다" * 20, "근거: 없음"]
+    rows = spark.range(len(answers))
+    got = enrich.factuality(rows, Fixed(answers), "id", F.lit(None).cast("string"), F.col("id").cast("string")).orderBy("id").collect()
+    assert [(r.verdict, r.reason) for r in got] == [
+        ("ERROR", ""), ("ERROR", ""), ("DRIFT", "꾸밈말"), ("HALLUCINATION", "판정：HALLUCINATION"), ("PARSE_ERROR", ("잘 모르겠습니다" * 20)[:80]), ("PARSE_ERROR", "없음"),
+    ]
+
+
+def test_lookups(spark):
+    go = lambda t, *s: spark.range(1).select(requests.goes_to_results(F.lit(t), *[F.lit(x).cast("string") for x in s])).first()[0]
+    assert go("카페 관련 정책", None, "food") and not go("카페 관련 정책", None, "") and not go("카페", "food") and not go(None, "food")
