@@ -70,7 +70,8 @@ def greater(best: Column, other: Column) -> Column:
 def walk(text: Column, pattern: str, before: int, after: int, read, choose) -> Column:
     """One pass over all matches from left to right: ``read(before, found, after)`` gives a label and value or null, ``choose`` keeps one.
 
-    A match sees so many characters before it and after it. The pass carries these alone, so its work grows with the text's length.
+    A match sees so many characters before it and after it. The pass carries these alone, so its work grows with the text's length;
+    a text without a match is only scanned.
     """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     behind = F.regexp_extract_all(text, F.lit(rf"(?:{pattern})(?=((?s:.{{0,{after}}})))"), F.lit(1))
@@ -83,7 +84,7 @@ def walk(text: Column, pattern: str, before: int, after: int, read, choose) -> C
         tail = F.right(F.concat(seen, x["m"]), F.lit(before))
         return F.struct(tail.alias("tail"), choose(state["best"], read(seen, x["m"], x["a"]).cast(FOUND)).cast(FOUND).alias("best"))
 
-    return F.aggregate(parts, start, step)["best"]
+    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(parts, start, step)["best"])
 
 
 def first_amount(found: Column) -> Column:
