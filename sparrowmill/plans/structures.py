@@ -1,6 +1,7 @@
 """Queries over whole rows and texts taken as notices: amounts with their structure, purposes from raw texts, audits of matches.
 
 The SQL never reads a pattern that the engine reads: it works out what each kind of phrase has to give from the numbers put into it.
+Only the scores' plain word lists are shared with the engine.
 """
 
 from __future__ import annotations
