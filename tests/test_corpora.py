@@ -6,12 +6,13 @@ import random
 import re
 import unicodedata
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparrowmill.functions import canonical, policy, wording
-from sparrowmill.functions.portable import Spark
+from sparrowmill.functions.portable import Duck, Spark
 from sparrowmill.operators import aggregates, allocation, clustering, gridfit, records, retry, similarity, textmodels, validity
 from sparrowmill.sources import feeds, sinks
 from sparrowmill.streaming import runs
@@ -395,6 +396,32 @@ def test_amount_rules(spark):
     assert says(spark, per, t="업체당 최대 2천만원, 기업당 3억원, 개사당 30,000만원") == "기업당 3억원" and says(spark, per, t="총 3억원") is None
 
 
+def won_brute(x):
+    jo, eok, man = 10**12, 10**8, 10**4
+    if x >= jo:
+        return f"{x // jo:,}조원" if x % jo == 0 else f"{x // jo:,}조 {x % jo // eok:,}억원"
+    if x >= eok:
+        if x % eok == 0:
+            return f"{x // eok:,}억원"
+        tenths = f"{x // eok}.{x % eok // 10**7}억원"
+        return tenths if x < 10 * eok and x % 10**7 == 0 else f"{x // eok:,}억 {x % eok // man:,}만원"
+    return f"{x // man:,}만원" if x >= man and x % man == 0 else f"{x:,}원"
+
+
+def test_values_are_written_by_forms(spark):
+    values = [1, 9999, 10**4, 12345, 2 * 10**7, 10**8, 15 * 10**7, 155 * 10**6, 10**9, 115 * 10**7, 999 * 10**8, 10**12, 12 * 10**11, 3456789012345, 5000 * 10**12]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = [r[0] for r in df.selectExpr(policy.won(Spark(), "v")).collect()]
+    assert got == [won_brute(v) for v in values]
+    duck = duckdb.sql(f"SELECT {policy.won(Duck(), 'v')} FROM (SELECT unnest({values}) AS v)").fetchall()
+    assert [r[0] for r in duck] == got
+
+
+def test_labels_lose_empty_items(spark):
+    for label, want in ((" ; 최대 20백만원;;; 0만원 ; (이천만원) 둘 ;", "최대 2,000만원; 둘"), ("기업당 1,500만원 ()  이내", "기업당 1,500만원 이내"), ("", "")):
+        assert says(spark, policy.standard_label(Spark(), "t"), t=label) == want
+
+
 def test_summaries_are_split(spark):
     who, what = policy.said(Spark(), "s")
     for s, want in (("청년 / 자금 - 둘", ("청년", "자금 - 둘")), ("청년 - 라이브커머스 - 둘", ("청년", "라이브커머스 - 둘")), ("자금만", ("", "자금만"))):

@@ -153,3 +153,16 @@ def test_numbered_groups(spark):
     out = relations.numbered_groups(spark.createDataFrame([(i,) for i in ids], "least long"), "least", "G", parts=4)
     assert {r.least: r.group_name for r in out.collect()} == {i: f"G-{k:04d}" for k, i in enumerate(sorted(ids), 1)}
     assert relations.numbered_groups(spark.createDataFrame([], "least long"), "least", "G").count() == 0
+
+
+def test_detail_pages():
+    page = """<meta name=title content=" 공고 "><div class=view_cont style="text-align:center"><ul>
+      <li><span class="s_title"> 대상 </span><div class="txt a">소상공인 <b>모두</b><script>x</script></div><div class=txt>둘</div></li>
+      <li><span class=s_title>빈</span><li><div class=txt>안</div></li></li><li>딴</li></ul>
+      <div style="text-align: center">서울 <br>시장</div><div style="text-align:center">또</div></div>
+      <div class=view_cont><li><span class=s_title>밖</span><div class=txt>밖</div></li></div>"""
+    want = "# 공고\n\n## 대상\n\n소상공인\n모두\n\n## 빈\n\n안\n\n\n---\n서울시장\n"
+    assert documents.detail_page(page) == (want, None)
+    assert documents.detail_page("<p>x") == (None, "NO_VIEW_CONT")
+    assert documents.detail_page("<div class=view_cont>x</div>") == (None, "EMPTY_CONTENT")
+    assert documents.detail_page("<div class=view_cont><li><span class=s_title>끝<div class=txt>열린 글") == ("## 끝열린 글\n\n열린 글\n", None)
