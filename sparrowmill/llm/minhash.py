@@ -11,7 +11,8 @@ In a bucket one node is the centre, the one whose buckets are fullest (an origin
 than they meet each other), and every other member is a candidate of the centre: a bucket of n members gives n - 1
 pairs. Candidates are confirmed on their full sets. Rounds follow: a centre has met its bucket and leaves it, and a bucket
 whose other members are not all in one component gets a new centre, from the component with the fewest of them, which
-meets all members of other components. After ROUNDS of these, or one that confirms less than a pair in PAYING, the nodes
+meets all members of other components. A bucket of more than SHARE members is dealt in parts that its centre is sent to, and
+the set of a centre of many pairs in as many copies. After ROUNDS of these, or one that confirms less than a pair in PAYING, the nodes
 of all buckets still open go to an exact join: pairs of different components that share a shingle in their prefixes, rarest first. So no
 pair of a bucket is left untested unless sizes, prefixes or components settle it. Components come from alternating
 large-star and small-star steps.
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, bounded, fresh, table, written
@@ -53,6 +54,8 @@ ROUNDS = 6
 SLOTS = 1 << 22
 #: Stars go on while one pair in so many is confirmed; then the exact join costs less.
 PAYING = 10
+#: Members of a bucket, or pairs of a centre, that are dealt by one key; those of larger ones are dealt by parts.
+SHARE = 256
 
 
 def _plan(bins: int, tries: int = 64) -> np.ndarray:
@@ -220,41 +223,75 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return roots
 
 
+def part_of(node: str, parts: str | Column) -> Column:
+    """The part of a bucket or centre that a node falls in."""
+    return F.pmod(F.xxhash64(node), F.col(parts) if isinstance(parts, str) else parts).cast("int")
+
+
+def in_parts(df: DataFrame, parts: str, part: str, first: int = 0) -> DataFrame:
+    """Each row once a part, from part ``first``."""
+    numbers = F.when(F.col(parts) > first, F.sequence(F.lit(first), F.col(parts) - 1)).otherwise(F.array().cast("array<int>"))
+    return df.withColumn(part, F.explode(numbers))
+
+
+def shares(n: Column) -> Column:
+    return F.greatest(F.ceil(n / SHARE), F.lit(1)).cast("int")
+
+
 def open_buckets(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members (key, node, n, fame) of the buckets that hold several components, with the component's root."""
+    """Members (key, node, n, fame, parts) of the buckets that hold several components, with the component's root."""
     if roots is None:
         rooted = members.withColumn("root", F.col("node"))
     else:
         named = roots.select(F.col("node").alias("rn"), "root")
         rooted = members.join(named, members["node"] == named["rn"], "left").select(
-            "key", "node", "n", "fame", F.coalesce("root", "node").alias("root")
+            "key", "node", "n", "fame", "parts", F.coalesce("root", "node").alias("root")
         )
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    return rooted.join(mixed.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("parts").alias("ps")).where("lo <> hi")
+    mixed = in_parts(mixed, "ps", "p").select(F.col("key").alias("k"), "p")
+    return rooted.join(mixed, (F.col("key") == F.col("k")) & (part_of("node", "parts") == F.col("p")), "left_semi")
 
 
-def stars(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(centre by bucket, candidate pairs) of open buckets; the centre is of the component with the fewest members there.
+def centres(members: DataFrame) -> DataFrame:
+    """(ck, cx, xr, xn, ps, spread) by bucket: the centre, of the component with the fewest members there, its root and size.
 
-    Sets whose sizes alone rule the similarity out are no candidates.
+    ``ps`` are the bucket's parts; ``spread`` is in how many parts the pairs of all buckets of this centre are dealt.
     """
     order = F.struct("fame", F.xxhash64("node").alias("h"))
     best = members.groupBy("key", "root").agg(
-        F.count("*").alias("many"), F.max_by(F.struct("node", "n"), order).alias("c"), F.max(order).alias("o")
+        F.count("*").alias("many"), F.max_by(F.struct("node", "n"), order).alias("c"), F.max(order).alias("o"), F.max("parts").alias("ps")
     )
     first = F.struct((-F.col("many")).alias("few"), "o.fame", "o.h")
-    centre = best.groupBy("key").agg(F.max_by(F.struct("c.node", "root", "c.n"), first).alias("c"))
-    centre = centre.select(
-        F.col("key").alias("ck"), F.col("c.node").alias("cx"), F.col("c.root").alias("xr"), F.col("c.n").alias("xn")
+    centre = best.groupBy("key").agg(
+        F.max_by(F.struct("c.node", "root", "c.n"), first).alias("c"), F.max("ps").alias("ps"), F.sum("many").alias("all")
     )
+    spread = centre.groupBy(F.col("c.node").alias("sx")).agg(shares(F.sum("all")).alias("spread"))
+    return centre.join(spread, F.col("c.node") == F.col("sx")).select(
+        F.col("key").alias("ck"), F.col("c.node").alias("cx"), F.col("c.root").alias("xr"), F.col("c.n").alias("xn"), "ps", "spread"
+    )
+
+
+def stars(members: DataFrame, centre: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (x, y, xp, yp) of open buckets: each centre with the bucket's members of other components.
+
+    Sets whose sizes alone rule the similarity out are no candidates. A centre meets the members in each part of its bucket;
+    xp and yp say which copy of a centre's set a pair asks for, 0 for the other one.
+    """
     share = round(similarity * 100)
-    pairs = (
-        members.join(centre, members["key"] == centre["ck"])
-        .where((F.col("root") != F.col("xr")) & (100 * F.least("n", "xn") >= share * F.greatest("n", "xn")))
-        .select(F.least("cx", "node").alias("x"), F.greatest("cx", "node").alias("y"))
-        .distinct()
+    met = members.join(in_parts(centre, "ps", "p"), (F.col("key") == F.col("ck")) & (part_of("node", "parts") == F.col("p"))).where(
+        (F.col("root") != F.col("xr")) & (100 * F.least("n", "xn") >= share * F.greatest("n", "xn"))
+    )
+    copy, lower = part_of("node", "spread"), F.col("cx") < F.col("node")
+    return (
+        met.select(
+            F.least("cx", "node").alias("x"),
+            F.greatest("cx", "node").alias("y"),
+            F.when(lower, copy).otherwise(0).alias("xp"),
+            F.when(lower, 0).otherwise(copy).alias("yp"),
+        )
+        .groupBy("x", "y")
+        .agg(F.max("xp").alias("xp"), F.max("yp").alias("yp"))
     )
-    return centre.select(F.col("ck").alias("key"), F.col("cx").alias("node")), pairs
 
 
 def _slot(s: np.ndarray) -> np.ndarray:
@@ -380,7 +417,7 @@ def _cluster(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, widt
     shared = scratch.keep(placed.join(sizes, placed["key"] == sizes["k"]).select("key", "node", "n", "in_bucket"), "buckets")
     scratch.let_go(banding)
     fame = shared.groupBy("node").agg(F.sum("in_bucket").alias("fame"))
-    members = shared.select("key", "node", "n").join(fame, "node")
+    members = shared.select("key", "node", "n", shares(F.col("in_bucket")).alias("parts")).join(fame, "node")
     wanted = nodes.join(fame, "node", "left_semi").select("node", F.col("row.id").alias("wid"), F.col("row.th").alias("wth"))
     text = slim.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "node")
     sets = scratch.keep(bounded(text).mapInArrow(_sets(width), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
@@ -388,12 +425,12 @@ def _cluster(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, widt
     scratch.let_go(shared)
     links, roots, tried = None, None, None
 
-    def test(pairs: DataFrame) -> bool:
-        """Confirms what has not been tried yet; whether that paid."""
+    def test(pairs: DataFrame, copies: DataFrame | None = None) -> bool:
+        """Confirms what has not been tried yet; whether that paid. ``copies`` (cx, spread) says which sets pairs ask for in parts."""
         nonlocal links, roots, tried
         pairs = scratch.keep(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
-        found = scratch.keep(confirm(pairs, sets, similarity), "links")
-        tried = pairs if tried is None else tried.union(pairs)
+        found = scratch.keep(confirm(pairs, sets, similarity, copies), "links")
+        tried = pairs.select("x", "y") if tried is None else tried.union(pairs.select("x", "y"))
         n_found = found.count()
         if n_found:
             links = found if links is None else links.union(found)
@@ -402,10 +439,10 @@ def _cluster(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, widt
         return n_found * PAYING > pairs.count()
 
     for _ in range(rounds):
-        centre, pairs = stars(live, similarity)
-        centre = scratch.keep(centre, "centres")
-        paid = test(pairs)
-        left = live.join(centre, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
+        centre = scratch.keep(centres(live), "centres")
+        paid = test(stars(live, centre, similarity), centre.where("spread > 1").select("cx", "spread").distinct())
+        met = centre.select(F.col("ck").alias("key"), F.col("cx").alias("node"))
+        left = live.join(met, ["key", "node"], "left_anti").select("key", "node", "n", "fame", "parts")
         before, live = live, scratch.keep(open_buckets(left, roots), "live")
         scratch.let_go(before, centre)
         if not paid or live.isEmpty():
@@ -424,12 +461,22 @@ def _cluster(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, widt
     return Clusters(rows, written(named.select("node", F.col("best.id").alias("comp"), F.col("best.node").alias("rep")), "classes"))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (x, y) whose full sets are alike."""
-    ys = sets.select(F.col("node").alias("yn"), F.col("shingles").alias("ys"))
-    xs = sets.select(F.col("node").alias("xn"), F.col("shingles").alias("xs"))
-    both = pairs.join(ys, pairs["y"] == ys["yn"]).select("x", "y", "ys")
-    both = both.join(xs, both["x"] == xs["xn"]).select("x", "y", "xs", "ys")
+def confirm(pairs: DataFrame, sets: DataFrame, similarity: float, copies: DataFrame | None = None) -> DataFrame:
+    """The pairs (x, y) whose full sets are alike.
+
+    Where pairs have parts (xp, yp), a set stands ready once for each part that ``copies`` (cx, spread) gives it, so the pairs
+    of a hot centre go to many tasks.
+    """
+    ready = sets.select("node", F.lit(0).alias("part"), "shingles")
+    if copies is None:
+        pairs = pairs.select("x", "y", F.lit(0).alias("xp"), F.lit(0).alias("yp"))
+    else:
+        again = sets.join(copies, sets["node"] == copies["cx"]).select("node", "spread", "shingles")
+        ready = ready.unionByName(in_parts(again, "spread", "part", first=1).select("node", "part", "shingles"))
+    ys = ready.select(F.col("node").alias("yn"), F.col("part").alias("yq"), F.col("shingles").alias("ys"))
+    xs = ready.select(F.col("node").alias("xn"), F.col("part").alias("xq"), F.col("shingles").alias("xs"))
+    both = pairs.join(ys, (pairs["y"] == ys["yn"]) & (pairs["yp"] == ys["yq"])).select("x", "y", "xp", "ys")
+    both = both.join(xs, (both["x"] == xs["xn"]) & (both["xp"] == xs["xq"])).select("x", "y", "xs", "ys")
     checked = bounded(both).mapInArrow(_confirm(similarity), "x binary, y binary, linked boolean")
     return checked.where("linked").select("x", "y")
 

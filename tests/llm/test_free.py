@@ -85,7 +85,9 @@ def brute_components(rows, width, share):
     return out
 
 
-def test_near_duplicates_by_brute_force(spark):
+@pytest.mark.parametrize("share", [256, 2])
+def test_near_duplicates_by_brute_force(spark, monkeypatch, share):
+    monkeypatch.setattr(minhash, "SHARE", share)
     rnd = random.Random(7)
     rows = list(ODD)
     n = 100
@@ -116,7 +118,9 @@ def near_threshold(family, planted):
     return rows
 
 
-def test_links_of_a_family_just_under_the_threshold(spark):
+@pytest.mark.parametrize("share", [256, 7])
+def test_links_of_a_family_just_under_the_threshold(spark, monkeypatch, share):
+    monkeypatch.setattr(minhash, "SHARE", share)
     rows = near_threshold(150, 40)
     got = minhash.report(minhash.cluster(docs(spark, rows), width=1, similarity=0.85)).collect()
     want = {k: v[1] for k, v in brute_components(rows, 1, 85).items()}
@@ -124,6 +128,19 @@ def test_links_of_a_family_just_under_the_threshold(spark):
     assert {r.id: r.component_id for r in got} == {rows[k][0]: c for k, c in want.items()}
 
 
+def test_large_buckets_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SHARE", 8)
+    members = spark.createDataFrame([(1, b"%d" % k, 10, k) for k in range(100)] + [(2, b"a", 10, 5), (2, b"b", 10, 6)], "key long, node binary, n long, fame long")
+    members = members.withColumn("root", F.col("node")).withColumn("parts", F.expr("if(key = 1, 13, 1)"))
+    centre = minhash.centres(members)
+    assert {(r.ck, bytes(r.cx), r.ps, r.spread) for r in centre.collect()} == {(1, b"99", 13, 13), (2, b"b", 1, 1)}
+    pairs = minhash.stars(members, centre, 0.8).collect()
+    assert {(bytes(r.x), bytes(r.y)) for r in pairs} == {(b"%d" % k, b"99") for k in range(99)} | {(b"a", b"b")}
+    parts = collections.Counter(r.yp for r in pairs if bytes(r.y) == b"99")
+    assert len(parts) == 13 and max(parts.values()) < 25 and all(r.xp == 0 for r in pairs)
+    assert minhash.open_buckets(members.drop("root"), None).count() == 102
+
+
 def test_prefixes_of_alike_sets_meet():
     rng = np.random.default_rng(4)
     for _ in range(300):
