@@ -40,6 +40,22 @@ def test_jaccard_pairs_by_brute_force(spark):
     assert {(r.a, r.b) for r in similarity.jaccard_pairs(df, "id", "items", 0.7).collect()} == want
 
 
+def test_jaccard_candidates_are_few_and_tiles_lose_no_pair(spark, monkeypatch):
+    """Unlike sets that share a rare word never leave the join, and groups split over tiles keep all their pairs."""
+    rng = np.random.default_rng(6)
+    base = [[f"w{x}" for x in rng.choice(400, 60, replace=False)] for _ in range(150)]
+    near = [[*b[: 60 - k], *[f"n{k}" for k in range(k)]] for b in base[:4] for k in range(1, 8)]
+    sets = [(i, list(dict.fromkeys(x))) for i, x in enumerate([*base, *near, [], ["w1", "w2"], ["w2", "w1", "w3"]])]
+    want = {(a, b) for a, x in sets for b, y in sets if a < b and x and y and len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y)) - 1e-9}
+    seen, keep = {}, similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df, label: seen.setdefault(label, keep(df, label)))
+    monkeypatch.setattr(similarity, "TILE", 3)
+    df = spark.createDataFrame(sets, "id int, items array<string>")
+    got = [(r.a, r.b) for r in similarity.jaccard_pairs(df, "id", "items", 0.8).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert seen["pairs"].count() <= 2 * len(want)
+
+
 def test_clusterings():
     x = np.array([[0.0], [0.1], [0.2], [5.0], [5.1], [9.0]])
     d = np.abs(x - x.T)
