@@ -1,4 +1,4 @@
-"""Weighted terms and k-means over vectors of any number of rows."""
+"""Reduced terms and k-means over vectors of any number of rows."""
 
 from __future__ import annotations
 
@@ -18,26 +18,6 @@ from pyspark.sql import functions as F
 from .similarity import cut
 
 
-def tf_idf(docs: DataFrame, ident: str, tokens: str, least_df: int = 2, most_share: float = 0.98, sublinear: bool = True) -> DataFrame:
-    """(ident, token, weight): smooth inverse document frequency, each document of length one."""
-    n = docs.agg(F.count("*").alias("n_docs"))
-    tf = docs.select(ident, F.explode(tokens).alias("token")).groupBy(ident, "token").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("token").agg(F.count("*").alias("df"))
-    df = df.withColumn("_k", F.lit(1)).join(F.broadcast(n.withColumn("_k", F.lit(1))), "_k").drop("_k")
-    df = df.where((F.col("df") >= least_df) & (F.col("df") <= most_share * F.col("n_docs")))
-    idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    raw = tf.join(df, "token").withColumn("w", ((1 + F.log("tf")) if sublinear else F.col("tf")) * idf)
-    length = raw.groupBy(ident).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    return raw.join(length, ident).select(ident, "token", (F.col("w") / F.col("length")).alias("weight"))
-
-
-def cosine_with(weights: DataFrame, queries: DataFrame, ident: str, query: str) -> DataFrame:
-    """(query, ident, cosine) for a stated set of queries against all rows, through shared tokens."""
-    q = queries.select(query, "token", F.col("weight").alias("qw"))
-    d = weights.select(ident, "token", "weight")
-    return d.join(q, "token").groupBy(query, ident).agg(F.sum(F.col("qw") * F.col("weight")).alias("cosine"))
-
-
 def kmeans_labels(df: DataFrame, ident: str, vector: Column, k: int, seeds: tuple[int, ...] = (1, 2, 3), weight: str | None = None) -> DataFrame:
     """(ident, cluster) of the best of several starts."""
     x = cut(df.select(ident, array_to_vector(vector.cast("array<double>")).alias("features"), *([weight] if weight else [])))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import aggregates, clustering, similarity, textmodels
+from ..operators import aggregates, alike, clustering, similarity, textmodels
 from ..session import table
 
 QUERIES, SQL = {}, {}
@@ -171,10 +171,7 @@ def kmeans(spark: SparkSession, d: str) -> DataFrame:
 def tfidf_search(spark: SparkSession, d: str) -> DataFrame:
     """Documents whose id is divisible by 100, and the five documents most like each by weighted terms."""
     docs = table(spark, d, "documents").select("doc_id", F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: F.char_length(w) >= 2).alias("tokens"))
-    w = similarity.cut(textmodels.tf_idf(docs, "doc_id", "tokens"))
-    q = w.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query")
-    near = textmodels.cosine_with(w, q, "doc_id", "query").where("query <> doc_id").withColumn("cosine", F.round("cosine", 6))
-    return aggregates.top_per_group(near, ["query"], [F.desc("cosine"), F.col("doc_id")], 5).select("query", "rank", "doc_id", "cosine")
+    return alike.most_alike(docs, "doc_id", "tokens", F.col("doc_id") % 100 == 0)
 
 
 SQL["tfidf_search"] = r"""
