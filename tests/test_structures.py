@@ -4,9 +4,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from sparrowmill import session
 from sparrowmill.functions import enrich, purposes, structure
 from sparrowmill.operators import matching, requests
-from sparrowmill.plans import structures
+from sparrowmill.plans import catalog, structures
 
 from .oracle import assert_same
 
@@ -115,3 +116,14 @@ def test_verdicts(spark):
 def test_lookups(spark):
     go = lambda t, *s: spark.range(1).select(requests.goes_to_results(F.lit(t), *[F.lit(x).cast("string") for x in s])).first()[0]
     assert go("카페 관련 정책", None, "food") and not go("카페 관련 정책", None, "") and not go("카페", "food") and not go(None, "food")
+
+
+def test_rows_that_cost_much_are_dealt_over_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(1000, numPartitions=1)
+    dealt = session.spread(few)
+    sizes = [len(p) for p in dealt.rdd.glom().collect()]
+    assert len(sizes) >= 4 * cores and sum(sizes) == 1000 and max(sizes) <= 1000 // len(sizes) + 1
+    queries = catalog.queries()
+    for name in ("purpose_sentences", "notice_kinds", "purpose_scores", "structure_digests", "amount_structure"):
+        assert queries[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4 * cores, name
