@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import enrich, purposes, quality, structure
 from ..operators import matching, requests
-from ..session import table
+from ..session import spread, table
 
 QUERIES, SQL = {}, {}
 
@@ -47,7 +47,7 @@ _TITLE = _case(_TITLE_KIND, ["'창업 지원 사업'", "'경영안정자금 이
 @query
 def amount_structure(spark: SparkSession, d: str) -> DataFrame:
     """What each applicant gets, how many are chosen, the whole budget, and how each is known, of orders written as notices."""
-    rows = table(spark, d, "orders").selectExpr("o_orderkey", f"{_TITLE} AS title", f"concat({_EACH}, {_FILLER}, {_SIZE}, {_FILLER}, {_BUDGET}, {_FILLER}) AS body")
+    rows = spread(table(spark, d, "orders")).selectExpr("o_orderkey", f"{_TITLE} AS title", f"concat({_EACH}, {_FILLER}, {_SIZE}, {_FILLER}, {_BUDGET}, {_FILLER}) AS body")
     return structure.with_amounts(rows, F.col("body"), F.col("title")).drop("title", "body")
 
 
@@ -122,7 +122,7 @@ _PURPOSE = "concat(" + ", ".join(
 def purpose_scores(spark: SparkSession, d: str) -> DataFrame:
     """Scores of purposes put together from three phrases, and how many issues of each kind they have."""
     p = quality.KOREAN
-    rows = table(spark, d, "part").selectExpr("p_partkey", f"{_PURPOSE} AS purpose")
+    rows = spread(table(spark, d, "part")).selectExpr("p_partkey", f"{_PURPOSE} AS purpose")
     rows = rows.select("p_partkey", quality.score(F.col("purpose"), p).alias("score"), quality.issues(F.col("purpose"), p).alias("i"))
     n = [(F.size("i") - F.size(F.array_remove("i", k))).cast("long").alias(k) for k in quality.PENALTIES]
     return rows.select("p_partkey", "score", quality.grade(F.col("score")).alias("grade"), *n)
