@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .similarity import cut
+from .similarity import cut, written
 
 
 def kmeans_labels(df: DataFrame, ident: str, vector: Column, k: int, seeds: tuple[int, ...] = (1, 2, 3), weight: str | None = None) -> DataFrame:
@@ -48,30 +48,61 @@ def grams(text: Column) -> Column:
     return F.transform(F.array(found), with_pairs)[0]
 
 
+#: Slots that occurrences are counted in before terms are counted by themselves.
+SLOTS = 1 << 18
+
+
 def vocabulary(docs: DataFrame, tokens: Column, most: int = 3000, least_df: int = 2, most_share: float = 0.98) -> DataFrame:
     """(term, at, idf): of the terms in enough and not too many documents the ``most`` frequent ones, ties by spelling.
 
-    Both counts combine before they are shuffled, and the table has ``most`` rows at most, so it may be sent to all tasks.
+    Occurrences are first counted by slot of the terms' hashes, a bounded table. A term occurs no more often than its slot,
+    so only terms of the fullest slots are counted by themselves; where the last one taken is rarer than a slot left out,
+    more slots are taken. The result has ``most`` rows at most, so it may be sent to all tasks.
     """
     spark, n_docs = docs.sparkSession, docs.count()
-    often = docs.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("often"))
-    df = docs.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    known = df.where((F.col("df") >= least_df) & (F.col("df") <= most_share * n_docs)).join(often, "term")
-    top = known.orderBy(F.desc("often"), "term").limit(most).collect()
+    slots = docs.select(F.explode(tokens).alias("term")).groupBy(F.pmod(F.hash("term"), F.lit(SLOTS)).alias("slot")).agg(F.count("*").alias("n")).orderBy(F.desc("n")).toArrow()
+    totals, taken = slots["n"].to_numpy(), 4 * most
+    while True:
+        full = F.broadcast(spark.createDataFrame(slots.slice(0, taken).select(["slot"]))) if taken < len(totals) else None
+        # Each term of a document once for its occurrences and once for the document, so that texts are split once.
+        both = F.concat(F.transform(tokens, lambda t: F.struct(t.alias("t"), F.lit(0).alias("d"))), F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("t"), F.lit(1).alias("d"))))
+        each = docs.select(F.explode(both).alias("x")).select(F.col("x.t").alias("term"), "x.d")
+        if full is not None:
+            each = each.withColumn("slot", F.pmod(F.hash("term"), F.lit(SLOTS))).join(full, "slot")
+        known = each.groupBy("term").agg(F.sum(1 - F.col("d")).alias("often"), F.sum("d").alias("df"))
+        known = known.where((F.col("df") >= least_df) & (F.col("df") <= most_share * n_docs))
+        top = known.orderBy(F.desc("often"), "term").limit(most).collect()
+        if full is None or len(top) == most and top[-1].often > totals[taken]:
+            break
+        taken *= 8
     rows = [(r.term, k, float(np.log((1 + n_docs) / (1 + r.df)) + 1)) for k, r in enumerate(sorted(top, key=lambda r: r.term))]
     return spark.createDataFrame(rows, "term string, at int, idf double")
 
 
 def term_rows(docs: DataFrame, ident: str, tokens: Column, known: DataFrame) -> DataFrame:
-    """(ident, ats, weights): sublinear tf-idf of unit length by ascending column; empty for rows without known terms."""
-    hits = docs.select(ident, F.explode(tokens).alias("term")).join(F.broadcast(known), "term")
-    tf = hits.groupBy(ident, "at", "idf").agg(((1 + F.log(F.count("*"))) * F.col("idf")).alias("w"))
-    rows = tf.groupBy(ident).agg(F.sort_array(F.collect_list(F.struct("at", "w"))).alias("t"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    rows = docs.select(ident).join(rows, ident, "left")
-    weights = F.transform("t.w", lambda w: w / F.col("norm"))
-    return rows.select(
-        ident, F.coalesce("t.at", F.array().cast("array<int>")).alias("ats"), F.coalesce(weights, F.array().cast("array<double>")).alias("weights")
-    )
+    """(ident, ats, weights): sublinear tf-idf of unit length by ascending column; empty for rows without known terms. Nothing is shuffled."""
+    table_ = known.orderBy("at").toArrow()
+    shipped = docs.sparkSession.sparkContext.broadcast((table_["term"].combine_chunks(), table_["at"].to_numpy(), table_["idf"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, ats, idf = shipped.value
+        for whole in batches:
+            for batch in _bounded(whole, 1024):
+                lists = batch.column("tokens")
+                n = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                words = lists.flatten().dictionary_encode()
+                found = pa.compute.fill_null(pa.compute.index_in(words.dictionary, value_set=terms), -1).to_numpy()[words.indices.to_numpy()]
+                row = np.repeat(np.arange(len(n)), n)[found >= 0]
+                key, tf = np.unique(row * max(1, len(terms)) + found[found >= 0], return_counts=True)
+                row, k = np.divmod(key, max(1, len(terms)))
+                w = (1 + np.log(tf)) * idf[k]
+                w = w / np.sqrt(np.bincount(row, w * w, len(n)))[row]
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(n)))]), pa.int32())
+                cols = [pa.ListArray.from_arrays(ends, pa.array(ats[k], pa.int32())), pa.ListArray.from_arrays(ends, pa.array(w, pa.float64()))]
+                yield pa.record_batch([batch.column(ident), *cols], names=[ident, "ats", "weights"])
+
+    kind = docs.schema[ident].dataType.simpleString()
+    return docs.select(ident, tokens.alias("tokens")).mapInArrow(run, f"`{ident}` {kind}, ats array<int>, weights array<double>")
 
 
 def _dense(batch: pa.RecordBatch, width: int) -> np.ndarray:
@@ -159,7 +190,7 @@ def reduce_texts(docs: DataFrame, ident: str, text: Column, terms: int = 3000, k
     """(term rows, their reduction): words and pairs, the most frequent ``terms``, k dimensions."""
     tokens = docs.select(ident, grams(text).alias("grams"))
     known = vocabulary(tokens, F.col("grams"), terms)
-    rows = cut(term_rows(tokens, ident, F.col("grams"), known))
+    rows = written(term_rows(tokens, ident, F.col("grams"), known), "terms")
     return rows, truncated_svd(rows, ident, known.count(), k)
 
 
