@@ -23,9 +23,11 @@ SPELLINGS = (("위하여", "위해"), ("하고자", "하기 위해"))
 CLOSINGS = ("(?:다음|아래)과 같이", "하오니", "바라며", "공고합니다", "바랍니다", "안내드립니다")
 LAW_WITH_ARTICLE = r"「[^」]*(?:법률|법|조례|규정|시행령)[^」]*」\s*(?:제\d+조[^,]*(?:,\s*제\d+조[^,]*)?)?\s*(?:에\s*(?:따라|의거|의한|따른))?\s*"
 LAW = "「[^」]*(?:법률|법|조례|규정)[^」]*」"
-FOR_THE_SAKE_OF = r".{10,80}?[을를]\s*위해"
+FOR_THE_SAKE_OF = 10, 80, r"[을를]\s*위해"
+"""Least and most characters before a phrase's end, and that end."""
 SPEAKERS = ("에서는", "센터는", "재단은", "진흥원은", "공단은", "진흥원의", "공단이")
 AIMS = ("지원", "강화", "안정", "활성화", "도모", "촉진", "완화", "해소")
+MEANS_AND_AIM = 10, 60, rf"(?:으로|로)\s*.{{5,30}}?(?:{'|'.join(AIMS)})"
 ENDINGS = (" 진행하는 사업이에요.", "하는 사업이에요.")
 # -------------------------------------------------------------------------------------------------------------------
 
@@ -38,6 +40,17 @@ def _first(text: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(text, "(?U)" + pattern, 0), F.lit(""))
 
 
+def _led(text: Column, least: int, most: int, end: str) -> Column:
+    """The first match of an end with least to most characters before it, as few as that start allows; null without one.
+
+    No match starts more than ``most`` characters before the first end, so it is searched for from there on only: one look
+    at each place in place of up to ``most``.
+    """
+    before = F.regexp_extract(text, f"(?U)^((?s:.*?)){end}", 1)
+    near = F.substr(text, F.greatest(F.char_length(before) - most + 1, F.lit(1)))
+    return F.when(F.rlike(text, F.lit("(?U)" + end)), _first(near, f".{{{least},{most}}}?{end}"))
+
+
 def _strip(text: Column) -> Column:
     return _swap(text, r"^\s+|\s+\z")
 
@@ -99,8 +112,8 @@ def whole(text: Column, least: int = 15, most: int = 120) -> Column:
 
 def core(tidied: Column) -> Column:
     """A phrase 'for the sake of', else one that names a means and an aim, each as a sentence, else the text itself."""
-    sake = _swap(F.trim(_first(tidied, FOR_THE_SAKE_OF)), rf"^.{{0,30}}?(?:{'|'.join(SPEAKERS)})\s*")
-    means = _first(tidied, rf".{{10,60}}?(?:으로|로)\s*.{{5,30}}?(?:{'|'.join(AIMS)})")
+    sake = _swap(F.trim(_led(tidied, *FOR_THE_SAKE_OF)), rf"^.{{0,30}}?(?:{'|'.join(SPEAKERS)})\s*")
+    means = _led(tidied, *MEANS_AND_AIM)
     done = lambda x, end: F.concat(F.regexp_replace(F.trim(x), r"\.+\z", ""), F.lit(end))
     return F.when(F.char_length(sake) > 20, done(sake, ENDINGS[0])).when(means.isNotNull(), done(means, ENDINGS[1])).otherwise(whole(tidied))
 

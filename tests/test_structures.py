@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,6 +31,25 @@ def test_walk_by_brute_force(spark):
     assert got == {i: "/".join(seen(t, m) for m in re.finditer(pattern, t)) for i, t in enumerate(texts)}
 
 
+def test_phrases_by_their_ends(spark):
+    rng = random.Random(5)
+    parts = ["을 위해", "를\n위해", "을위해", "으로 ", "로", "지원", "안정", "가나다라마바", "😀", "\n", " ", "x" * 25]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(600)] + ["", "가" * 90 + "을 위해", "을 위해" + "😀" * 90 + "을  위해"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for least, most, end in (purposes.FOR_THE_SAKE_OF, purposes.MEANS_AND_AIM):
+        got = {r.id: r.x for r in rows.select("id", purposes._led(F.col("t"), least, most, end).alias("x")).collect()}
+        want = {i: m[0] if (m := re.search(f".{{{least},{most}}}?{end}", t)) else None for i, t in enumerate(texts)}
+        assert got == want and len(set(want.values())) > 50
+
+
+def test_phrases_of_a_long_text(spark):
+    rows = spark.createDataFrame([("가나다 라마바 " * 700_000,)], "t string").select("t").cache()
+    rows.count()
+    began = time.perf_counter()
+    assert rows.select(purposes.core(F.col("t")).alias("x")).first().x.endswith("...")
+    assert time.perf_counter() - began < 8
+
+
 AMOUNTS = [
     (None, None, (None, None, None, None, None, None, "none")),
     ("", "", (None, None, None, None, None, None, "none")),
