@@ -19,9 +19,10 @@ rows. Other columns pass through.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -162,36 +163,57 @@ def write_scan(value, length, lane, strips) -> list[bytes]:
     """The entropy-coded bytes of each strip."""
     _, last, number, first = strips
     some = np.flatnonzero(length)
-    raw, start = pack_lanes(value[some], length[some], lane[some], len(last))
+    raw, start = pack_lanes(value[some], length[some].astype(np.int64), lane[some], len(last))
     out, begin = with_markers(raw, start, last, number)
     data = out.tobytes()
     edge = begin[first]
     return [data[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
+def joined(value: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring cells of each row made one while 32 bits hold them: the same bits in fewer cells."""
+    while value.shape[1] > 1:
+        if value.shape[1] % 2:
+            value, length = (np.pad(x, ((0, 0), (0, 1))) for x in (value, length))
+        both = length[:, ::2] + length[:, 1::2]
+        if both.max(initial=0) > 32:
+            break
+        value, length = value[:, ::2] << length[:, 1::2].astype(U64) | value[:, 1::2], both
+    return value, length
+
+
+@lru_cache(maxsize=64)
+def cells(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """For 256 times the zeros before a coefficient and its value as a byte: its bits and how many; none for 0."""
+    code, bits = writer(segment)
+    v = np.arange(256).astype(np.uint8).view(np.int8).astype(np.int64)
+    size = category(v)
+    symbol = np.arange(16)[:, None] << 4 | size
+    value, length = code[symbol] << size.astype(U64) | magnitude(v, size), bits[symbol] + size
+    return np.where(v == 0, U64(0), value).ravel(), np.where(v == 0, 0, length).ravel().astype(np.int8)
+
+
 def ac_first(c: np.ndarray, low: int, high: int, shift: int, table_: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Values and lengths of a first scan: a cell for each coefficient, with zeros before it, and one for the end."""
+    """Values and lengths of a first scan of 8-bit coefficients: a cell for each, with zeros before it, and one for the end."""
     code, bits = writer(table_)
-    part = c[:, low : high + 1].astype(np.int64)
-    v = np.sign(part) * (np.abs(part) >> shift)
+    part = c[:, low : high + 1]
+    v = (part + (part < 0) * np.int16((1 << shift) - 1) >> shift).astype(np.int8)
     width = v.shape[1]
-    here = np.where(v != 0, np.arange(width), -1)
-    before = np.full_like(here, -1)
-    np.maximum.accumulate(here[:, :-1], axis=1, out=before[:, 1:])
-    row, k = np.nonzero(v)
-    x = v[row, k]
-    run, size = k - before[row, k] - 1, category(x)
-    symbol = (run & 15) << 4 | size
-    value = code[symbol] << size.astype(U64) | magnitude(x, size)
-    length = bits[symbol] + size
-    skip = run >> 4
-    if skip.any():
-        for n in (3, 2, 1):
-            more = np.flatnonzero(skip >= n)
-            value[more] |= code[0xF0] << length[more].astype(U64)
-            length[more] += bits[0xF0]
-    values, lengths = np.zeros((len(c), width + 1), U64), np.zeros((len(c), width + 1), np.int64)
-    values[row, k], lengths[row, k] = value, length
+    here = np.where(v != 0, np.arange(width, dtype=np.int8), np.int8(-1))
+    run = np.empty_like(here)
+    run[:, 0] = 0
+    np.maximum.accumulate(here[:, :-1], axis=1, out=run[:, 1:])
+    run[:, 1:] = np.arange(width - 1, dtype=np.int8) - run[:, 1:]
+    at = (run & 15).astype(np.int64) << 8 | v.view(np.uint8)
+    values, lengths = np.zeros((len(c), width + 1), U64), np.zeros((len(c), width + 1), np.int8)
+    value, length = cells(table_)
+    values[:, :width], lengths[:, :width] = value[at], length[at]
+    row, k = np.nonzero((run > 15) & (v != 0))
+    skip = run[row, k] >> 4
+    for n in (3, 2, 1):
+        r, x = row[skip >= n], k[skip >= n]
+        values[r, x] |= code[0xF0] << lengths[r, x].astype(U64)
+        lengths[r, x] += np.int8(bits[0xF0])
     open_ = v[:, -1] == 0
     values[open_, width], lengths[open_, width] = code[0], bits[0]
     return values, lengths
@@ -200,10 +222,18 @@ def ac_first(c: np.ndarray, low: int, high: int, shift: int, table_: bytes) -> t
 def ac_refine(c: np.ndarray, low: int, high: int, shift: int, table_: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Values and lengths of a refinement: before each coefficient a cell for a symbol, and one for its correction bit."""
     code, bits = writer(table_)
-    part = c[:, low : high + 1].astype(np.int64)
+    part = c[:, low : high + 1]
     a = np.abs(part) >> shift
     width = a.shape[1]
     old, new = a > 1, a == 1
+    values, lengths = np.zeros((len(c), width, 2), U64), np.zeros((len(c), width, 2), np.int8)
+    values[:, :, 1], lengths[:, :, 1] = a & old, old
+    values[:, :, 1] &= U64(1)
+    # Without a new coefficient a block's end comes first; the others are gone through.
+    some = new.any(axis=1)
+    values[~some, 0, 0], lengths[~some, 0, 0] = code[0], bits[0]
+    at = np.flatnonzero(some)
+    part, a, new = part[at], a[at], new[at]
     zero = a == 0
     # Zeros are counted from the last new coefficient on; every 16th ends a symbol if a new coefficient follows.
     count = np.cumsum(zero, axis=1)
@@ -226,12 +256,10 @@ def ac_refine(c: np.ndarray, low: int, high: int, shift: int, table_: bytes) ->
     sign = (part[row, k] > 0).astype(U64)
     value = np.where(is_new, value << U64(1) | sign, value)
     length += is_new
-    values, lengths = np.zeros((len(c), width, 2), U64), np.zeros((len(c), width, 2), np.int64)
-    values[row, start, 0], lengths[row, start, 0] = value, length
-    end = np.where(stop, np.arange(width), -1).max(axis=1) + 1
+    values[at[row], start, 0], lengths[at[row], start, 0] = value, length
+    end = np.where(stop, np.arange(width), -1).max(axis=1, initial=-1) + 1
     left = np.flatnonzero(end < width)
-    values[left, end[left], 0], lengths[left, end[left], 0] = code[0], bits[0]
-    values[:, :, 1], lengths[:, :, 1] = (a & 1).astype(U64), old
+    values[at[left], end[left], 0], lengths[at[left], end[left], 0] = code[0], bits[0]
     return values.reshape(len(c), -1), lengths.reshape(len(c), -1)
 
 
@@ -293,8 +321,8 @@ def write(payloads: list[np.ndarray]) -> list[bytes]:
     planes = (sizes[:, None] * np.array([4, 1, 1])).ravel()
     strips = lanes_of(planes, INTERVAL)
 
-    def coded(cells) -> list[bytes]:
-        values, lengths = cells
+    def coded(found) -> list[bytes]:
+        values, lengths = joined(*found)
         return write_scan(values.ravel(), lengths.ravel(), np.repeat(strips[0], lengths.shape[1]), strips)
 
     firsts = [coded(ac_first(c, a, b, 1, ac)) for a, b in BANDS]
@@ -324,12 +352,12 @@ class Image:
 
     def __init__(self, data: bytes) -> None:
         self.data, self.quantisers, self.scans, self.payload_bytes, self.interval = data, {}, [], None, 0
-        self.components: list[dict] = []
+        self.components, self.ids = [], ()
         raw = np.frombuffer(data, np.uint8)
         ff = np.flatnonzero(raw[:-1] == 255)
         after = raw[ff + 1]
-        real = ff[(after != 0) & ((after < 0xD0) | (after > 0xD7))]
-        tables: dict[int, bytes] = {}
+        real = ff[(after != 0) & ((after < 0xD0) | (after > 0xD7))].tolist()
+        tables: tuple[tuple[int, bytes], ...] = ()
         if data[:2] != b"\xff\xd8":
             raise ValueError("not a JPEG file")
         at = 2
@@ -341,13 +369,15 @@ class Image:
             body = data[at + 4 : at + 2 + size]
             at += 2 + size
             if kind == 0xC2:
-                self.frame(body)
+                if self.components:
+                    raise ValueError("several frames")
+                self.__dict__.update(frame_of(body))
             elif 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
                 raise ValueError("not a progressive JPEG file")
             elif kind == 0xC4:
                 while body:
                     n = 17 + sum(body[1:17])
-                    tables[body[0]] = body[1:n]
+                    tables = (*(x for x in tables if x[0] != body[0]), (body[0], body[1:n]))
                     body = body[n:]
             elif kind == 0xDB:
                 while body:
@@ -359,71 +389,65 @@ class Image:
             elif kind == 0xEB and body[:8] == b"payload\x00":
                 self.payload_bytes = int.from_bytes(body[8:16], "big")
             elif kind == 0xDA:
-                end = int(real[np.searchsorted(real, at)])
-                self.scans.append(self.scan(body, tables, at, end))
+                end = real[bisect.bisect_left(real, at)]
+                which, key = scan_of(body, self.ids, tables)
+                self.scans.append({"which": which, "key": key, "start": at, "end": end, "interval": self.interval})
                 at = end
         if not self.components:
             raise ValueError("not a progressive JPEG file")
 
-    def frame(self, body: bytes) -> None:
-        self.tall, self.wide = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big")
-        for k in range(body[5]):
-            i, hv, q = body[6 + 3 * k : 9 + 3 * k]
-            self.components.append({"id": i, "h": hv >> 4, "v": hv & 15, "q": q})
-        self.most_h, self.most_v = max(c["h"] for c in self.components), max(c["v"] for c in self.components)
-        self.mcus = -(-self.wide // (8 * self.most_h)), -(-self.tall // (8 * self.most_v))
-        for c in self.components:
-            # Blocks that scans of the component alone hold, and all that MCUs hold.
-            c["own"] = -(-self.wide * c["h"] // (8 * self.most_h)), -(-self.tall * c["v"] // (8 * self.most_v))
-            c["blocks"] = self.mcus[0] * c["h"], self.mcus[1] * c["v"]
-        start = 0
-        for c in self.components:
-            c["start"] = start
-            start += c["blocks"][0] * c["blocks"][1]
-        self.n_blocks = start
-
-    def scan(self, body: bytes, tables: dict, start: int, end: int) -> dict:
-        n = body[0]
-        which = [next(k for k, c in enumerate(self.components) if c["id"] == body[1 + 2 * i]) for i in range(n)]
-        low, high, hl = body[1 + 2 * n : 4 + 2 * n]
-        used = tuple((tables.get(body[2 + 2 * i] >> 4), tables.get(16 | body[2 + 2 * i] & 15)) for i in range(n))
-        return {"which": tuple(which), "key": (n, low, high, hl >> 4, hl & 15, used), "start": start, "end": end, "interval": self.interval}
-
-    def order(self, which: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    def order(self, which: tuple[int, ...]) -> tuple[np.ndarray, tuple[int, ...]]:
         """Blocks in scan order (units, blocks of a unit), and which of the scan's components each column is."""
-        parts = tuple((c["start"], c["h"], c["v"], c["own"], c["blocks"]) for c in (self.components[w] for w in which))
-        return scan_order(self.mcus, parts)
+        if which not in self.orders:
+            parts = tuple((c["start"], c["h"], c["v"], c["own"], c["blocks"]) for c in (self.components[w] for w in which))
+            self.orders[which] = scan_order(self.mcus, parts)
+        return self.orders[which]
+
+    def passes(self) -> list[list[dict]]:
+        """Scans that follow each other, are read alike and share no component are read in one pass."""
+        out: list[list[dict]] = []
+        for s in self.scans:
+            if out and out[-1][0]["key"] == s["key"] and not any(set(s["which"]) & set(x["which"]) for x in out[-1]):
+                out[-1].append(s)
+            else:
+                out.append([s])
+        return out
+
+    def shape(self) -> tuple:
+        """What images that are transformed together have in common."""
+        return self.body, tuple((k, q.tobytes()) for k, q in sorted(self.quantisers.items()))
 
     def planes(self, coefficients: np.ndarray) -> list[np.ndarray]:
-        """Samples of each component, 8 bits."""
+        """Samples of each component, 8 bits; like all of these for one image or a stack of the same shape."""
         out = []
         for c in self.components:
             wide, tall = c["blocks"]
-            own = coefficients[c["start"] : c["start"] + wide * tall].astype(np.float32)
+            own = coefficients[..., c["start"] : c["start"] + wide * tall, :].astype(np.float32)
             if (q := self.quantisers.get(c["q"])) is not None and q.max() > 1:
                 own *= q
             x = own @ inverse_transform()
             x += 128.5
             np.clip(x, 0, 255, out=x)
-            out.append(x.astype(np.uint8).reshape(tall, wide, 8, 8).swapaxes(1, 2).reshape(tall * 8, wide * 8))
+            stack = x.shape[:-2]
+            out.append(x.astype(np.uint8).reshape(*stack, tall, wide, 8, 8).swapaxes(-3, -2).reshape(*stack, tall * 8, wide * 8))
         return out
 
     def full_size(self, plane: np.ndarray, component: dict) -> np.ndarray:
         """A plane at the image's resolution, each sample repeated."""
-        for axis, n in ((0, self.most_v // component["v"]), (1, self.most_h // component["h"])):
+        for axis, n in ((-2, self.most_v // component["v"]), (-1, self.most_h // component["h"])):
             if n > 1:
                 plane = np.repeat(plane, n, axis=axis)
-        return plane[: self.tall, : self.wide]
+        return plane[..., : self.tall, : self.wide]
 
-    def rgb(self, coefficients: np.ndarray) -> np.ndarray:
-        """The image at full resolution: (tall, wide, 3), 8 bits."""
+    def channels(self, coefficients: np.ndarray) -> np.ndarray:
+        """The image at full resolution: (3, tall, wide), 8 bits."""
         planes = self.planes(coefficients)
         y = self.full_size(planes[0], self.components[0])
         if len(planes) < 3:
-            return np.repeat(y[:, :, None], 3, axis=2)
+            return np.repeat(y[..., None, :, :], 3, axis=-3)
         blue, red = self.components[1], self.components[2]
         b, r = planes[1].astype(np.float32) - 128, planes[2].astype(np.float32) - 128
-        out = np.empty((self.tall, self.wide, 3), np.uint8)
+        out = np.empty((*y.shape[:-2], 3, self.tall, self.wide), np.uint8)
         y = y.astype(np.int16)
         if (blue["h"], blue["v"]) != (red["h"], red["v"]):
             b, r = self.full_size(b, blue), self.full_size(r, red)
@@ -431,16 +455,51 @@ class Image:
         # Luma is whole, so chroma's part can be rounded before it is upsampled.
         for k, part in enumerate((1.402 * r, -0.344136 * b - 0.714136 * r, 1.772 * b)):
             part = self.full_size(np.floor(part + 0.5).astype(np.int16), blue)
-            out[:, :, k] = np.clip(y + part, 0, 255)
+            out[..., k, :, :] = np.clip(y + part, 0, 255)
         return out
 
+    def rgb(self, coefficients: np.ndarray) -> np.ndarray:
+        """The image at full resolution: (tall, wide, 3), 8 bits."""
+        return np.moveaxis(self.channels(coefficients), -3, -1)
+
+
+@lru_cache(maxsize=4096)
+def frame_of(body: bytes) -> dict:
+    """What a frame's segment says; images of equal ones share it and its orders."""
+    tall, wide, components = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big"), []
+    for k in range(body[5]):
+        i, hv, q = body[6 + 3 * k : 9 + 3 * k]
+        components.append({"id": i, "h": hv >> 4, "v": hv & 15, "q": q})
+    most_h, most_v = max(c["h"] for c in components), max(c["v"] for c in components)
+    mcus, start = (-(-wide // (8 * most_h)), -(-tall // (8 * most_v))), 0
+    for c in components:
+        # Blocks that scans of the component alone hold, and all that MCUs hold.
+        c["own"] = -(-wide * c["h"] // (8 * most_h)), -(-tall * c["v"] // (8 * most_v))
+        c["blocks"] = mcus[0] * c["h"], mcus[1] * c["v"]
+        c["start"] = start
+        start += c["blocks"][0] * c["blocks"][1]
+    return {
+        "body": body, "tall": tall, "wide": wide, "components": components, "ids": tuple(c["id"] for c in components), "most_h": most_h,
+        "most_v": most_v, "mcus": mcus, "n_blocks": start, "orders": {},
+    }
+
+
+@lru_cache(maxsize=4096)
+def scan_of(body: bytes, ids: tuple[int, ...], tables: tuple[tuple[int, bytes], ...]) -> tuple[tuple[int, ...], tuple]:
+    """Which components a scan holds, and how it is read."""
+    n, known = body[0], dict(tables)
+    which = tuple(ids.index(body[1 + 2 * i]) for i in range(n))
+    low, high, hl = body[1 + 2 * n : 4 + 2 * n]
+    used = tuple((known.get(body[2 + 2 * i] >> 4), known.get(16 | body[2 + 2 * i] & 15)) for i in range(n))
+    return which, (n, low, high, hl >> 4, hl & 15, used)
+
 
 @lru_cache(maxsize=8192)
-def scan_order(mcus: tuple[int, int], parts: tuple) -> tuple[np.ndarray, np.ndarray]:
+def scan_order(mcus: tuple[int, int], parts: tuple) -> tuple[np.ndarray, tuple[int, ...]]:
     if len(parts) == 1:
         start, _, _, (wide, tall), blocks = parts[0]
         r, k = np.divmod(np.arange(wide * tall), wide)
-        return (start + r * blocks[0] + k)[:, None], np.zeros(1, np.int64)
+        return (start + r * blocks[0] + k)[:, None], (0,)
     r, k = np.divmod(np.arange(mcus[0] * mcus[1]), mcus[0])
     out, column = [], []
     for i, (start, h, v, _, blocks) in enumerate(parts):
@@ -448,7 +507,7 @@ def scan_order(mcus: tuple[int, int], parts: tuple) -> tuple[np.ndarray, np.ndar
             for x in range(h):
                 out.append(start + (r * v + y) * blocks[0] + k * h + x)
                 column.append(i)
-    return np.stack(out, axis=1), np.array(column)
+    return np.stack(out, axis=1), tuple(column)
 
 
 class Bits:
@@ -469,16 +528,30 @@ class Bits:
         """Of each lane, its first bit."""
         self.lanes = np.diff(np.searchsorted(begin, edge))
         """Of each part, how many lanes it has."""
-        b = np.concatenate([raw[keep], np.zeros(8, np.uint8)]).astype(U64)
-        n = len(b) - 4
-        self.window = b[:n] << U64(32) | b[1 : n + 1] << U64(24) | b[2 : n + 2] << U64(16) | b[3 : n + 3] << U64(8) | b[4 : n + 4]
+        self.raw = np.concatenate([raw[keep], np.zeros(8, np.uint8)])
+
+    @cached_property
+    def window(self) -> np.ndarray:
+        """40 bits from each byte on."""
+        b, n = self.raw.astype(U64), len(self.raw) - 4
+        return b[:n] << U64(32) | b[1 : n + 1] << U64(24) | b[2 : n + 2] << U64(16) | b[3 : n + 3] << U64(8) | b[4 : n + 4]
+
+    @cached_property
+    def short(self) -> np.ndarray:
+        """24 bits from each byte on."""
+        b = self.raw.astype(np.int64)
+        return b[:-2] << 16 | b[1:-1] << 8 | b[2:]
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        return np.unpackbits(self.raw)
 
     def peek(self, at: np.ndarray) -> np.ndarray:
         """32 bits from each position on."""
         return (self.window[np.minimum(at >> 3, len(self.window) - 1)] >> (8 - (at & 7)).astype(U64)).astype(np.int64) & 0xFFFFFFFF
 
     def bit(self, at: np.ndarray) -> np.ndarray:
-        return self.peek(at) >> 31
+        return self.single.take(at, mode="clip")
 
 
 def extend(extra: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -495,18 +568,30 @@ def read_symbol(bits: Bits, at: np.ndarray, table_: np.ndarray) -> tuple[np.ndar
     return found & 255, found >> 8, ahead
 
 
-def read_dc(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarray, column: np.ndarray, key: tuple) -> None:
+@lru_cache(maxsize=64)
+def whole_codes(segment: bytes) -> np.ndarray:
+    """For 16 bits to come that hold all of a coefficient, of 16 zeros or of a block's end: value, end, zeros and length; else 0."""
+    found, ahead = reader(segment), np.arange(1 << 16)
+    symbol, length = found & 255, found >> 8
+    run, size = symbol >> 4, symbol & 15
+    total = length + size
+    value = extend(ahead >> np.maximum(16 - total, 0) & (1 << size) - 1, size)
+    fits = (length > 0) & (total <= 16) & ((size > 0) | (run == 15) | (run == 0))
+    return np.where(fits, value << 16 | (symbol == 0) << 12 | run << 8 | total, 0)
+
+
+def read_dc(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarray, column: tuple[int, ...], key: tuple) -> None:
     """block: blocks of all lanes in order; count: how many each lane has; column: their components, in turn."""
     _, _, _, before, shift, used = key
     start = np.concatenate([[0], np.cumsum(count)])
     if before:
         at = np.repeat(bits.first, count) + np.arange(len(block)) - np.repeat(start[:-1], count)
-        c[block, 0] |= (bits.bit(at) << shift).astype(np.int16)
+        c[block, 0] |= bits.bit(at).astype(np.int16) << shift
         return
     at, guess = bits.first.copy(), np.zeros((len(count), len(used)), np.int64)
     for k in range(int(count.max(initial=0))):
         on = np.flatnonzero(count > k)
-        i = int(column[k % len(column)])
+        i = column[k % len(column)]
         size, length, ahead = read_symbol(bits, at[on], reader(used[i][0]))
         extra = ahead >> (32 - length - size) & (np.int64(1) << size) - 1
         guess[on, i] += extend(extra, size)
@@ -516,7 +601,7 @@ def read_dc(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarray, col
 
 def read_ac_first(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarray, key: tuple) -> None:
     _, low, high, _, shift, used = key
-    table_ = reader(used[0][1])
+    table_, quick = reader(used[0][1]), whole_codes(used[0][1])
     start = np.concatenate([[0], np.cumsum(count)])
     at, skip = bits.first.copy(), np.zeros(len(count), np.int64)
     for n in range(int(count.max(initial=0))):
@@ -526,6 +611,23 @@ def read_ac_first(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarra
         on = on[~idle]
         k, pos, row = np.full(len(on), low, np.int64), at[on], block[start[on] + n]
         while len(on):
+            found = quick[bits.short.take(pos >> 3, mode="clip") >> 8 - (pos & 7) & 0xFFFF]
+            if found.all():
+                pos += found & 255
+                k += found >> 8 & 15
+                value, end = found >> 16, found & 4096 > 0
+                if value.all():
+                    c[row, k] = value << shift
+                else:
+                    put = np.flatnonzero(value)
+                    c[row[put], k[put]] = value[put] << shift
+                k += 1
+                done = end | (k > high)
+                if done.any():
+                    at[on[done]] = pos[done]
+                    left = ~done
+                    on, k, pos, row = on[left], k[left], pos[left], row[left]
+                continue
             symbol, length, ahead = read_symbol(bits, pos, table_)
             run, size = symbol >> 4, symbol & 15
             end = (size == 0) & (run < 15)
@@ -550,15 +652,16 @@ def read_ac_refine(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarr
     table_ = reader(used[0][1])
     start = np.concatenate([[0], np.cumsum(count)])
     width = high - low + 1
-    old = c[block, low : high + 1] != 0
-    olds = np.zeros((len(block), width + 1), np.int64)
+    part = c[block, low : high + 1]
+    old = part != 0
+    olds = np.zeros((len(block), width + 1), np.int16)
     np.cumsum(old, axis=1, out=olds[:, 1:])
-    zeros = np.arange(width + 1) - olds
+    zeros = np.arange(width + 1, dtype=np.int16) - olds
     # Where each block's zeros are, in order; past the last of them stands the end.
     row, k = np.nonzero(~old)
-    where = np.full((len(block), width + 17), width, np.int64)
+    where = np.full((len(block), width + 17), width, np.int16)
     where[row, zeros[row, k]] = k
-    flat = np.concatenate([[0], np.cumsum(olds[:, -1])])
+    flat = np.concatenate([[0], np.cumsum(olds[:, -1], dtype=np.int64)])
     at, skip = bits.first.copy(), np.zeros(len(count), np.int64)
     events: list[tuple] = []
     fresh_row, fresh_k, fresh_v = [], [], []
@@ -583,7 +686,7 @@ def read_ac_refine(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarr
                 run, size, extra = run[~end], size[~end], extra[~end]
                 to = where[r[go], np.minimum(zeros[r[go], k[go]] + run, width + 16)]
                 a, b = olds[r[go], k[go]], olds[r[go], to]
-                events.append((flat[r[go]] + a, b - a, pos[go].copy()))
+                events.append((flat[r[go]] + a, (b - a).astype(np.int64), pos[go].copy()))
                 pos[go] += b - a
                 put = (size > 0) & (to < width)
                 fresh_row.append(block[r[go[put]]])
@@ -594,7 +697,7 @@ def read_ac_refine(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarr
             if len(shut):
                 kk = np.minimum(k[shut], width)
                 a, b = olds[r[shut], kk], olds[r[shut], width]
-                events.append((flat[r[shut]] + a, b - a, pos[shut].copy()))
+                events.append((flat[r[shut]] + a, (b - a).astype(np.int64), pos[shut].copy()))
                 pos[shut] += b - a
                 skip[on[shut]] -= 1
                 k[shut] = width
@@ -605,11 +708,11 @@ def read_ac_refine(bits: Bits, c: np.ndarray, block: np.ndarray, count: np.ndarr
     if events:
         first, many, pos = (np.concatenate([e[i] for e in events]) for i in range(3))
         step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-        at_old = np.repeat(first, many) + step
-        bit = bits.bit(np.repeat(pos, many) + step)
-        row, k = np.nonzero(old)
-        row, k = block[row[at_old]], k[at_old] + low
-        c[row, k] += (np.sign(c[row, k]) * (bit << shift)).astype(np.int16)
+        bit = np.zeros(int(flat[-1]), np.int16)
+        bit[np.repeat(first, many) + step] = bits.bit(np.repeat(pos, many) + step)
+        v = part[old]
+        part[old] = v + np.sign(v) * (bit << shift)
+        c[block, low : high + 1] = part
     if fresh_row:
         c[np.concatenate(fresh_row), np.concatenate(fresh_k)] = np.concatenate(fresh_v)
 
@@ -619,17 +722,17 @@ def read(files: list[bytes]) -> tuple[list[Image], list[np.ndarray]]:
     images = [Image(f) for f in files]
     at = np.concatenate([[0], np.cumsum([i.n_blocks for i in images])]).astype(np.int64)
     c = np.zeros((int(at[-1]), 64), np.int16)
-    for s in range(max((len(i.scans) for i in images), default=0)):
-        groups: dict[tuple, list[int]] = {}
+    passes = [i.passes() for i in images]
+    for s in range(max(map(len, passes), default=0)):
+        groups: dict[tuple, list[tuple[int, dict]]] = {}
         for d, image in enumerate(images):
-            if s < len(image.scans):
-                groups.setdefault(image.scans[s]["key"], []).append(d)
-        for key, docs in groups.items():
-            bits = Bits([images[d].data[images[d].scans[s]["start"] : images[d].scans[s]["end"]] for d in docs])
-            blocks, sizes, steps, column = [], [], [], None
-            for d in docs:
-                scan = images[d].scans[s]
-                order, column = images[d].order(scan["which"])
+            for scan in passes[d][s] if s < len(passes[d]) else ():
+                groups.setdefault((scan["key"], image.order(scan["which"])[1]), []).append((d, scan))
+        for (key, column), scans in groups.items():
+            bits = Bits([images[d].data[x["start"] : x["end"]] for d, x in scans])
+            blocks, sizes, steps = [], [], []
+            for d, scan in scans:
+                order = images[d].order(scan["which"])[0]
                 blocks.append(order.ravel() + at[d])
                 sizes.append(len(order))
                 steps.append(scan["interval"] or len(order))
@@ -654,14 +757,14 @@ def payload_of(image: Image, coefficients: np.ndarray) -> bytes:
     return (blocks + 128).astype(np.uint8).tobytes()
 
 
-def feature_of(rgb: np.ndarray) -> str:
-    """Size, mean and spread of the channels."""
-    values, out = np.arange(256.0), []
-    for k in range(3):
-        count = np.bincount(rgb[:, :, k].ravel(), minlength=256)
-        n, total, square = count.sum(), count @ values, count @ (values * values)
-        out.append(f"{total / n:.4f}/{math.sqrt(max(square / n - (total / n) ** 2, 0)):.4f}")
-    return f"{rgb.shape[1]}x{rgb.shape[0]}:" + ",".join(out)
+def features(channels: np.ndarray) -> list[str]:
+    """Size, mean and spread of the channels of each image of a stack."""
+    _, _, tall, wide = channels.shape
+    x, n, out = channels.reshape(*channels.shape[:2], -1), tall * wide, []
+    for total, square in zip(x.sum(axis=2, dtype=np.int64).tolist(), np.multiply(x, x, dtype=np.uint16).sum(axis=2, dtype=np.int64).tolist(), strict=True):
+        facts = (f"{t / n:.4f}/{math.sqrt(max(s / n - (t / n) ** 2, 0)):.4f}" for t, s in zip(total, square, strict=True))
+        out.append(f"{wide}x{tall}:" + ",".join(facts))
+    return out
 
 
 def padded(raw: bytes) -> np.ndarray:
@@ -699,10 +802,20 @@ def store(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     return bounded(rows).mapInArrow(run, f"`{names[0]}` long, `{names[1]}` binary, {fields}").select(*docs.columns, *names)
 
 
-def decode(image: Image, c: np.ndarray, tensors: bool) -> list:
-    rgb = image.rgb(c)
-    row = [payload_of(image, c) if image.payload_bytes is not None else None, feature_of(rgb)]
-    return row + ([image.wide, image.tall, rgb.tobytes()] if tensors else [])
+def decode(images: list[Image], coefficients: list[np.ndarray], tensors: bool) -> list[list]:
+    """Payload, feature and the rest of each image; images of one shape are transformed as a stack."""
+    alike: dict[tuple, list[int]] = {}
+    for d, image in enumerate(images):
+        alike.setdefault(image.shape(), []).append(d)
+    out: list[list] = [[] for _ in images]
+    for docs in alike.values():
+        channels = images[docs[0]].channels(np.stack([coefficients[d] for d in docs]))
+        for d, feature, own in zip(docs, features(channels), channels, strict=True):
+            image = images[d]
+            out[d] = [payload_of(image, coefficients[d]) if image.payload_bytes is not None else None, feature]
+            if tensors:
+                out[d] += [image.wide, image.tall, np.moveaxis(own, 0, -1).tobytes()]
+    return out
 
 
 def decode_all(raw: list[bytes | None], tensors: bool) -> list[list]:
@@ -710,7 +823,7 @@ def decode_all(raw: list[bytes | None], tensors: bool) -> list[list]:
     nothing = [None] * (5 if tensors else 2)
     some = [r for r in raw if r is not None]
     try:
-        got = iter([[None, *decode(image, c, tensors)] for image, c in zip(*read(some), strict=True)] if some else [])
+        got = iter([[None, *x] for x in decode(*read(some), tensors)] if some else [])
         return [["no file", *nothing] if r is None else next(got) for r in raw]
     except Exception as e:  # whatever a damaged file leads to is said of that file
         if len(raw) == 1:

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -424,6 +425,21 @@ def test_payloads_come_back():
     assert jpeg.decode_all([files[1], None], False)[1][0] == "no file"
 
 
+def test_stacks_and_passes():
+    """Files of many shapes read at once give what each gives by itself, and cost few steps each."""
+    rng = np.random.default_rng(6)
+    payloads = [jpeg.padded(bytes(rng.integers(*((97, 123), (0, 256))[i % 8 == 0], 64 * (i % 40) + 9, dtype=np.uint8))) for i in range(1024)]
+    parts = [payloads[i : i + 256] for i in range(0, 1024, 256)]
+    began = time.process_time()
+    files = [jpeg.write(p) for p in parts]
+    rows = [jpeg.decode_all(f, False) for f in files]
+    assert time.process_time() - began < 1100e-9 * sum(map(len, payloads)), "CPU seconds a byte"
+    assert [r[1] for r in rows[0]] == [p.tobytes() for p in parts[0]] and not any(r[0] for part in rows for r in part)
+    assert [jpeg.decode_all([f], True)[0][:3] for f in files[0][:90]] == rows[0][:90]
+    image, _ = (x[0] for x in jpeg.read(files[0][:1]))
+    assert [len(p) for p in image.passes()] == [1, 3, 3, 3, 1]
+
+
 def test_pixels_by_definition():
     (image,), (c,) = jpeg.read(jpeg.write([jpeg.padded(bytes(range(100, 160)) * 9)]))
     rgb = image.rgb(c)
